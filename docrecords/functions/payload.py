@@ -18,16 +18,21 @@ def present(v: Column, path: str) -> Column:
     return node.isNotNull() & ~F.is_variant_null(node)
 
 
-def nested(v: Column, path: str, schema: T.StructType) -> Column:
-    """An object as a struct; a NULL struct when the object is absent or null."""
-    parts = [scalar(v, f"{path}.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
-    return F.when(present(v, path), F.struct(*parts))
+def typed_struct(v: Column, path: str, schema: T.StructType) -> Column:
+    """An object as a struct in one pass over the value.
+
+    A leaf that is absent, JSON null or not convertible is NULL, and so is an inner
+    struct whose object is absent or JSON null.
+    """
+    return F.try_variant_get(v, path, schema.simpleString())
 
 
 def typed_array(v: Column, path: str, schema: T.ArrayType) -> Column:
-    """An array subtree as a typed array; a bad leaf is NULL, a bad element nulls the array."""
-    node = F.try_variant_get(v, path, "variant")
-    return F.when(present(v, path), F.from_json(F.to_json(node), schema))
+    """An array subtree as a typed array.
+
+    Absent and JSON null give NULL; a bad leaf is NULL, a bad element nulls the array.
+    """
+    return F.from_json(F.to_json(F.try_variant_get(v, path, "variant")), schema)
 
 
 def elements(v: Column, array_field: str = "elements") -> Column:

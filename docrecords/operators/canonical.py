@@ -30,13 +30,10 @@ def canonicalize(
 ) -> DataFrame:
     """Responses to the canonical record; works on batches and streams."""
     response = F.col("response")
-    header = []
-    for field in INVOICE_HEADER.fields:
-        path = f"$.invoiceHeader.{field.name}"
-        if isinstance(field.dataType, T.StructType):
-            header.append(payload.nested(response, path, field.dataType).alias(field.name))
-        else:
-            header.append(payload.scalar(response, path, field.dataType.simpleString()).alias(field.name))
+    found = payload.typed_struct(response, "$.invoiceHeader", INVOICE_HEADER)
+    # A record without a header still has a header struct, of NULLs.
+    empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in INVOICE_HEADER.fields])
+    header = F.coalesce(found, empty)
     now = F.current_timestamp() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))
     path = F.col("source_file_path")
     return conform(
@@ -50,7 +47,7 @@ def canonicalize(
             now.alias("processing_timestamp"),
             "summary",
             "document_type",
-            F.struct(*header).alias("invoice_header"),
+            header.alias("invoice_header"),
             payload.typed_array(response, "$.lineItems", LINE_ITEMS).alias("line_items"),
             payload.scalar(response, "$.flags", "string").alias("flags"),
             payload.typed_array(response, "$.barcodes", BARCODES).alias("barcodes"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docrecords.functions.text import lead_sentences
 from docrecords.operators.intake import pending_files
+from docrecords.operators.rows import pin
 from docrecords.operators.skew import outer_join
 from docrecords.schemas import (
     DOCUMENT_LABELS,
@@ -52,19 +53,26 @@ def classify(
     rules = LABEL_PHRASES if rules is None else rules
     default = labels[-1]
     scored = [label for label in labels if rules.get(label)]
-    low = F.lower(text)
-    staged = df.withColumns({f"_n_{i}": F.regexp_count(low, F.lit(_any_of(rules[label]))) for i, label in enumerate(scored)})
+    low = df.withColumn("_low", F.lower(text))
+    staged = low.withColumns({f"_n_{i}": _occurrences("_low", rules[label]) for i, label in enumerate(scored)})
     counts = [F.col(f"_n_{i}") for i in range(len(scored))]
     best = F.greatest(*counts) if len(counts) > 1 else counts[0]
     pick = F.when(best == 0, default)
     for label, n in zip(scored, counts):
         pick = pick.when(n == best, label)
     chosen = F.when(_long_enough(F.col(text)), pick).otherwise(UNCLASSIFIED)
-    return staged.withColumn(out, chosen).drop(*[f"_n_{i}" for i in range(len(scored))])
-
-
-def _any_of(phrases: Sequence[str]) -> str:
-    return "|".join(phrases)
+    keep = [c for c in df.columns if c != out]
+    return pin(staged.select(*keep, chosen.alias(out)), out)
+
+
+def _occurrences(text: str, phrases: Sequence[str]) -> Column:
+    """How often the phrases occur: bytes lost by removing a phrase, over its own bytes."""
+    whole = F.octet_length(text)
+    counts = [
+        (whole - F.octet_length(F.replace(text, F.lit(p), F.lit("")))) / F.lit(float(len(p.encode())))
+        for p in phrases
+    ]
+    return sum(counts[1:], counts[0])
 
 
 def enrich(df: DataFrame, **classify_options) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docrecords.operators.rows import pin
 from docrecords.schemas import ADDRESS_PARTS, LINE_ITEM, PAYMENT_TERMS
 
 # The labels of a text invoice, one "Label: value" line per field.
@@ -93,7 +94,8 @@ def text_invoice(df: DataFrame, source: str) -> DataFrame:
     found = F.coalesce(F.col("_read.invoiceHeader.invoiceNumber") != "", F.lit(False))
     error = F.when(F.col(source).isNull(), "no text").when(~found, "no invoice number found")
     response = F.when(found, F.to_variant_object("_read"))
-    return read.withColumns({"response": response, "error": error}).drop("_lines", "_items", "_labelled", "_read")
+    done = read.select(*df.columns, response.alias("response"), error.alias("error"))
+    return pin(done, "response", "error")
 
 
 def _item(line: Column) -> Column:
@@ -106,7 +108,8 @@ def _item(line: Column) -> Column:
 def json_payload(df: DataFrame, source: str) -> DataFrame:
     """Read texts that already are JSON payloads."""
     error = F.when(F.col(source).isNull(), "no text").when(F.col("response").isNull(), "malformed payload")
-    return df.withColumn("response", F.try_parse_json(source)).withColumn("error", error)
+    parsed = pin(df.withColumn("response", F.try_parse_json(source)), "response")
+    return parsed.withColumn("error", error)
 
 
 def extract_records(df: DataFrame, extractor: NativeExtractor = text_invoice, source: str = "input") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from docrecords.functions import markup, payload
 from docrecords.functions.text import decode_text, extension, squeeze
+from docrecords.operators.rows import unnest
 from docrecords.schemas import MARKUP_EXTENSIONS, PARSED_EXTENSIONS
 
 DEFAULT_SEPARATOR = "\n\n"
@@ -42,8 +43,9 @@ def parse_elements(df: DataFrame, kind: str = "text", source: str = "text", out:
 def elements_exploded(df: DataFrame, raw: str = "raw_parsed", array_field: str = "elements") -> DataFrame:
     """One row per element: the other columns, ``idx`` from 0 and ``content``."""
     keep = [c for c in df.columns if c != raw]
-    parts = df.select(*keep, F.posexplode(payload.elements(F.col(raw), array_field)).alias("idx", "element"))
-    return parts.select(*keep, "idx", payload.element_text(F.col("element")).alias("content"))
+    found = df.select(*keep, payload.elements(F.col(raw), array_field).alias("_elements"))
+    parts = unnest(found, "_elements", keep, "idx")
+    return parts.select(*keep, "idx", payload.element_text(F.col("_elements")).alias("content"))
 
 
 def elements_to_text(

@@ -23,21 +23,36 @@ SALTS = 64
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> list:
-    """Values of ``key`` with over ``min_rows`` rows and over 1/64 of all rows.
+    """Values of ``key`` with over ``min_rows`` rows and over 1/64 of all rows."""
+    return hot_keys_of([df], key, min_rows)[0]
 
-    The first pass brings at most 1,024 bucket counts to the driver. Only if one
-    of them is large are keys counted, and only those of the large buckets; at
-    most 64 keys can pass. NULL is never returned: it equals no key.
+
+def hot_keys_of(sides: list[DataFrame], key: str, min_rows: int = MIN_HOT_ROWS) -> list[list]:
+    """The hot keys of each data frame.
+
+    One job counts rows per hash bucket of the key; it brings at most 1,024 counts
+    per side to the driver. Only if one of them is large are keys counted, and only
+    those of the large buckets; at most 64 keys per side can pass. NULL is never
+    returned: it equals no key.
     """
-    keys = df.select(F.col(key).alias("k")).filter(F.col("k").isNotNull())
-    keys = keys.withColumn("bucket", F.pmod(F.xxhash64("k"), F.lit(PROBE_BUCKETS)))
-    buckets = keys.groupBy("bucket").count().collect()
-    limit = max(min_rows, sum(r["count"] for r in buckets) // HOT_SHARE)
-    large = [r["bucket"] for r in buckets if r["count"] > limit]
-    if not large:
-        return []
-    counted = keys.filter(F.col("bucket").isin(large)).groupBy("k").count()
-    return [r["k"] for r in counted.filter(F.col("count") > limit).collect()]
+    keys = [
+        df.select(F.lit(i).alias("side"), F.col(key).alias("k"))
+        .filter(F.col("k").isNotNull())
+        .withColumn("bucket", F.pmod(F.xxhash64("k"), F.lit(PROBE_BUCKETS)))
+        for i, df in enumerate(sides)
+    ]
+    counts = reduce(DataFrame.unionByName, keys).groupBy("side", "bucket").count().collect()
+    found = []
+    for i, side_keys in enumerate(keys):
+        buckets = {r["bucket"]: r["count"] for r in counts if r["side"] == i}
+        limit = max(min_rows, sum(buckets.values()) // HOT_SHARE)
+        large = [b for b, n in buckets.items() if n > limit]
+        if not large:
+            found.append([])
+            continue
+        counted = side_keys.filter(F.col("bucket").isin(large)).groupBy("k").count()
+        found.append([r["k"] for r in counted.filter(F.col("count") > limit).collect()])
+    return found
 
 
 def split_by_key(df: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:
@@ -105,7 +120,7 @@ def outer_join(
     """
     if how not in ("full", "left"):
         raise ValueError(f"unsupported join type: {how}")
-    hot_left, hot_right = hot_keys(left, key, min_rows), hot_keys(right, key, min_rows)
+    hot_left, hot_right = hot_keys_of([left, right], key, min_rows)
     columns = [key] + [c for c in left.columns + right.columns if c != key]
     hot = sorted(set(hot_left) | set(hot_right))
     if not hot:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docrecords.operators.rows import unnest
 from docrecords.schemas import ADDRESS_PARTS, HEADER_AMOUNTS, HEADER_DATES, INVOICE_HEADER, PAYMENT_TERMS
 
 # --- fixed values: the contract ------------------------------------------------
@@ -203,7 +204,8 @@ def validate(
     sets = rules.sets()
     chosen = list(sets) if rule_sets is None else list(rule_sets)
     arrays = [sets[name]() for name in chosen]
-    return records.select(key, F.inline(F.concat(*arrays) if len(arrays) > 1 else arrays[0]))
+    found = F.concat(*arrays) if len(arrays) > 1 else arrays[0]
+    return unnest(records.select(key, found.alias("_found")), "_found", [key])
 
 
 def validate_payload_keys(
@@ -217,7 +219,8 @@ def validate_payload_keys(
         )
         for n in names
     ]
-    return responses.filter(F.col("response").isNotNull()).select(key, F.inline(_found(*missing)))
+    parsed = responses.filter(F.col("response").isNotNull())
+    return unnest(parsed.select(key, _found(*missing).alias("_found")), "_found", [key])
 
 
 def violation_summary(violations: DataFrame) -> DataFrame:

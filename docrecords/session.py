@@ -15,6 +15,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+#: Settings that can only be given when a session is built. Recording the Python
+#: call site of every column expression takes much of the time to build wide plans.
+BUILD_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings on an existing session."""

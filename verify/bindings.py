@@ -187,8 +187,12 @@ def _header_columns(df: DataFrame) -> DataFrame:
 
 
 def invoices(spark: SparkSession, sf_dir: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Headers with their lines; both sides are unique on (k, part)."""
-    return headers(spark, sf_dir).join(line_arrays(spark, sf_dir, min_rows), ["k", "part"], "left")
+    """Headers with their lines; both sides are unique on (k, part).
+
+    The arrays grow with the data, so they are never broadcast.
+    """
+    arrays = line_arrays(spark, sf_dir, min_rows).hint("merge")
+    return headers(spark, sf_dir).join(arrays, ["k", "part"], "left")
 
 
 def _header_struct(df: DataFrame) -> Column:

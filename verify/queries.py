@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from docrecords.functions.text import decode_text as decoded
 from docrecords.functions.text import directory, file_name, normalize_date, nz
 from docrecords.operators import canonical, enrich, extract, intake, merge, parse, quality, validate
+from docrecords.operators.rows import unnest
 from docrecords.plans.records import dual_source, single_source
 from docrecords.schemas import BY_NAME, COMPARED_COLUMNS, FIELDS, LINE_ITEM, RESPONSE
 from docrecords.session import run_dir
@@ -171,10 +172,8 @@ def elements_to_text(spark, sf_dir):
 @query
 def html_elements(spark, sf_dir):
     pages = b.table(spark, sf_dir, "pages").select("page_id", "html")
-    found = pages.select("page_id", F.posexplode(parse.markup.elements(F.col("html"))).alias("idx", "e"))
-    return found.select(
-        "page_id", F.col("idx").cast("long").alias("idx"), F.col("e.tag").alias("tag"), F.col("e.content").alias("content")
-    )
+    found = pages.select("page_id", parse.markup.elements(F.col("html")).alias("elements"))
+    return unnest(found, "elements", ["page_id"], "idx").withColumn("idx", F.col("idx").cast("long"))
 
 
 @query
@@ -250,7 +249,7 @@ def extract_header(spark, sf_dir):
 
 @query
 def extract_lines(spark, sf_dir):
-    return _read_invoices(spark, sf_dir).select("source_file_path", F.inline("line_items"))
+    return unnest(_read_invoices(spark, sf_dir), "line_items", ["source_file_path"])
 
 
 def _responses(spark, sf_dir) -> DataFrame:
@@ -286,13 +285,13 @@ def payload_header(spark, sf_dir):
 @query
 def payload_lines(spark, sf_dir):
     records = canonical.canonicalize(_responses(spark, sf_dir))
-    return records.select("source_file_path", F.inline("line_items"))
+    return unnest(records, "line_items", ["source_file_path"])
 
 
 @query
 def payload_barcodes(spark, sf_dir):
     records = canonical.canonicalize(_responses(spark, sf_dir))
-    return records.select("source_file_path", F.explode("barcodes").alias("barcode"))
+    return unnest(records, "barcodes", ["source_file_path"]).withColumnRenamed("barcodes", "barcode")
 
 
 @query
