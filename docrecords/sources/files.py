@@ -37,11 +37,19 @@ def read_files(
 
 
 def stream_files(
-    spark: SparkSession, folder: str, modified_after: datetime | str | None = None, glob: str | None = None
+    spark: SparkSession,
+    folder: str,
+    modified_after: datetime | str | None = None,
+    glob: str | None = None,
+    max_age: str = "3650d",
 ) -> DataFrame:
-    """The same as an unbounded stream; the checkpoint remembers which files were seen."""
+    """The same as an unbounded stream; the checkpoint remembers which files were seen.
+
+    Files more than ``max_age`` older than the newest one seen are passed over. Spark's
+    own limit of a week would lose late arrivals that keep an old modification time.
+    """
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE).options(**_options(modified_after, glob))
-    return reader.load(folder)
+    return reader.option("maxFileAge", max_age).load(folder)
 
 
 def stamp(files: DataFrame, as_of: datetime | None = None) -> DataFrame:

@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .config("spark.checkpoint.dir", str(base / "shared"))
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "5000")
         .config(map={**SETTINGS, **BUILD_SETTINGS})
         .getOrCreate()
     )
