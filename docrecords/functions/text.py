@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Strings that stand for "not available".
@@ -23,6 +23,15 @@ def nz(c: Column | str) -> Column:
     return F.when((word == "") | word.isin(*BLANK_WORDS), None).otherwise(c)
 
 
+def register_nz(spark: SparkSession, name: str = "nz") -> None:
+    """The same rule as a SQL function of the session."""
+    words = ", ".join(f"'{w}'" for w in ("",) + BLANK_WORDS)
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING) RETURNS STRING "
+        f"RETURN IF(lower(trim(s)) IN ({words}), NULL, s)"
+    )
+
+
 def file_name(path: Column | str) -> Column:
     """Text after the last slash; '' when the path ends in one."""
     return F.element_at(F.split(_col(path), "/"), -1)

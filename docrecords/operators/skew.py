@@ -7,6 +7,7 @@ the same with and without hot keys.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,40 +20,49 @@ MIN_HOT_ROWS = 1_000_000
 #: A key with more than 1/HOT_SHARE of all rows is hot, so at most HOT_SHARE are.
 HOT_SHARE = 64
 PROBE_BUCKETS = 1024
+NULL_BUCKET = -1
 SALTS = 64
 
 
+@dataclass(frozen=True)
+class Load:
+    """What the probe found: the hot keys, and whether NULL keys are as many."""
+
+    hot: list
+    many_nulls: bool
+
+
 def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> list:
     """Values of ``key`` with over ``min_rows`` rows and over 1/64 of all rows."""
-    return hot_keys_of([df], key, min_rows)[0]
+    return key_loads([df], key, min_rows)[0].hot
 
 
-def hot_keys_of(sides: list[DataFrame], key: str, min_rows: int = MIN_HOT_ROWS) -> list[list]:
-    """The hot keys of each data frame.
+def key_loads(sides: list[DataFrame], key: str, min_rows: int = MIN_HOT_ROWS) -> list[Load]:
+    """The load of each data frame.
 
-    One job counts rows per hash bucket of the key; it brings at most 1,024 counts
+    One job counts rows per hash bucket of the key; it brings at most 1,025 counts
     per side to the driver. Only if one of them is large are keys counted, and only
-    those of the large buckets; at most 64 keys per side can pass. NULL is never
-    returned: it equals no key.
+    those of the large buckets; at most 64 keys per side can pass. NULL is never a
+    hot key: it equals no key.
     """
+    bucket = F.when(F.col("k").isNotNull(), F.pmod(F.xxhash64("k"), F.lit(PROBE_BUCKETS))).otherwise(NULL_BUCKET)
     keys = [
-        df.select(F.lit(i).alias("side"), F.col(key).alias("k"))
-        .filter(F.col("k").isNotNull())
-        .withColumn("bucket", F.pmod(F.xxhash64("k"), F.lit(PROBE_BUCKETS)))
+        df.select(F.lit(i).alias("side"), F.col(key).alias("k")).withColumn("bucket", bucket)
         for i, df in enumerate(sides)
     ]
     counts = reduce(DataFrame.unionByName, keys).groupBy("side", "bucket").count().collect()
-    found = []
+    loads = []
     for i, side_keys in enumerate(keys):
         buckets = {r["bucket"]: r["count"] for r in counts if r["side"] == i}
         limit = max(min_rows, sum(buckets.values()) // HOT_SHARE)
+        many_nulls = buckets.pop(NULL_BUCKET, 0) > limit
         large = [b for b, n in buckets.items() if n > limit]
-        if not large:
-            found.append([])
-            continue
-        counted = side_keys.filter(F.col("bucket").isin(large)).groupBy("k").count()
-        found.append([r["k"] for r in counted.filter(F.col("count") > limit).collect()])
-    return found
+        hot = []
+        if large:
+            counted = side_keys.filter(F.col("bucket").isin(large)).groupBy("k").count()
+            hot = [r["k"] for r in counted.filter(F.col("count") > limit).collect()]
+        loads.append(Load(hot, many_nulls))
+    return loads
 
 
 def split_by_key(df: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:
@@ -120,16 +130,18 @@ def outer_join(
     """
     if how not in ("full", "left"):
         raise ValueError(f"unsupported join type: {how}")
-    hot_left, hot_right = hot_keys_of([left, right], key, min_rows)
+    loads = key_loads([left, right], key, min_rows)
+    hot_left, hot_right = (load.hot for load in loads)
+    spread_nulls = any(load.many_nulls for load in loads)
     columns = [key] + [c for c in left.columns + right.columns if c != key]
     hot = sorted(set(hot_left) | set(hot_right))
     if not hot:
-        return _plain_outer(left, right, key, how, columns)
+        return _plain_outer(left, right, key, how, columns, spread_nulls)
     left, heavy_left = split_by_key(left, key, hot)
     right, heavy_right = split_by_key(right, key, hot)
     heavy_left, heavy_right = _pinned(heavy_left), _pinned(heavy_right)
     both = sorted(_seen(heavy_left, key) & _seen(heavy_right, key))
-    parts = [_plain_outer(left, right, key, how, columns)]
+    parts = [_plain_outer(left, right, key, how, columns, spread_nulls)]
     salt_left = [k for k in both if k in hot_left]
     salt_right = [k for k in both if k not in hot_left]
     if salt_left:
@@ -148,10 +160,17 @@ def _flags(in_left: bool, in_right: bool) -> list[Column]:
     return [F.lit(in_left).alias("in_left"), F.lit(in_right).alias("in_right")]
 
 
-def _plain_outer(left: DataFrame, right: DataFrame, key: str, how: str, columns: list[str]) -> DataFrame:
-    a = left.withColumn("_spread", _null_spread(left, key)).withColumn("_left", F.lit(True))
-    b = right.withColumn("_spread", _null_spread(right, key)).withColumn("_right", F.lit(True))
-    joined = a.join(b, [key, "_spread"], how)
+def _plain_outer(
+    left: DataFrame, right: DataFrame, key: str, how: str, columns: list[str], spread_nulls: bool
+) -> DataFrame:
+    # Without many NULL keys the join is on the key alone, so that tables bucketed
+    # by it are joined where they are.
+    on = [key]
+    if spread_nulls:
+        on.append("_spread")
+        left = left.withColumn("_spread", _null_spread(left, key))
+        right = right.withColumn("_spread", _null_spread(right, key))
+    joined = left.withColumn("_left", F.lit(True)).join(right.withColumn("_right", F.lit(True)), on, how)
     return joined.select(
         *columns,
         F.coalesce("_left", F.lit(False)).alias("in_left"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from docrecords.operators import canonical, merge, quality, validate
 
@@ -30,6 +30,25 @@ class RecordViews:
             if df is not None:
                 df.createOrReplaceTempView(prefix + name)
 
+    def save(self, spark: SparkSession, prefix: str = "", buckets: int | None = None) -> RecordViews:
+        """Store the layers as tables and return them as read from there.
+
+        A view is computed again by each reader; a stored layer is not. With
+        ``buckets`` the tables are bucketed by file path, and later joins of two
+        layers by path need no shuffle.
+        """
+        stored = {}
+        for name, df in self.__dict__.items():
+            if df is None:
+                stored[name] = None
+                continue
+            writer = df.write.mode("overwrite")
+            if buckets:
+                writer = writer.bucketBy(buckets, "source_file_path").sortBy("source_file_path")
+            writer.saveAsTable(f"{prefix}{name}")
+            stored[name] = spark.table(f"{prefix}{name}")
+        return RecordViews(**stored)
+
 
 def single_source(records: DataFrame, lenient_dates: bool = False) -> RecordViews:
     """One extraction: flatten, nest again, flatten for readers."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docrecords.operators import canonical, enrich, extract, intake, merge, parse, quality, validate
 from docrecords.plans.ingest import IngestConfig, process_documents
+from docrecords.plans.records import dual_source
 from verify import bindings as b
 
 
@@ -69,3 +70,13 @@ def test_exploded_elements_are_computed_once(spark, sf_dir, plan):
     docs = b.table(spark, sf_dir, "documents").select("doc_id", "text")
     text = plan(parse.elements_exploded(parse.parse_elements(docs).select("doc_id", "raw_parsed")))
     assert text.count("to_variant_object") <= 1
+
+
+def test_bucketed_layers_join_in_place(spark, sf_dir, plan):
+    views = dual_source(b.primary(spark, sf_dir), b.fallback(spark, sf_dir)).save(spark, "bucketed_", 4)
+    for df in (
+        merge.merge_sources(views.primary_flat, views.fallback_flat),
+        quality.coverage(views.primary_flat, views.fallback_flat),
+    ):
+        assert "FullOuter" in plan(df) and "Exchange" not in plan(df)
+    assert views.final.count() == views.nested.count()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docrecords.operators import quality
-from docrecords.operators.skew import hot_keys, number_within, outer_join
+from docrecords.operators.skew import hot_keys, key_loads, number_within, outer_join
 from verify import bindings as b
 
 
@@ -56,6 +56,17 @@ def test_outer_join(spark, skewed, how, hot_side):
     assert plain.filter("in_left and key is null").count() == left.filter("key is null").count()
 
 
+def test_many_null_keys(spark, skewed):
+    """NULL keys are spread over tasks and still match nothing."""
+    left = skewed.withColumn("key", F.when(F.col("a") < 5, F.col("key")))
+    right = spark.createDataFrame([("hot", 1), (None, 2), (None, 3), ("zzz", 4)], "key string, c int")
+    assert key_loads([left], "key", 100)[0].many_nulls
+    columns = ["key", "a", "b", "c", "in_left", "in_right"]
+    split = outer_join(left, right, "key", min_rows=100)
+    assert "_spread" in split._jdf.queryExecution().optimizedPlan().toString()
+    assert bag(outer_join(left, right, "key"), columns) == bag(split, columns)
+
+
 def test_both_sides_hot(skewed):
     left = skewed.limit(600).select("key", "a")
     right = skewed.limit(450).select("key", "b")

@@ -5,7 +5,16 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from docrecords.functions import markup
-from docrecords.functions.text import decode_text, directory, extension, file_name, lead_sentences, normalize_date, nz
+from docrecords.functions.text import (
+    decode_text,
+    directory,
+    extension,
+    file_name,
+    lead_sentences,
+    normalize_date,
+    nz,
+    register_nz,
+)
 
 
 def values(spark, items, *exprs):
@@ -31,7 +40,10 @@ def test_dates(spark):
 
 def test_nz(spark):
     cases = [None, "", "  ", "N/A", " na ", "NA", " x ", "null", "0"]
-    assert [v for (v,) in values(spark, cases, nz("v"))] == [None] * 6 + [" x ", "null", "0"]
+    wanted = [None] * 6 + [" x ", "null", "0"]
+    assert [v for (v,) in values(spark, cases, nz("v"))] == wanted
+    register_nz(spark)
+    assert [v for (v,) in values(spark, cases, F.expr("nz(v)"))] == wanted
 
 
 def test_paths(spark):

@@ -404,7 +404,7 @@ FROM documents
 
 ORACLES["enrich_second_source"] = f"""
 WITH {FILES}, {PENDING},
-texts AS (SELECT path AS id, text FROM files WHERE doc_id % 4 <> 1), {_LABELLED}
+texts AS (SELECT path AS id, text FROM files WHERE path LIKE '%.pdf'), {_LABELLED}
 SELECT p.path, l.document_type FROM pending p LEFT JOIN labelled l ON l.id = p.path
 WHERE lower(p.path) LIKE '%.pdf'
 """
