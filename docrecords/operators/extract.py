@@ -49,8 +49,8 @@ PythonExtractor = Callable[[str], dict]
 def text_invoice(df: DataFrame, source: str) -> DataFrame:
     """Read text invoices by their line labels and ``|``-separated item lines.
 
-    The text is split into lines once per row, in a projection of its own; each
-    field is then the value of the first line with its label.
+    The text is split into lines, and these into labels and values, once per row in
+    projections of their own; a field is the value at the first place of its label.
     """
     is_item = r"^\d+\|"
     split = df.withColumn("_lines", F.split(source, r"\r?\n"))
@@ -60,15 +60,20 @@ def text_invoice(df: DataFrame, source: str) -> DataFrame:
             "_labelled": F.filter("_lines", lambda x: x.contains(": ") & ~x.rlike(is_item)),
         }
     )
-
-    def values(label: str) -> Column:
-        mark = f"{label}: "
-        hits = F.filter("_labelled", lambda x: x.startswith(mark))
-        return F.transform(hits, lambda x: F.substr(x, F.lit(len(mark) + 1)))
+    split = split.withColumns(
+        {
+            "_labels": F.transform("_labelled", lambda x: F.substring_index(x, ": ", 1)),
+            "_values": F.transform("_labelled", lambda x: F.substr(x, F.locate(": ", x) + 2)),
+        }
+    )
 
     def value(label: str) -> Column:
-        return F.get(values(label), 0)
+        return F.get("_values", F.array_position("_labels", label).cast("int") - 1)
 
+    barcode = f"{BARCODE_LABEL}: "
+    barcodes = F.transform(
+        F.filter("_labelled", lambda x: x.startswith(barcode)), lambda x: F.substr(x, F.lit(len(barcode) + 1))
+    )
     header = [
         (value(label).try_cast("double") if name in NUMBERS else value(label)).alias(name)
         for name, label in HEADER_LABELS.items()
@@ -88,7 +93,7 @@ def text_invoice(df: DataFrame, source: str) -> DataFrame:
             F.struct(*header).alias("invoiceHeader"),
             F.transform("_items", _item).alias("lineItems"),
             value(FLAGS_LABEL).alias("flags"),
-            values(BARCODE_LABEL).alias("barcodes"),
+            barcodes.alias("barcodes"),
         ),
     )
     found = F.coalesce(F.col("_read.invoiceHeader.invoiceNumber") != "", F.lit(False))

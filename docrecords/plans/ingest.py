@@ -115,7 +115,8 @@ def run_second_source(
         ledger = intake.ledger_of(spark.table(config.second_table))
     files = enrich.second_source(
         spark.table(config.intake_table).drop("length"),
-        spark.table(config.documents_table),
+        # Only documents of the wanted type are read again, and these all are in 'main'.
+        documents(spark, config, MAIN),
         ledger,
         keep=config.keep,
         dates=config.dates,

@@ -109,11 +109,16 @@ def line_arrays(spark: SparkSession, sf_dir: str, min_rows: int = MIN_HOT_ROWS)
     """k, part, line_items in order; at most LINES_PER_INVOICE lines each."""
     lines = _order_lines(spark, sf_dir, min_rows)
     item = F.struct(*LINE_ITEM.fieldNames())
-    return lines.groupBy("k", "part").agg(F.array_sort(F.collect_list(item)).alias("line_items"))
+    return lines.groupBy("k", "part").agg(F.sort_array(F.collect_list(item)).alias("line_items"))
 
 
 def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per invoice with the scalar fields, all clean."""
+    return _header_columns(_billed_orders(spark, sf_dir))
+
+
+def _billed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with customer, nation and supplier, once per part."""
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -134,7 +139,7 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = joined.withColumn("_last", last).withColumn(
         "_block", F.explode(F.expr(f"sequence(0, _last div {LINES_PER_INVOICE})"))
     )
-    parts = blocks.withColumn(
+    return blocks.withColumn(
         "part",
         F.explode(
             F.expr(
@@ -143,10 +148,9 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ),
     )
-    return _header_columns(parts)
 
 
-def _header_columns(df: DataFrame) -> DataFrame:
+def _header_columns(df: DataFrame, *more: str) -> DataFrame:
     k, cust, placed = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
     name = F.concat(k.cast("string"), F.when(F.col("part") > 0, F.concat(F.lit("_p"), F.col("part").cast("string"))).otherwise(""))
     # Day formats of the three regular kinds of date text.
@@ -183,16 +187,19 @@ def _header_columns(df: DataFrame) -> DataFrame:
         state.alias("shipping_state"),
         F.lpad(cust.cast("string"), 5, "0").alias("shipping_zip"),
         F.when(k % 3 == 0, F.lit(30)).alias("termsNetDuedays"),
+        *more,
     )
 
 
 def invoices(spark: SparkSession, sf_dir: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Headers with their lines; both sides are unique on (k, part).
+    """Headers with their lines; both sides are unique on (order, part).
 
-    The arrays grow with the data, so they are never broadcast.
+    The arrays grow with the data, so they are never broadcast. The text columns are
+    made after the join, so that only the base columns are shuffled.
     """
-    arrays = line_arrays(spark, sf_dir, min_rows).hint("merge")
-    return headers(spark, sf_dir).join(arrays, ["k", "part"], "left")
+    arrays = line_arrays(spark, sf_dir, min_rows).withColumnRenamed("k", "o_orderkey").hint("merge")
+    billed = _billed_orders(spark, sf_dir).join(arrays, ["o_orderkey", "part"], "left")
+    return _header_columns(billed, "line_items")
 
 
 def _header_struct(df: DataFrame) -> Column:
