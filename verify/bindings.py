@@ -358,9 +358,15 @@ def _records(df: DataFrame) -> DataFrame:
     return conform(nested, CANONICAL)
 
 
-def primary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def extractions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both extractions of the same invoices."""
+    billed = invoices(spark, sf_dir)
+    return primary(spark, sf_dir, billed), fallback(spark, sf_dir, billed)
+
+
+def primary(spark: SparkSession, sf_dir: str, billed: DataFrame | None = None) -> DataFrame:
     """Extraction 1 as canonical records."""
-    df = primary_flat(invoices(spark, sf_dir))
+    df = primary_flat(invoices(spark, sf_dir) if billed is None else billed)
     return _records(
         df.withColumns(
             {
@@ -374,9 +380,9 @@ def primary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fallback(spark: SparkSession, sf_dir: str, billed: DataFrame | None = None) -> DataFrame:
     """Extraction 2 as canonical records."""
-    df = fallback_flat(invoices(spark, sf_dir))
+    df = fallback_flat(invoices(spark, sf_dir) if billed is None else billed)
     return _records(
         df.withColumns(
             {

@@ -343,7 +343,7 @@ def renest_single(spark, sf_dir):
 
 
 def _views(spark, sf_dir):
-    return dual_source(b.primary(spark, sf_dir), b.fallback(spark, sf_dir))
+    return dual_source(*b.extractions(spark, sf_dir))
 
 
 @query
@@ -393,7 +393,8 @@ def emit_json(spark, sf_dir):
 
 
 def _flats(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    return canonical.flatten(b.primary(spark, sf_dir)), canonical.flatten(b.fallback(spark, sf_dir))
+    p, f = b.extractions(spark, sf_dir)
+    return canonical.flatten(p), canonical.flatten(f)
 
 
 @query
@@ -415,15 +416,15 @@ def field_diff_summary(spark, sf_dir):
 
 @query
 def record_counts(spark, sf_dir):
-    p, f = _flats(spark, sf_dir)
+    views = _views(spark, sf_dir)
     listing = b.files(spark, sf_dir)
     return quality.record_counts(
         {
             "documents": listing,
             "processed": b.ledger(listing),
-            "primary": p,
-            "fallback": f,
-            "final": _views(spark, sf_dir).final,
+            "primary": views.primary_flat,
+            "fallback": views.fallback_flat,
+            "final": views.final,
         }
     )
 
