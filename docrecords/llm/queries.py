@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docrecords.llm import token_counts, warc
+from docrecords.llm import quality_rules, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
     "op4_token_counts": token_counts.op4_token_counts,
+    "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op7_secrets": secrets.op7_secrets,
 }
 
 ORACLES: dict[str, str] = {
     "op1_warc": warc.SQL,
+    "op5_quality_rules": quality_rules.SQL,
+    "op7_secrets": secrets.SQL,
 }
