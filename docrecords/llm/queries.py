@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docrecords.llm import quality_rules, secrets, token_counts, warc
+from docrecords.llm import quality_model, quality_rules, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op6_quality_model": quality_model.op6_quality_model,
     "op7_secrets": secrets.op7_secrets,
 }
 
