@@ -6,18 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docrecords.llm import quality_model, quality_rules, secrets, token_counts, warc
+from docrecords.llm import mixing, packing, quality_model, quality_rules, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
+    "op3_packing": packing.op3_packing,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_quality_model": quality_model.op6_quality_model,
     "op7_secrets": secrets.op7_secrets,
+    "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLES: dict[str, str] = {
     "op1_warc": warc.SQL,
     "op5_quality_rules": quality_rules.SQL,
     "op7_secrets": secrets.SQL,
+    "op10_mixing": mixing.SQL,
 }
