@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docrecords.llm import decontamination, mixing, packing, quality_model, quality_rules, secrets, token_counts, warc
+from docrecords.llm import decontamination, jaccard_join, mixing, packing, quality_model, quality_rules, secrets, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_quality_model": quality_model.op6_quality_model,
     "op7_secrets": secrets.op7_secrets,
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_mixing": mixing.op10_mixing,
 }
