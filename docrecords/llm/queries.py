@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docrecords.llm import decontamination, jaccard_join, mixing, packing, quality_model, quality_rules, secrets, token_counts, warc
+from docrecords.llm import decontamination, jaccard_join, mixing, packing, quality_model, quality_rules, secrets, substrings, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
+    "op2_substrings": substrings.op2_substrings,
     "op3_packing": packing.op3_packing,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_quality_rules": quality_rules.op5_quality_rules,
