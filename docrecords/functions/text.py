@@ -76,8 +76,8 @@ def normalize_date(c: Column | str, lenient: bool = False) -> Column:
     return F.when(c.rlike(ISO_DATE), F.try_to_date(c, "yyyy-MM-dd")).when(cleaned.rlike(US_DATE), us)
 
 
-def lead_sentences(c: Column | str, sentences: int, head_chars: int) -> Column:
-    """The first sentences of the first ``head_chars`` characters, on one line."""
-    head = F.left(_col(c), F.lit(head_chars))
+def lead_sentences(c: Column | str, sentences: int, head_chars: int | None = None) -> Column:
+    """The first sentences, of the first ``head_chars`` characters if given, on one line."""
+    head = _col(c) if head_chars is None else F.left(_col(c), F.lit(head_chars))
     cut = F.regexp_replace(head, r"([.!?]+)\s+", "$1\u001e")
     return squeeze(F.array_join(F.slice(F.split(cut, "\u001e"), 1, sentences), " "))

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docrecords.functions.text import lead_sentences
-from docrecords.operators.intake import pending_files
+from docrecords.operators.intake import VERSION, having, pending_files
 from docrecords.operators.rows import pin
-from docrecords.operators.skew import outer_join
+from docrecords.operators.skew import latest
 from docrecords.schemas import (
     DOCUMENT_LABELS,
-    MIN_TEXT_LENGTH,
     NO_SUMMARY,
-    SUMMARY_INPUT_CHARS,
     UNCLASSIFIED,
 )
 
@@ -28,14 +26,30 @@ LABEL_PHRASES: dict[str, tuple[str, ...]] = {
 }
 
 
-def _long_enough(text: Column) -> Column:
-    return text.isNotNull() & (F.length(text) > MIN_TEXT_LENGTH)
+#: Makes a column from the text column.
+TextFunction = Callable[[Column], Column]
 
 
-def summarize(df: DataFrame, text: str = "text", out: str = "summary", sentences: int = 3) -> DataFrame:
-    """The leading sentences of the text's first 2,000 characters; a fixed phrase for short texts."""
-    lead = lead_sentences(text, sentences, SUMMARY_INPUT_CHARS)
-    return df.withColumn(out, F.when(_long_enough(F.col(text)), lead).otherwise(NO_SUMMARY))
+def _long_enough(text: Column, min_length: int) -> Column:
+    return text.isNotNull() & (F.length(text) > min_length)
+
+
+def summarize(
+    df: DataFrame,
+    text: str = "text",
+    out: str = "summary",
+    sentences: int = 3,
+    min_length: int = 0,
+    head_chars: int | None = None,
+    fn: TextFunction | None = None,
+) -> DataFrame:
+    """The leading sentences of the text; a fixed phrase for texts up to ``min_length``.
+
+    ``head_chars`` looks at the first characters only. ``fn`` makes the summary instead,
+    for instance by calling a model.
+    """
+    lead = lead_sentences(text, sentences, head_chars) if fn is None else fn(F.col(text))
+    return df.withColumn(out, F.when(_long_enough(F.col(text), min_length), lead).otherwise(NO_SUMMARY))
 
 
 def classify(
@@ -44,12 +58,17 @@ def classify(
     labels: Sequence[str] = DOCUMENT_LABELS,
     text: str = "text",
     out: str = "document_type",
+    min_length: int = 0,
+    fn: TextFunction | None = None,
 ) -> DataFrame:
     """The label whose phrases occur most often in the whole text.
 
-    Ties go to the label listed first, no occurrence gives the last label, and
-    short texts are not labelled.
+    Ties go to the label listed first, no occurrence gives the last label, and texts of
+    at most ``min_length`` characters are not labelled. ``fn`` gives the label instead.
     """
+    if fn is not None:
+        label = F.when(_long_enough(F.col(text), min_length), fn(F.col(text))).otherwise(UNCLASSIFIED)
+        return pin(df.withColumn(out, label), out)
     rules = LABEL_PHRASES if rules is None else rules
     default = labels[-1]
     scored = [label for label in labels if rules.get(label)]
@@ -60,7 +79,7 @@ def classify(
     pick = F.when(best == 0, default)
     for label, n in zip(scored, counts):
         pick = pick.when(n == best, label)
-    chosen = F.when(_long_enough(F.col(text)), pick).otherwise(UNCLASSIFIED)
+    chosen = F.when(_long_enough(F.col(text), min_length), pick).otherwise(UNCLASSIFIED)
     keep = [c for c in df.columns if c != out]
     return pin(staged.select(*keep, chosen.alias(out)), out)
 
@@ -75,9 +94,9 @@ def _occurrences(text: str, phrases: Sequence[str]) -> Column:
     return sum(counts[1:], counts[0])
 
 
-def enrich(df: DataFrame, **classify_options) -> DataFrame:
+def enrich(df: DataFrame, summary_options: Mapping | None = None, **classify_options) -> DataFrame:
     """Summary and document type of each text."""
-    return classify(summarize(df), **classify_options)
+    return classify(summarize(df, **(summary_options or {})), **classify_options)
 
 
 def route_by_type(docs: DataFrame, keep: str = "invoice") -> tuple[DataFrame, DataFrame]:
@@ -86,22 +105,14 @@ def route_by_type(docs: DataFrame, keep: str = "invoice") -> tuple[DataFrame, Da
     return docs.filter(kept), docs.filter(~kept)
 
 
-def attach_labels(files: DataFrame, docs: DataFrame, min_rows: int | None = None) -> DataFrame:
+def attach_labels(files: DataFrame, docs: DataFrame) -> DataFrame:
     """Left join the first source's summary and type on the file version.
 
-    Joining on both parts of the version keeps a file with several versions from
-    multiplying.
+    Of several rows of a version the last one taken in counts, so files never multiply.
     """
-    options = {} if min_rows is None else {"min_rows": min_rows}
-    left = files.withColumn("_version", version_key())
-    right = docs.select(version_key().alias("_version"), "summary", "document_type")
-    joined = outer_join(left, right, "_version", "left", **options)
-    return joined.drop("_version", "in_left", "in_right")
-
-
-def version_key() -> Column:
-    """(path, modificationTime) as one text; NULL when either is NULL."""
-    return F.concat(F.col("path"), F.lit("\u001f"), F.col("modificationTime").cast("string"))
+    order = [c for c in ("ingestion_timestamp", "document_type", "summary") if c in docs.columns]
+    labels = latest(docs.select(*dict.fromkeys([*VERSION, "summary", "document_type", *order])), VERSION, order)
+    return files.join(labels.select(*VERSION, "summary", "document_type"), VERSION, "left")
 
 
 def second_source(
@@ -114,7 +125,12 @@ def second_source(
     """Files the second extractor should read, with the first source's labels.
 
     With ``keep`` only documents of that type remain, so the costly extractor does
-    not run on files that later steps would drop.
+    not run on files that later steps would drop. Labels are joined to versions, and
+    content is read for the versions that remain.
     """
-    labelled = attach_labels(pending_files(intake, ledger, **pending_options), docs)
-    return labelled if keep is None else labelled.filter(F.col("document_type").eqNullSafe(F.lit(keep)))
+    narrow = pending_files(intake.select(*VERSION), ledger, **pending_options)
+    labelled = attach_labels(narrow.select(*VERSION).distinct(), docs)
+    if keep is not None:
+        labelled = labelled.filter(F.col("document_type").eqNullSafe(F.lit(keep)))
+    files = having(intake, labelled).withColumn("process_date", F.to_date("modificationTime"))
+    return attach_labels(files, labelled)

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docrecords.operators.rows import pin
 from docrecords.schemas import ADDRESS_PARTS, LINE_ITEM, PAYMENT_TERMS
@@ -128,9 +127,6 @@ def extract_records_python(df: DataFrame, fn: PythonExtractor, source: str = "in
     The function sees one text at a time; an exception, or a result that is not
     JSON, becomes that row's error.
     """
-    schema = T.StructType(
-        df.schema.fields + [T.StructField("_json", T.StringType()), T.StructField("error", T.StringType())]
-    )
 
     def one(text: str | None) -> tuple[str | None, str | None]:
         if text is None:
@@ -140,13 +136,15 @@ def extract_records_python(df: DataFrame, fn: PythonExtractor, source: str = "in
         except Exception as e:  # noqa: BLE001 - any failure belongs to its row
             return None, f"{type(e).__name__}: {e}"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            pairs = [one(t) for t in batch[source]]
-            yield batch.assign(_json=[p[0] for p in pairs], error=[p[1] for p in pairs])
+    @F.pandas_udf("json string, error string")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(t) for t in texts], columns=["json", "error"], dtype="object")
 
-    done = df.mapInPandas(run, schema)
-    return done.withColumn("response", F.parse_json("_json")).drop("_json")
+    done = pin(df.withColumn("_done", run(F.col(source))), "_done")
+    response = F.try_parse_json("_done.json")
+    lost = F.when(F.col("_done.json").isNotNull() & response.isNull(), "result beyond the limits of JSON values")
+    done = done.withColumn("response", response).withColumn("error", F.coalesce(F.col("_done.error"), lost))
+    return done.drop("_done")
 
 
 def run_inference(docs: DataFrame, extractor: NativeExtractor | None = None, fn: PythonExtractor | None = None) -> DataFrame:

@@ -31,29 +31,42 @@ def newer_than(files: DataFrame, cutoff: datetime | str) -> DataFrame:
 def not_in(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files whose version the ledger does not hold.
 
-    The ledger is reduced to distinct versions first: the join needs no more, and
-    a version recorded very often then weighs as much as any other.
+    Versions alone are compared, so content is not moved for files that are known. The
+    ledger is reduced to distinct versions first: a version recorded very often then
+    weighs as much as any other. A version with a NULL part is in no ledger.
     """
-    return files.join(ledger.select(*VERSION).distinct(), VERSION, "left_anti")
+    narrow = files.select(*VERSION).join(ledger.select(*VERSION).distinct(), VERSION, "left_anti")
+    return narrow if files.columns == VERSION else having(files, narrow)
+
+
+def having(files: DataFrame, versions: DataFrame) -> DataFrame:
+    """The files of these versions; NULL parts of a version equal each other."""
+    wanted = versions.select(F.col("path").alias("_path"), F.col("modificationTime").alias("_time")).distinct()
+    same = F.col("path").eqNullSafe(F.col("_path")) & F.col("modificationTime").eqNullSafe(F.col("_time"))
+    return files.join(wanted, same, "left_semi")
 
 
 def incremental_intake(
     files: DataFrame,
     existing: DataFrame | None = None,
-    baseline: str = INTAKE_BASELINE,
-    lookback: timedelta = timedelta(0),
+    baseline: str | None = None,
+    lookback: timedelta | None = None,
 ) -> DataFrame:
-    """Files not yet taken in.
+    """Files not yet taken in: those whose version is not there, however old they are.
 
-    A first run takes everything newer than the baseline. Later runs look at files
-    newer than the high-water mark less ``lookback`` (one value, read by the driver
-    so that it reaches the scans as a filter) and take those whose version is not
-    there. Only these are compared, so old content is neither read nor moved.
+    Two options narrow the comparison where late files cannot occur: ``baseline`` leaves
+    out files up to that time, ``lookback`` those older than the high-water mark of
+    intake less that interval (one value, read by the driver, so that it reaches the
+    scans as a filter).
     """
+    if baseline is not None:
+        files = newer_than(files, baseline)
     if existing is None:
-        return newer_than(files, baseline)
-    cutoff = high_water_mark(existing, baseline).first()["high_water_mark"] - lookback
-    return not_in(newer_than(files, cutoff), newer_than(existing, cutoff))
+        return files
+    if lookback is not None:
+        mark = high_water_mark(existing, baseline or INTAKE_BASELINE).first()["high_water_mark"]
+        files, existing = newer_than(files, mark - lookback), newer_than(existing, mark - lookback)
+    return not_in(files, existing)
 
 
 def recent_count(intake: DataFrame, as_of: datetime | str, interval: str, column: str = "ingestion_timestamp") -> DataFrame:
@@ -79,9 +92,8 @@ def pending_dates(
     dates: Iterable[date] | None = None,
 ) -> DataFrame:
     """Distinct days with unprocessed files, oldest first; ``dates`` narrows them."""
-    versions = intake.select(*VERSION)
-    if dates is not None:
-        versions = _on_days(versions, dates)
+    versions = intake if dates is None else _on_days(intake, dates)
+    versions = versions.select(*VERSION)
     days = _pending(versions, ledger, suffixes).select(F.to_date("modificationTime").alias("process_date"))
     return days.distinct().orderBy("process_date")
 
@@ -90,7 +102,7 @@ def pending_files(
     intake: DataFrame,
     ledger: DataFrame | None = None,
     dates: Iterable[date] | None = None,
-    suffixes: Iterable[str] | None = (".pdf",),
+    suffixes: Iterable[str] | None = None,
 ) -> DataFrame:
     """Unprocessed files of all days, or of the given ones, with their ``process_date``."""
     if dates is not None:
@@ -99,9 +111,24 @@ def pending_files(
     return pending.withColumn("process_date", F.to_date("modificationTime"))
 
 
+def pending_by_day(intake: DataFrame, pending: DataFrame) -> tuple[list[date | None], list[date | None]]:
+    """(days of which every version is pending, other days with pending versions).
+
+    One narrow pass over versions; the driver gets a few numbers per day.
+    """
+    days = [
+        df.groupBy(F.to_date("modificationTime").alias("day")).agg(F.count("*").alias(name))
+        for df, name in ((intake.select(*VERSION), "present"), (pending.select(*VERSION), "pending"))
+    ]
+    same = F.col("l.day").eqNullSafe(F.col("r.day"))
+    rows = days[0].alias("l").join(days[1].alias("r"), same).select("l.day", "present", "pending").collect()
+    whole = [r["day"] for r in rows if r["present"] == r["pending"]]
+    return whole, [r["day"] for r in rows if r["present"] != r["pending"]]
+
+
 def _on_days(df: DataFrame, dates: Iterable[date]) -> DataFrame:
-    # Comparing the day lets the optimizer push a time range to the scan.
-    day = F.to_date("modificationTime")
+    # A stored day prunes folders; else comparing the day pushes a time range to the scan.
+    day = F.col("process_date") if "process_date" in df.columns else F.to_date("modificationTime")
     wanted = F.lit(False)
     for d in dates:
         wanted = wanted | (day == F.lit(d))

@@ -10,12 +10,14 @@ The policy of each field is written in ``schemas.FIELDS``:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docrecords.functions.text import nz
 from docrecords.operators.canonical import header_struct
-from docrecords.operators.skew import MIN_HOT_ROWS, outer_join
+from docrecords.operators.skew import latest, outer_join
 from docrecords.schemas import BY_NAME, FIELDS, FLAT_COLUMNS, LINE_ITEMS
 
 KEY = "source_file_path"
@@ -26,24 +28,28 @@ def pair_sources(
     fallback: DataFrame,
     key: str = KEY,
     columns: list[str] | None = None,
-    min_rows: int = MIN_HOT_ROWS,
+    version: Sequence[str] | None = None,
 ) -> DataFrame:
     """Full outer join of two flat record sets on ``key``.
 
     The columns of the sides are prefixed ``p_`` and ``f_``; the key column, taken
-    from whichever side has it, is called ``key``.
+    from whichever side has it, is called ``key``. With ``version`` (columns, the most
+    important first) each side is reduced to its latest record per key before; without
+    it the sides must hold one record per key, or several pair up with each other.
     """
     columns = FLAT_COLUMNS if columns is None else columns
+    if version is not None:
+        primary, fallback = latest(primary, [key], version), latest(fallback, [key], version)
     p = primary.select(F.col(key).alias("key"), *[F.col(c).alias(f"p_{c}") for c in columns])
     f = fallback.select(F.col(key).alias("key"), *[F.col(c).alias(f"f_{c}") for c in columns])
-    return outer_join(p, f, "key", "full", min_rows)
+    return outer_join(p, f, "key", "full", spread_nulls=version is not None)
 
 
 def merge_sources(
-    primary: DataFrame, fallback: DataFrame, key: str = KEY, min_rows: int = MIN_HOT_ROWS
+    primary: DataFrame, fallback: DataFrame, key: str = KEY, version: Sequence[str] | None = None
 ) -> DataFrame:
     """Two flat record sets to merged nested records."""
-    return merge_pairs(pair_sources(primary, fallback, key, min_rows=min_rows))
+    return merge_pairs(pair_sources(primary, fallback, key, version=version))
 
 
 def merge_pairs(pairs: DataFrame) -> DataFrame:

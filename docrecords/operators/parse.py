@@ -18,6 +18,8 @@ from docrecords.operators.rows import unnest
 from docrecords.schemas import MARKUP_EXTENSIONS, PARSED_EXTENSIONS
 
 DEFAULT_SEPARATOR = "\n\n"
+#: The contents of a file's elements, in order; an exception marks the file.
+Parser = Callable[[bytes], Sequence[str]]
 
 
 def line_elements(text: Column) -> Column:
@@ -66,13 +68,15 @@ def parse_documents(
     parsed_extensions: Sequence[str] = PARSED_EXTENSIONS,
     markup_extensions: Sequence[str] = MARKUP_EXTENSIONS,
     sep: str = DEFAULT_SEPARATOR,
+    parser: Parser | None = None,
 ) -> DataFrame:
     """(path, content, ...) to (..., raw_parsed, text, branch, reason).
 
     Files with a parsed (or markup) extension go through the element parser, all
     others are decoded as they are. Both branches are cases of one projection, so
     the content is read once. ``reason`` tells why a file yields no text; NULL
-    means it was parsed.
+    means it was parsed. A ``parser`` reads the files with a parsed extension; without
+    one these must be text, and other bytes are a reason.
     """
     ext = F.lower(extension("path", with_dot=True))
     decoded = decode_text("content")
@@ -83,14 +87,20 @@ def parse_documents(
         F.when(ext.isin(*parsed_extensions) | is_markup, "parsed").otherwise("plain").alias("branch"),
         F.when(is_markup, "html").otherwise("text").alias("_kind"),
         decoded.alias("_decoded"),
+        F.is_valid_utf8(F.col("content").cast("string")).alias("_is_text"),
+        _run_parser(parser, F.when(ext.isin(*parsed_extensions), F.col("content"))).alias("_parser"),
     )
-    found = F.when(F.col("_kind") == "html", markup.elements(F.col("_decoded"))).otherwise(
-        line_elements(F.col("_decoded"))
-    )
+    own = line_elements(F.col("_decoded"))
+    if parser is not None:
+        contents = F.col("_parser.contents")
+        own = F.transform(contents, lambda x: F.struct(F.lit("part").alias("tag"), x.alias("content")))
+    found = F.when(F.col("_kind") == "html", markup.elements(F.col("_decoded"))).otherwise(own)
     staged = staged.withColumn("_elements", F.when(F.col("branch") == "parsed", found))
     parsed = F.col("branch") == "parsed"
-    reason = F.when(F.col("_decoded").isNull(), "no content").when(
-        parsed & (F.size("_elements") == 0), "no elements"
+    element_file = parsed & (F.col("_kind") == "text")
+    unread = F.when(element_file & ~F.col("_is_text"), "not text") if parser is None else F.col("_parser.error")
+    reason = F.when(F.col("_decoded").isNull(), "no content").when(unread.isNotNull(), unread).when(
+        parsed & (F.coalesce(F.size("_elements"), F.lit(0)) <= 0), "no elements"
     )
     joined = F.array_join(F.transform("_elements", lambda e: e["content"]), sep)
     return staged.select(
@@ -102,6 +112,24 @@ def parse_documents(
     )
 
 
+def _run_parser(parser: Parser | None, content: Column) -> Column:
+    """The contents and error of a caller's parser for each value that is not NULL."""
+    if parser is None:
+        return F.lit(None).cast("struct<contents: array<string>, error: string>")
+
+    @F.pandas_udf("contents array<string>, error string")
+    def run(values: pd.Series) -> pd.DataFrame:
+        rows = []
+        for value in values:
+            try:
+                rows.append((None if value is None else [str(x) for x in parser(bytes(value))], None))
+            except Exception as e:  # noqa: BLE001 - any failure belongs to its row
+                rows.append((None, f"{type(e).__name__}: {e}"))
+        return pd.DataFrame(rows, columns=["contents", "error"], dtype="object")
+
+    return run(content)
+
+
 def html_to_markdown(df: DataFrame, source: str = "html", out: str = "text") -> DataFrame:
     return df.withColumn(out, markup.markdown(F.col(source)))
 

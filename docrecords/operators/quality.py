@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docrecords.operators.merge import KEY, pair_sources
-from docrecords.operators.skew import MIN_HOT_ROWS
 from docrecords.schemas import BY_NAME, COMPARED_COLUMNS, Field
 
 # What a NULL counts as when values are compared.
 NULL_AS = {"string": "''", "date": "DATE '1900-01-01'", "number": "0.0D", "integer": "0"}
 
-LONG_PREVIEW = 100
-CLIPPED_PREVIEW = 200
-
 
 def _differs(field: Field, null_safe: bool) -> Column:
     p, f = F.col(f"p_{field.name}"), F.col(f"f_{field.name}")
@@ -32,7 +28,7 @@ def field_status(
     fallback: DataFrame,
     key: str = KEY,
     null_safe: bool = False,
-    min_rows: int = MIN_HOT_ROWS,
+    version: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per file of either side: ``<field>_status`` is SAME or DIFF.
 
@@ -41,7 +37,7 @@ def field_status(
     stay in the output, prefixed ``p_`` and ``f_``, next to ``in_left``/``in_right``.
     """
     audit = ["source_file_name", "ingestion_timestamp", "processing_timestamp"]
-    pairs = pair_sources(primary, fallback, key, COMPARED_COLUMNS + audit, min_rows)
+    pairs = pair_sources(primary, fallback, key, COMPARED_COLUMNS + audit, version)
     return pairs.withColumns(
         {
             f"{n}_status": F.when(_differs(BY_NAME[n], null_safe), "DIFF").otherwise("SAME")
@@ -54,19 +50,17 @@ def _is_diff(name: str) -> Column:
     return F.col(f"{name}_status") == "DIFF"
 
 
-def _shown(field: Field, side: str) -> Column:
-    """The preview of one value, NULL shown as the word."""
+def _shown(field: Field, side: str, cut: Mapping[str, int]) -> Column:
+    """The preview of one value, NULL shown as the word; ``cut`` has lengths by kind of preview."""
     c = F.col(f"{side}_{field.name}")
     if field.kind != "string":
         c = c.cast("string")
-    if field.preview in ("long", "address"):
-        c = F.left(c, F.lit(LONG_PREVIEW))
-    elif field.preview == "clipped":
-        c = F.left(c, F.lit(CLIPPED_PREVIEW))
+    if field.preview in cut:
+        c = F.left(c, F.lit(cut[field.preview]))
     return F.coalesce(c, F.lit("NULL"))
 
 
-def _preview(field: Field, left_label: str, right_label: str) -> Column:
+def _preview(field: Field, left_label: str, right_label: str, cut: Mapping[str, int]) -> Column:
     opening, closing = {
         "plain": ("", ""),
         "long": ('"', '..."'),
@@ -74,9 +68,9 @@ def _preview(field: Field, left_label: str, right_label: str) -> Column:
     }.get(field.preview, ('"', '"'))
     text = F.concat(
         F.lit(f"{left_label}: {opening}"),
-        _shown(field, "p"),
+        _shown(field, "p", cut),
         F.lit(f"{closing} | {right_label}: {opening}"),
-        _shown(field, "f"),
+        _shown(field, "f", cut),
         F.lit(closing),
     )
     return F.when(_is_diff(field.name), text)
@@ -89,13 +83,15 @@ def field_diff_report(
     labels: tuple[str, str] = ("OCR", "AI"),
     null_safe: bool = False,
     ordered: bool = True,
-    min_rows: int = MIN_HOT_ROWS,
+    cut: Mapping[str, int] | None = None,
+    version: Sequence[str] | None = None,
 ) -> DataFrame:
     """Files with at least one difference: how many, which columns, and previews.
 
     Most differences first, then by key. ``coverage`` tells one-sided files apart.
+    Previews are whole unless ``cut`` limits a kind, as in ``{"long": 100, "clipped": 200}``.
     """
-    statuses = field_status(primary, fallback, key, null_safe, min_rows)
+    statuses = field_status(primary, fallback, key, null_safe, version)
     counted = statuses.withColumn(
         "total_differences",
         reduce(lambda a, b: a + b, [_is_diff(n).cast("int") for n in COMPARED_COLUMNS]),
@@ -109,7 +105,7 @@ def field_diff_report(
         "total_differences",
         F.concat_ws(", ", *[F.when(_is_diff(n), F.lit(n)) for n in COMPARED_COLUMNS]).alias("different_columns"),
         *[
-            _preview(BY_NAME[n], *labels).alias(f"{n}_diff")
+            _preview(BY_NAME[n], *labels, cut or {}).alias(f"{n}_diff")
             for n in COMPARED_COLUMNS
             if BY_NAME[n].preview != "none"
         ],
@@ -120,18 +116,16 @@ def field_diff_report(
 def field_diff_summary(statuses: DataFrame) -> DataFrame:
     """(field, status, n) over the output of ``field_status``.
 
-    The files are first counted per pattern of differing fields, inside each task;
-    only the counted patterns are turned into one row per field.
+    One sum per field in a single pass, then one row per field.
     """
-    pattern = F.array(*[_is_diff(n) for n in COMPARED_COLUMNS])
-    patterns = statuses.select(pattern.alias("differs")).groupBy("differs").agg(F.count("*").alias("n"))
-    names = F.array(*[F.lit(n) for n in COMPARED_COLUMNS])
-    per_field = patterns.select(
-        "n",
-        F.inline(F.arrays_zip(names.alias("field"), F.col("differs"))),
-    ).toDF("n", "field", "differs")
-    status = F.when(F.col("differs"), "DIFF").otherwise("SAME").alias("status")
-    return per_field.groupBy("field", status).agg(F.sum("n").alias("n"))
+    sums = [F.count_if(_is_diff(n)).alias(n) for n in COMPARED_COLUMNS]
+    totals = statuses.agg(F.count("*").alias("_n"), *sums)
+    each = [
+        F.struct(F.lit(n).alias("field"), F.lit(status).alias("status"), count.alias("n"))
+        for n in COMPARED_COLUMNS
+        for status, count in (("DIFF", F.col(n)), ("SAME", F.col("_n") - F.col(n)))
+    ]
+    return totals.select(F.inline(F.array(*each))).filter("n > 0")
 
 
 def _coverage(labels: tuple[str, str]) -> Column:

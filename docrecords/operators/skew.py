@@ -1,204 +1,80 @@
-"""Work on keys of which one may hold a large share of all rows.
+"""Joins and numbering on keys of which one may hold a large share of all rows.
 
-``hot_keys`` finds such keys with one map-side-combined pass; the other
-functions treat them apart, so no task ever owns a whole hot key. Results are
-the same with and without hot keys.
+Everything here is lazy and made of built-in operations: no job runs while a plan is
+built, nothing is written, and results and types do not depend on the data's size.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docrecords.session import shared_dir
 
-#: Rows one task handles comfortably; a key below this is never hot.
-MIN_HOT_ROWS = 1_000_000
-#: A key with more than 1/HOT_SHARE of all rows is hot, so at most HOT_SHARE are.
-HOT_SHARE = 64
-PROBE_BUCKETS = 1024
-NULL_BUCKET = -1
-SALTS = 64
+def latest(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key: the one with the greatest ``order``, NULLs last.
 
-
-@dataclass(frozen=True)
-class Load:
-    """What the probe found: the hot keys, and whether NULL keys are as many."""
-
-    hot: list
-    many_nulls: bool
+    Spark takes the first row of each key in every task before the shuffle, so a key
+    with very many rows costs one row per task. Rows with a NULL in the key are all kept.
+    """
+    some_null = any_null(key)
+    window = Window.partitionBy(*key).orderBy(*[F.col(o).desc_nulls_last() for o in order])
+    known = df.filter(~some_null).withColumn("_row", F.row_number().over(window)).filter("_row = 1").drop("_row")
+    return known.unionByName(df.filter(some_null))
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> list:
-    """Values of ``key`` with over ``min_rows`` rows and over 1/64 of all rows."""
-    return key_loads([df], key, min_rows)[0].hot
+def any_null(key: Sequence[str]) -> Column:
+    null = F.lit(False)
+    for k in key:
+        null = null | F.col(k).isNull()
+    return null
 
 
-def key_loads(sides: list[DataFrame], key: str, min_rows: int = MIN_HOT_ROWS) -> list[Load]:
-    """The load of each data frame.
+def null_spread(df: DataFrame, key: Sequence[str]) -> Column:
+    """0, or for rows with a NULL in the key a number that spreads them over tasks.
 
-    One job counts rows per hash bucket of the key; it brings at most 1,025 counts
-    per side to the driver. Only if one of them is large are keys counted, and only
-    those of the large buckets; at most 64 keys per side can pass. NULL is never a
-    hot key: it equals no key.
+    NULL equals no key, so such rows may go anywhere. The number is the same when a
+    task runs again; equal rows of different input partitions get different ones.
     """
-    bucket = F.when(F.col("k").isNotNull(), F.pmod(F.xxhash64("k"), F.lit(PROBE_BUCKETS))).otherwise(NULL_BUCKET)
-    keys = [
-        df.select(F.lit(i).alias("side"), F.col(key).alias("k")).withColumn("bucket", bucket)
-        for i, df in enumerate(sides)
-    ]
-    counts = reduce(DataFrame.unionByName, keys).groupBy("side", "bucket").count().collect()
-    loads = []
-    for i, side_keys in enumerate(keys):
-        buckets = {r["bucket"]: r["count"] for r in counts if r["side"] == i}
-        limit = max(min_rows, sum(buckets.values()) // HOT_SHARE)
-        many_nulls = buckets.pop(NULL_BUCKET, 0) > limit
-        large = [b for b, n in buckets.items() if n > limit]
-        hot = []
-        if large:
-            counted = side_keys.filter(F.col("bucket").isin(large)).groupBy("k").count()
-            hot = [r["k"] for r in counted.filter(F.col("count") > limit).collect()]
-        loads.append(Load(hot, many_nulls))
-    return loads
-
-
-def split_by_key(df: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:
-    """(rows with other or NULL keys, rows with hot keys)."""
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    return df.filter(~is_hot), df.filter(is_hot)
-
-
-def number_within(
-    df: DataFrame, key: str, order: list[str], name: str, hot: list | None = None
-) -> DataFrame:
-    """Number the rows of each key from 1 in the given order.
+    hashed = [c for c, kind in df.dtypes if c not in key and "variant" not in kind and "map<" not in kind]
+    return F.when(any_null(key), F.xxhash64(F.spark_partition_id(), *hashed)).otherwise(F.lit(0).cast("long"))
 
-    Rows of ordinary keys are numbered by a window over the key. Rows of hot keys
-    are range-partitioned over key and order, numbered inside each partition, and
-    shifted by the rows of the same key in earlier partitions. Rows that tie in
-    every order column should be equal in every other column that matters.
-    """
-    hot = hot_keys(df, key) if hot is None else hot
-    cold, heavy = split_by_key(df, key, hot) if hot else (df, None)
-    numbered = cold.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-    if heavy is None:
-        return numbered
-    # The tie breaker lets equal rows spread over several partitions.
-    placed = (
-        _pinned(heavy)
-        .withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(key, *order, "_tie")
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint()
-    )
-    inside = Window.partitionBy("_part", key).orderBy(*order, "_tie")
-    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per hot key and range partition: at most 64 + the number of partitions.
-    offsets = (
-        placed.groupBy(key, "_part")
-        .count()
-        .withColumn("_offset", F.coalesce(F.sum("count").over(before), F.lit(0)))
-        .drop("count")
-    )
-    shifted = (
-        placed.withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(offsets), [key, "_part"])
-        .withColumn(name, F.col("_inside") + F.col("_offset"))
-    )
-    return numbered.withColumn(name, F.col(name).cast("long")).unionByName(shifted.select(*numbered.columns))
+
+def number_within(df: DataFrame, key: str, order: list[str], name: str) -> DataFrame:
+    """Number the rows of each key from 1 in the given order."""
+    window = Window.partitionBy(key).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(window).cast("long"))
 
 
 def outer_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "full",
-    min_rows: int = MIN_HOT_ROWS,
+    left: DataFrame, right: DataFrame, key: str | Sequence[str], how: str = "full", spread_nulls: bool = False
 ) -> DataFrame:
-    """``left`` full or left outer join ``right`` on the column ``key`` of both.
+    """``left`` full or left outer join ``right`` on the columns ``key`` of both.
 
-    Output: ``key`` (from whichever side has it), the other columns of both
-    sides, and the flags ``in_left`` and ``in_right``. The sides must share no
-    other column. NULL keys match nothing and are kept as one-sided rows.
+    Output: the key (from whichever side has it), the other columns of both sides, and
+    the flags ``in_left`` and ``in_right``. The sides must share no other column. NULL
+    keys match nothing and are kept as one-sided rows.
 
-    An outer join cannot be split at run time on its null-supplying side, so hot
-    keys found on both sides are matched by an inner join on key and salt, which
-    needs no outer rows; hot keys of one side only need no join at all.
+    An outer join cannot be split at run time on its null-supplying side, so both sides
+    of a full join, and the right of a left join, should hold one row per key (see
+    ``latest``). ``spread_nulls`` deals rows with NULL keys over all tasks; without it
+    the join is on the key alone, so that tables bucketed by it are joined in place.
     """
     if how not in ("full", "left"):
         raise ValueError(f"unsupported join type: {how}")
-    loads = key_loads([left, right], key, min_rows)
-    hot_left, hot_right = (load.hot for load in loads)
-    spread_nulls = any(load.many_nulls for load in loads)
-    columns = [key] + [c for c in left.columns + right.columns if c != key]
-    hot = sorted(set(hot_left) | set(hot_right))
-    if not hot:
-        return _plain_outer(left, right, key, how, columns, spread_nulls)
-    left, heavy_left = split_by_key(left, key, hot)
-    right, heavy_right = split_by_key(right, key, hot)
-    heavy_left, heavy_right = _pinned(heavy_left), _pinned(heavy_right)
-    both = sorted(_seen(heavy_left, key) & _seen(heavy_right, key))
-    parts = [_plain_outer(left, right, key, how, columns, spread_nulls)]
-    salt_left = [k for k in both if k in hot_left]
-    salt_right = [k for k in both if k not in hot_left]
-    if salt_left:
-        a, b = heavy_left.filter(F.col(key).isin(salt_left)), heavy_right.filter(F.col(key).isin(salt_left))
-        parts.append(_salted_inner(a, b, key).select(*columns, *_flags(True, True)))
-    if salt_right:
-        a, b = heavy_left.filter(F.col(key).isin(salt_right)), heavy_right.filter(F.col(key).isin(salt_right))
-        parts.append(_salted_inner(b, a, key).select(*columns, *_flags(True, True)))
-    parts.append(heavy_left.filter(~F.col(key).isin(both)).select("*", *_flags(True, False)))
-    if how == "full":
-        parts.append(heavy_right.filter(~F.col(key).isin(both)).select("*", *_flags(False, True)))
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
-
-
-def _flags(in_left: bool, in_right: bool) -> list[Column]:
-    return [F.lit(in_left).alias("in_left"), F.lit(in_right).alias("in_right")]
-
-
-def _plain_outer(
-    left: DataFrame, right: DataFrame, key: str, how: str, columns: list[str], spread_nulls: bool
-) -> DataFrame:
-    # Without many NULL keys the join is on the key alone, so that tables bucketed
-    # by it are joined where they are.
-    on = [key]
+    keys = [key] if isinstance(key, str) else list(key)
+    columns = keys + [c for c in left.columns + right.columns if c not in keys]
+    left = left.withColumn("_left", F.lit(True))
+    right = right.withColumn("_right", F.lit(True))
+    on = keys
     if spread_nulls:
-        on.append("_spread")
-        left = left.withColumn("_spread", _null_spread(left, key))
-        right = right.withColumn("_spread", _null_spread(right, key))
-    joined = left.withColumn("_left", F.lit(True)).join(right.withColumn("_right", F.lit(True)), on, how)
+        on = [*keys, "_spread"]
+        left = left.withColumn("_spread", null_spread(left, keys))
+        right = right.withColumn("_spread", null_spread(right, keys))
+    joined = left.join(right, on, how)
     return joined.select(
         *columns,
         F.coalesce("_left", F.lit(False)).alias("in_left"),
         F.coalesce("_right", F.lit(False)).alias("in_right"),
     )
-
-
-def _null_spread(df: DataFrame, key: str) -> Column:
-    """0, or for NULL keys a hash of the row, so that these do not share one task."""
-    hashed = [c for c, kind in df.dtypes if c != key and not kind.startswith(("variant", "map", "array", "struct"))]
-    if not hashed:
-        return F.lit(0).cast("long")
-    return F.when(F.col(key).isNull(), F.xxhash64(*hashed)).otherwise(F.lit(0).cast("long"))
-
-
-def _salted_inner(heavy: DataFrame, other: DataFrame, key: str) -> DataFrame:
-    """Each heavy row gets one salt; each other row is repeated for all salts."""
-    a = heavy.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    b = other.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    return a.join(b, [key, "_salt"]).drop("_salt")
-
-
-def _pinned(rows: DataFrame) -> DataFrame:
-    """Hot rows, written out, so that row ids taken from them survive a lost executor."""
-    shared_dir(rows.sparkSession)
-    return rows.checkpoint()
-
-
-def _seen(heavy: DataFrame, key: str) -> set:
-    """Which hot keys occur; bounded by the number of hot keys."""
-    return {r[key] for r in heavy.select(key).distinct().collect()}

@@ -13,6 +13,7 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,15 +22,16 @@ from pyspark.sql import types as T
 from docrecords.operators import enrich, intake, parse
 from docrecords.schemas import (
     DOCUMENT_INTAKE,
-    INTAKE_BASELINE,
     PARSED_DOCUMENT,
     PARSED_EXTENSIONS,
     SECOND_SOURCE_DOCUMENT,
 )
-from docrecords.sources.files import read_files, stamp
+from docrecords.sources.files import list_files, read_files, read_paths, stamp
 from docrecords.sources.tables import create_empty, table_exists, write_table
 
 MAIN, OTHER, REJECTED = "main", "other", "rejected"
+#: New files whose paths the driver holds at once.
+PATHS_AT_ONCE = 20_000
 
 ROUTED_DOCUMENT = T.StructType(
     PARSED_DOCUMENT.fields
@@ -49,12 +51,14 @@ class IngestConfig:
     intake_table: str = "document_intake"
     documents_table: str = "documents"
     second_table: str = "second_source_documents"
-    baseline: str = INTAKE_BASELINE
-    lookback: timedelta = timedelta(days=1)
-    suffixes: tuple[str, ...] | None = (".pdf",)
+    baseline: str | None = None
+    lookback: timedelta | None = None
+    suffixes: tuple[str, ...] | None = None
     parsed_extensions: tuple[str, ...] = PARSED_EXTENSIONS
     keep: str = "invoice"
     dates: tuple[date, ...] | None = None
+    #: Bytes of a file with a parsed extension to its elements, for formats such as PDF.
+    parser: parse.Parser | None = None
     classify_options: dict = field(default_factory=dict)
 
     @staticmethod
@@ -67,14 +71,19 @@ class IngestConfig:
 
 def run_intake(spark: SparkSession, config: IngestConfig, as_of: datetime | None = None) -> None:
     """Append files that are not yet in the intake table; create it on the first run."""
-    name = config.intake_table
+    name, days = config.intake_table, ("process_date",)
     files = read_files(spark, config.folder)
-    if table_exists(spark, name):
-        fresh = intake.incremental_intake(files, spark.table(name), config.baseline, config.lookback)
-    else:
-        create_empty(spark, name, DOCUMENT_INTAKE)
+    if not table_exists(spark, name):
+        create_empty(spark, name, DOCUMENT_INTAKE, days)
         fresh = intake.incremental_intake(files, None, config.baseline)
-    write_table(stamp(fresh, as_of), name, DOCUMENT_INTAKE)
+        write_table(stamp(fresh, as_of), name, DOCUMENT_INTAKE, partition_by=days)
+        return
+    # The listing alone is compared; then the new files, and no others, are opened. Spark's
+    # file index has every path of the folder on the driver; here they come in batches.
+    fresh = intake.incremental_intake(list_files(files), spark.table(name), config.baseline, config.lookback)
+    paths = (r["path"] for r in fresh.select("path").toLocalIterator())
+    while batch := list(islice(paths, PATHS_AT_ONCE)):
+        write_table(stamp(read_paths(spark, batch), as_of), name, DOCUMENT_INTAKE, partition_by=days)
 
 
 def documents(spark: SparkSession, config: IngestConfig, destination: str = MAIN) -> DataFrame:
@@ -84,7 +93,7 @@ def documents(spark: SparkSession, config: IngestConfig, destination: str = MAIN
 
 def process_documents(files: DataFrame, config: IngestConfig) -> DataFrame:
     """Pending files to routed documents. Local to each row: no shuffle."""
-    parsed = parse.parse_documents(files, config.parsed_extensions)
+    parsed = parse.parse_documents(files, config.parsed_extensions, parser=config.parser)
     typed = enrich.enrich(parsed, **config.classify_options)
     destination = (
         F.when(F.col("reason").isNotNull(), REJECTED)
@@ -99,20 +108,35 @@ def run_backfill(spark: SparkSession, config: IngestConfig) -> None:
     ledger = None
     if table_exists(spark, config.documents_table):
         ledger = intake.ledger_of(spark.table(config.documents_table))
-    files = intake.pending_files(spark.table(config.intake_table), ledger, config.dates, config.suffixes)
-    routed = process_documents(files.drop("length"), config)
+    taken = spark.table(config.intake_table)
+    pending = intake.pending_files(taken.select(*intake.VERSION), ledger, config.dates, config.suffixes)
+    routed = process_documents(_content_of(taken, pending).drop("length"), config)
     write_table(routed, config.documents_table, ROUTED_DOCUMENT, partition_by=("destination", "process_date"))
 
 
+def _content_of(taken: DataFrame, pending: DataFrame) -> DataFrame:
+    """The intake rows of pending versions; folders of other days are not opened.
+
+    A day that is pending as a whole needs no join, so its content is not moved.
+    """
+    whole, partly = intake.pending_by_day(taken, pending)
+    day = F.col("process_date")
+    on = lambda days: day.isin([d for d in days if d is not None]) | (day.isNull() if None in days else F.lit(False))
+    return taken.filter(on(whole)).unionByName(intake.having(taken.filter(on(partly)), pending))
+
+
 def run_second_source(
     spark: SparkSession,
     config: IngestConfig,
     fn: Callable[[bytes], str] | None = None,
 ) -> None:
-    """Run the second text extractor over the kept documents it has not seen."""
+    """Run the second text extractor over the kept documents it has not read.
+
+    A failure is a row with its ``error``; failed documents are tried again by each run.
+    """
     ledger = None
     if table_exists(spark, config.second_table):
-        ledger = intake.ledger_of(spark.table(config.second_table))
+        ledger = intake.ledger_of(spark.table(config.second_table).filter("error IS NULL"))
     files = enrich.second_source(
         spark.table(config.intake_table).drop("length"),
         # Only documents of the wanted type are read again, and these all are in 'main'.
@@ -122,7 +146,7 @@ def run_second_source(
         dates=config.dates,
         suffixes=config.suffixes,
     )
-    texts = parse.extract_text(files, fn)
+    texts = parse.extract_text(files, fn).withColumnRenamed("text_error", "error")
     schema = T.StructType(SECOND_SOURCE_DOCUMENT.fields + [T.StructField("process_date", T.DateType())])
     write_table(texts, config.second_table, schema, partition_by=("process_date",))
 

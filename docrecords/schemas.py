@@ -72,6 +72,8 @@ DOCUMENT_INTAKE = T.StructType(
         T.StructField("modificationTime", T.TimestampType()),
         T.StructField("length", T.LongType()),
         T.StructField("ingestion_timestamp", T.TimestampType()),
+            # Day of modification: the folder of a stored row.
+        T.StructField("process_date", T.DateType()),
     ]
 )
 
@@ -98,6 +100,8 @@ SECOND_SOURCE_DOCUMENT = T.StructType(
         T.StructField("summary", T.StringType()),
         T.StructField("document_type", T.StringType()),
         T.StructField("text", T.StringType()),
+        # Why the extractor gave no text; such rows are tried again.
+        T.StructField("error", T.StringType()),
     ]
 )
 
@@ -233,12 +237,11 @@ BY_NAME: dict[str, Field] = {f.name: f for f in FIELDS}
 DOCUMENT_LABELS = ("invoice", "receipt", "purchase_order", "contract", "other")
 UNCLASSIFIED = "unknown"
 NO_SUMMARY = "No summary available"
-MIN_TEXT_LENGTH = 100
-SUMMARY_INPUT_CHARS = 2000
 
 # Files sent to the element parser; all others are decoded as plain text.
 PARSED_EXTENSIONS = (".pdf", ".jpg", ".jpeg", ".png")
 # Kinds of parsed file whose bytes are markup.
 MARKUP_EXTENSIONS = (".html", ".htm")
 
+# Intake time reported where nothing was taken in.
 INTAKE_BASELINE = "2025-09-01 00:00:00"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +53,19 @@ def stream_files(
     return reader.option("maxFileAge", max_age).load(folder)
 
 
+def list_files(files: DataFrame) -> DataFrame:
+    """The files without content; Spark then opens none of them."""
+    return files.drop("content")
+
+
+def read_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Exactly these files; characters that Spark takes for patterns are escaped."""
+    escaped = [re.sub(r"([\\*?{}\[\]])", r"\\\1", p) for p in paths]
+    return spark.read.format("binaryFile").load(escaped)
+
+
 def stamp(files: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Intake rows: the files with the time they were taken in."""
+    """Intake rows: the files with the time they were taken in and their day."""
     now = F.current_timestamp() if as_of is None else F.lit(as_of)
-    return files.select("path", "content", "modificationTime", "length", now.alias("ingestion_timestamp"))
+    day = F.to_date("modificationTime").alias("process_date")
+    return files.select("path", "content", "modificationTime", "length", now.alias("ingestion_timestamp"), day)

@@ -21,9 +21,12 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*_conformed(df, schema))
 
 
-def create_empty(spark: SparkSession, name: str, schema: T.StructType) -> None:
+def create_empty(spark: SparkSession, name: str, schema: T.StructType, partition_by: tuple[str, ...] = ()) -> None:
     """An empty table with the declared layout, for a first run without input."""
-    spark.createDataFrame([], schema).write.saveAsTable(name)
+    writer = spark.createDataFrame([], schema).write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(name)
 
 
 def write_table(

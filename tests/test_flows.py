@@ -1,8 +1,9 @@
 """Files to final records through tables and streams."""
 
 import os
+import re
 import uuid
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,17 +67,40 @@ def by_destination(spark, config):
 
 def test_intake_is_incremental(spark, config, inbox):
     ingest.run_intake(spark, config, datetime(2025, 9, 4, 12))
-    assert spark.table(config.intake_table).count() == 5
+    assert spark.table(config.intake_table).count() == 6
     ingest.run_intake(spark, config, datetime(2025, 9, 4, 12))
-    assert spark.table(config.intake_table).count() == 5
-    touch(inbox / "new.pdf", INVOICE.encode(), "2025-09-05 10:00:00")
-    # Older than the mark, yet newer than the mark less the lookback.
-    touch(inbox / "late.pdf", INVOICE.encode(), "2025-09-04 10:00:00")
+    assert spark.table(config.intake_table).count() == 6
+    touch(inbox / "new [1]{a}*.pdf", INVOICE.encode(), "2025-09-05 10:00:00")
+    # A late file is taken in however old it is.
+    touch(inbox / "late.pdf", INVOICE.encode(), "2019-09-04 10:00:00")
     ingest.run_intake(spark, config, datetime(2025, 9, 5, 12))
-    assert spark.table(config.intake_table).count() == 7
+    assert spark.table(config.intake_table).count() == 8
     assert intake.high_water_mark(spark.table(config.intake_table)).first()[0] == datetime(2025, 9, 5, 12)
 
 
+def test_intake_options_narrow_the_comparison(spark):
+    files = spark.sql("select path, timestamp(t) as modificationTime from values ('a', '2025-01-01'), ('b', '2025-03-01'), (null, '2025-03-01') v(path, t)")
+    done = spark.sql("select 'b' as path, timestamp('2025-03-01') as modificationTime, timestamp('2025-03-02') as ingestion_timestamp")
+    fresh = lambda **o: sorted((str(r.path) for r in intake.incremental_intake(files, done, **o).collect()))
+    assert fresh() == ["None", "a"]
+    assert fresh(lookback=timedelta(days=5)) == ["None"]
+    assert fresh(baseline="2025-02-01") == ["None"]
+
+
+def test_content_of_known_files_is_not_moved(spark, config, plan):
+    ingest.run_intake(spark, config, datetime(2025, 9, 4, 12))
+    ingest.run_backfill(spark, ingest.IngestConfig(config.folder, config.intake_table, config.documents_table, dates=(date(2025, 9, 2),)))
+    taken = spark.table(config.intake_table)
+    ledger = intake.ledger_of(spark.table(config.documents_table))
+    pending = intake.pending_files(taken.select(*intake.VERSION), ledger)
+    files = ingest._content_of(taken, pending)
+    assert files.count() == 4
+    text = plan(files)
+    for exchange in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text):
+        assert "content" not in exchange
+    assert "process_date" in text and intake.pending_by_day(taken, pending)[1] == []
+
+
 def test_first_run_without_files(spark, config, tmp_path):
     (tmp_path / "empty").mkdir()
     empty = ingest.IngestConfig(str(tmp_path / "empty"), config.intake_table)
@@ -92,16 +116,17 @@ def test_backfill_routes_once(spark, config):
         ("main", "one.pdf", "invoice", None),
         ("main", "note.txt", "invoice", None),
         ("main", "page.html", "invoice", None),
+        ("main", "old.pdf", "invoice", None),
         ("other", "two.PDF", "contract", None),
         ("rejected", "blank.pdf", "unknown", "no elements"),
     }
     assert by_destination(spark, config) == wanted
     ingest.run_backfill(spark, config)
-    assert spark.table(config.documents_table).count() == 5
+    assert spark.table(config.documents_table).count() == 6
     summary = ingest.run_summary(spark, config)
-    assert {tuple(r) for r in summary["documents"].collect()} == {("main", 3), ("other", 1), ("rejected", 1)}
+    assert {tuple(r) for r in summary["documents"].collect()} == {("main", 4), ("other", 1), ("rejected", 1)}
     assert summary["latest"].first()["path"].endswith("page.html")
-    assert {r["extension"]: r["n"] for r in summary["extensions"].collect()} == {"pdf": 2, "PDF": 1, "txt": 1, "html": 1}
+    assert {r["extension"]: r["n"] for r in summary["extensions"].collect()} == {"pdf": 3, "PDF": 1, "txt": 1, "html": 1}
 
 
 def test_backfill_of_chosen_days(spark, config):
@@ -111,7 +136,7 @@ def test_backfill_of_chosen_days(spark, config):
     ingest.run_backfill(spark, ingest.IngestConfig(config.folder, config.intake_table, config.documents_table, dates=days))
     assert spark.table(config.documents_table).count() == 2
     left = intake.pending_dates(spark.table(config.intake_table), spark.table(config.documents_table))
-    assert [r[0] for r in left.collect()] == [date(2025, 9, 3), date(2025, 9, 4)]
+    assert [r[0] for r in left.collect()] == [date(2025, 8, 1), date(2025, 9, 3), date(2025, 9, 4)]
 
 
 def test_second_source_reads_kept_documents(spark, config):
@@ -119,11 +144,32 @@ def test_second_source_reads_kept_documents(spark, config):
     ingest.run_backfill(spark, config)
     ingest.run_second_source(spark, config, lambda content: content.decode("utf-8", "strict"))
     rows = {r.path.rsplit("/", 1)[1]: r for r in spark.table(config.second_table).collect()}
-    assert set(rows) == {"one.pdf", "note.txt", "page.html"}
-    assert rows["note.txt"].text is None and rows["one.pdf"].text == INVOICE
+    assert set(rows) == {"one.pdf", "old.pdf", "note.txt", "page.html"}
+    assert rows["note.txt"].text is None and rows["note.txt"].error.startswith("UnicodeDecodeError")
+    assert rows["one.pdf"].text == INVOICE and rows["one.pdf"].error is None
     assert rows["one.pdf"].document_type == "invoice"
+    # A failed document is tried again, the others are not.
     ingest.run_second_source(spark, config)
-    assert spark.table(config.second_table).count() == 3
+    again = [r for r in spark.table(config.second_table).collect() if r.path.endswith("note.txt")]
+    assert spark.table(config.second_table).count() == 5
+    assert sorted(r.error is None for r in again) == [False, True]
+
+
+def test_binary_files_are_rejected_or_parsed(spark, config, inbox):
+    touch(inbox / "scan.pdf", b"%PDF\xff\xfe", "2025-09-02 12:00:00")
+    ingest.run_intake(spark, config, datetime(2025, 9, 4, 12))
+    ingest.run_backfill(spark, config)
+    assert ("rejected", "scan.pdf", "unknown", "not text") in by_destination(spark, config)
+
+    def parser(content: bytes) -> list[str]:
+        if content.startswith(b"%PDF"):
+            return ["An invoice.", "Amount due: 3"]
+        return content.decode().splitlines()
+
+    other = ingest.IngestConfig(config.folder, config.intake_table, config.documents_table + "_p", parser=parser)
+    ingest.run_backfill(spark, other)
+    found = by_destination(spark, other)
+    assert ("main", "scan.pdf", "invoice", None) in found and ("main", "one.pdf", "invoice", None) in found
 
 
 def test_extraction_chain_runs_once_per_row(spark, config):
@@ -134,8 +180,8 @@ def test_extraction_chain_runs_once_per_row(spark, config):
         runners.extraction_chain(
             spark, config.documents_table, responses, records, only=runners.only_destination("main")
         )
-        assert spark.table(responses).count() == 3
-        assert spark.table(records).count() == 2
+        assert spark.table(responses).count() == 4
+        assert spark.table(records).count() == 3
     (one,) = spark.table(records).filter("source_file_name = 'one.pdf'").collect()
     assert one.invoice_header.totalAmount == 12.5
     assert one.invoice_header.shippingAddress.city == "X"
@@ -182,8 +228,16 @@ def test_routing_keeps_rows_without_a_type(spark):
 
 def test_short_texts_are_not_labelled(spark):
     df = spark.createDataFrame([("invoice",), (None,), ("z" * 101,)], "text string")
-    found = {(r.summary, r.document_type) for r in enrich.enrich(df).collect()}
+    found = {(r.summary, r.document_type) for r in enrich.enrich(df, {"min_length": 100}, min_length=100).collect()}
     assert found == {("No summary available", "unknown"), ("z" * 101, "other")}
+    whole = {(r.summary, r.document_type) for r in enrich.enrich(df).collect()}
+    assert whole == {("invoice", "invoice"), ("No summary available", "unknown"), ("z" * 101, "other")}
+
+
+def test_summary_and_label_of_the_caller(spark):
+    df = spark.createDataFrame([("some text",), (None,)], "text string")
+    done = enrich.enrich(df, {"fn": F.upper}, fn=lambda text: F.concat(F.lit("kind-"), F.left(text, F.lit(4))))
+    assert {(r.summary, r.document_type) for r in done.collect()} == {("SOME TEXT", "kind-some"), ("No summary available", "unknown")}
 
 
 def test_views(spark, sf_dir):

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check import compare, connect
+from verify.oracles import ORACLES
+from verify.queries import QUERIES
 
 SAMPLE = [
     "pending_dates",
@@ -18,6 +20,12 @@ SAMPLE = [
     "coverage_status",
     "violation_summary",
     "stream_inference",
+    "intake_incremental",
+    "pending_files_for_day",
+    "rejected_documents",
+    "parse_with_function",
+    "second_source_errors",
+    "field_diff_summary",
 ]
 
 
@@ -32,7 +40,8 @@ def test_query_equals_its_sql(spark, db, sf_dir, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

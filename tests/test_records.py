@@ -155,7 +155,10 @@ def test_null_equals_the_empty_value(spark):
 
 def test_report(spark, sf_dir):
     p = flat(spark, input="x" * 150, totalAmount=1.0, source_volume_path="/in/", shipping_address="s" * 120)
-    r = quality.field_diff_report(p, flat(spark, shipping_address="t")).first()
+    whole = quality.field_diff_report(p, flat(spark, shipping_address="t")).first()
+    assert whole.input_diff == 'OCR: "' + "x" * 150 + '..." | AI: "NULL..."'
+    cut = {"long": 100, "address": 100, "clipped": 200}
+    r = quality.field_diff_report(p, flat(spark, shipping_address="t"), cut=cut).first()
     assert r.different_columns == "input, source_volume_path, totalAmount, shipping_address"
     assert r.total_differences == 4
     assert r.input_diff == 'OCR: "' + "x" * 100 + '..." | AI: "NULL..."'

@@ -1,8 +1,7 @@
 """Operator inputs derived from the given tables.
 
 * ``files``: an intake listing made of ``documents``
-* ``headers`` / ``invoices``: one invoice per order (more for an order with over
-  ``LINES_PER_INVOICE`` lines, so that no record grows without bound)
+* ``headers`` / ``invoices``: one invoice per order
 * ``payloads``, ``text_invoices``: invoices as JSON and as text
 * ``primary`` / ``fallback``: two extractions that disagree in known places
 """
@@ -19,12 +18,11 @@ from docrecords.operators.extract import (
     HEADER_LABELS,
     TERMS_LABELS,
 )
-from docrecords.operators.skew import MIN_HOT_ROWS, hot_keys, number_within
+from docrecords.operators.skew import number_within
 from docrecords.schemas import ADDRESS_PARTS, CANONICAL, INVOICE_HEADER, LINE_ITEM, PAYMENT_TERMS
 from docrecords.session import configure
 from docrecords.sources.tables import conform
 
-LINES_PER_INVOICE = 1000
 INGESTED = "2025-09-20 00:00:00"
 
 
@@ -73,8 +71,8 @@ def ledger(listing: DataFrame) -> DataFrame:
 # --- invoices ---------------------------------------------------------------------
 
 
-def _order_lines(spark: SparkSession, sf_dir: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """k, part, lineNumber and the other line fields."""
+def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k, lineNumber and the other line fields."""
     order = [
         "l_linenumber",
         "l_partkey",
@@ -87,15 +85,11 @@ def _order_lines(spark: SparkSession, sf_dir: str, min_rows: int = MIN_HOT_ROWS)
         "l_returnflag",
         "l_linestatus",
     ]
-    lineitem = table(spark, sf_dir, "lineitem")
-    hot = hot_keys(lineitem, "l_orderkey", min_rows)
-    numbered = number_within(lineitem, "l_orderkey", order, "rn", hot)
-    zero_based = F.col("rn").cast("long") - 1
+    numbered = number_within(table(spark, sf_dir, "lineitem"), "l_orderkey", order, "rn")
     uom = F.when(F.col("l_partkey") % 3 == 0, "CASE").when(F.col("l_partkey") % 3 == 1, "EACH").otherwise("BOX")
     return numbered.select(
         F.col("l_orderkey").alias("k"),
-        F.expr(f"(rn - 1) div {LINES_PER_INVOICE}").alias("part"),
-        (F.pmod(zero_based, F.lit(LINES_PER_INVOICE)) + 1).cast("int").alias("lineNumber"),
+        F.col("rn").cast("int").alias("lineNumber"),
         F.concat(F.lit("P"), F.lpad(F.col("l_partkey").cast("string"), 6, "0")).alias("productCode"),
         uom.alias("uom"),
         F.col("l_quantity").alias("quantityShipped"),
@@ -105,11 +99,11 @@ def _order_lines(spark: SparkSession, sf_dir: str, min_rows: int = MIN_HOT_ROWS)
     )
 
 
-def line_arrays(spark: SparkSession, sf_dir: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """k, part, line_items in order; at most LINES_PER_INVOICE lines each."""
-    lines = _order_lines(spark, sf_dir, min_rows)
+def line_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k, line_items in order."""
+    lines = _order_lines(spark, sf_dir)
     item = F.struct(*LINE_ITEM.fieldNames())
-    return lines.groupBy("k", "part").agg(F.sort_array(F.collect_list(item)).alias("line_items"))
+    return lines.groupBy("k").agg(F.sort_array(F.collect_list(item)).alias("line_items"))
 
 
 def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +112,7 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _billed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with customer, nation and supplier, once per part."""
+    """Orders with customer, nation and supplier."""
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -126,33 +120,18 @@ def _billed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
-        .agg(F.min("l_suppkey").alias("sk"), F.count("*").alias("n_lines"))
+        .agg(F.min("l_suppkey").alias("sk"))
     )
-    joined = (
+    return (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .join(supplier, F.col("sk") == F.col("s_suppkey"), "left")
     )
-    # Parts in two steps, so that no long array is built for an order of any size.
-    last = F.expr(f"(greatest(coalesce(n_lines, 1), 1) - 1) div {LINES_PER_INVOICE}")
-    blocks = joined.withColumn("_last", last).withColumn(
-        "_block", F.explode(F.expr(f"sequence(0, _last div {LINES_PER_INVOICE})"))
-    )
-    return blocks.withColumn(
-        "part",
-        F.explode(
-            F.expr(
-                f"sequence(_block * {LINES_PER_INVOICE},"
-                f" least(_last, _block * {LINES_PER_INVOICE} + {LINES_PER_INVOICE - 1}))"
-            )
-        ),
-    )
 
 
 def _header_columns(df: DataFrame, *more: str) -> DataFrame:
     k, cust, placed = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
-    name = F.concat(k.cast("string"), F.when(F.col("part") > 0, F.concat(F.lit("_p"), F.col("part").cast("string"))).otherwise(""))
     # Day formats of the three regular kinds of date text.
     date_text = (
         F.when(k % 4 == 0, F.date_format(placed, "yyyy-MM-dd"))
@@ -168,8 +147,7 @@ def _header_columns(df: DataFrame, *more: str) -> DataFrame:
     )
     return df.select(
         k.alias("k"),
-        "part",
-        F.concat(F.lit("/intake/inv/"), (cust % 10).cast("string"), F.lit("/inv_"), name, F.lit(".pdf")).alias(
+        F.concat(F.lit("/intake/inv/"), (cust % 10).cast("string"), F.lit("/inv_"), k.cast("string"), F.lit(".pdf")).alias(
             "source_file_path"
         ),
         F.concat(F.lit("IN-"), F.lpad(k.cast("string"), 8, "0")).alias("invoiceNumber"),
@@ -191,14 +169,14 @@ def _header_columns(df: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def invoices(spark: SparkSession, sf_dir: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Headers with their lines; both sides are unique on (order, part).
+def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers with their lines; both sides are unique on the order.
 
     The arrays grow with the data, so they are never broadcast. The text columns are
     made after the join, so that only the base columns are shuffled.
     """
-    arrays = line_arrays(spark, sf_dir, min_rows).withColumnRenamed("k", "o_orderkey").hint("merge")
-    billed = _billed_orders(spark, sf_dir).join(arrays, ["o_orderkey", "part"], "left")
+    arrays = line_arrays(spark, sf_dir).withColumnRenamed("k", "o_orderkey").hint("merge")
+    billed = _billed_orders(spark, sf_dir).join(arrays, "o_orderkey", "left")
     return _header_columns(billed, "line_items")
 
 

@@ -33,10 +33,10 @@ pending AS (
 LINES = """
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
-    l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate, l_returnflag, l_linestatus) - 1 AS rn
+    l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate, l_returnflag, l_linestatus) AS rn
   FROM lineitem),
 fx_lines AS (
-  SELECT l_orderkey AS k, rn // 1000 AS part, CAST(rn % 1000 + 1 AS INTEGER) AS lineNumber,
+  SELECT l_orderkey AS k, CAST(rn AS INTEGER) AS lineNumber,
     concat('P', lpad(CAST(l_partkey AS VARCHAR), 6, '0')) AS productCode,
     CASE l_partkey % 3 WHEN 0 THEN 'CASE' WHEN 1 THEN 'EACH' ELSE 'BOX' END AS uom,
     l_quantity AS quantityShipped, CAST(0.0 AS DOUBLE) AS weightShipped,
@@ -46,15 +46,13 @@ fx_lines AS (
 
 HEADERS = """
 per_order AS (
-  SELECT o.*, m.sk, (greatest(coalesce(m.n, 1), 1) - 1) // 1000 AS last_part
+  SELECT o.*, m.sk
   FROM orders o LEFT JOIN (
-    SELECT l_orderkey, min(l_suppkey) AS sk, count(*) AS n FROM lineitem GROUP BY l_orderkey) m
+    SELECT l_orderkey, min(l_suppkey) AS sk FROM lineitem GROUP BY l_orderkey) m
     ON m.l_orderkey = o.o_orderkey),
-parts AS (SELECT *, unnest(range(last_part + 1)) AS part FROM per_order),
 fx_header AS (
-  SELECT o.o_orderkey AS k, o.part,
-    concat('/intake/inv/', CAST(o.o_custkey % 10 AS VARCHAR), '/inv_', CAST(o.o_orderkey AS VARCHAR),
-      CASE WHEN o.part > 0 THEN concat('_p', CAST(o.part AS VARCHAR)) ELSE '' END, '.pdf') AS source_file_path,
+  SELECT o.o_orderkey AS k,
+    concat('/intake/inv/', CAST(o.o_custkey % 10 AS VARCHAR), '/inv_', CAST(o.o_orderkey AS VARCHAR), '.pdf') AS source_file_path,
     concat('IN-', lpad(CAST(o.o_orderkey AS VARCHAR), 8, '0')) AS invoiceNumber,
     concat('SO-', lpad(CAST(o.o_orderkey AS VARCHAR), 6, '0')) AS orderNumber,
     lpad(CAST(o.o_custkey AS VARCHAR), 9, '0') AS purchaseOrderNumber,
@@ -74,7 +72,7 @@ fx_header AS (
     CASE n.n_regionkey WHEN 0 THEN 'CO' WHEN 1 THEN 'CA' WHEN 2 THEN 'Tx' ELSE 'NY' END AS shipping_state,
     lpad(CAST(o.o_custkey AS VARCHAR), 5, '0') AS shipping_zip,
     CAST(CASE WHEN o.o_orderkey % 3 = 0 THEN 30 ELSE NULL END AS INTEGER) AS termsNetDuedays
-  FROM parts o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  FROM per_order o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
   LEFT JOIN supplier s ON s.s_suppkey = o.sk)
 """
 
@@ -91,7 +89,7 @@ def strict_date(c: str) -> str:
 def flat_of(source: str) -> str:
     """The flat layout of one source; columns it never fills are typed NULLs."""
     return f"""
-  SELECT k, part, invoiceNumber, orderNumber, purchaseOrderNumber, vendorName, vendorNumber, branch, warehouse,
+  SELECT k, invoiceNumber, orderNumber, purchaseOrderNumber, vendorName, vendorNumber, branch, warehouse,
     totalAmount, freightAmount, subtotalAmount, shipping_address, shipping_city, shipping_state, shipping_zip,
     termsNetDuedays, source_file_path, raw_date,
     regexp_extract(source_file_path, '([^/]*)$', 1) AS source_file_name,
@@ -119,12 +117,12 @@ _CHANGED_ITEM = _ITEM.format(
 
 EXTRACTIONS = f"""
 arrays AS (
-  SELECT k, part, list({_PLAIN_ITEM} ORDER BY lineNumber) AS plain,
+  SELECT k, list({_PLAIN_ITEM} ORDER BY lineNumber) AS plain,
     list({_CHANGED_ITEM} ORDER BY lineNumber) AS changed,
     sum(CAST(round(lineTotal * 100) AS BIGINT)) AS cents
-  FROM fx_lines GROUP BY k, part),
+  FROM fx_lines GROUP BY k),
 invoices AS (
-  SELECT h.*, a.plain, a.changed, a.cents FROM fx_header h LEFT JOIN arrays a ON h.k = a.k AND h.part = a.part),
+  SELECT h.*, a.plain, a.changed, a.cents FROM fx_header h LEFT JOIN arrays a ON h.k = a.k),
 primary_raw AS (
   SELECT * REPLACE (
       CASE WHEN k % 6 = 0 THEN ' ' WHEN k % 6 = 1 THEN 'N/A' ELSE vendorName END AS vendorName,
@@ -208,10 +206,8 @@ def cols(names: list[str], prefix: str = "") -> str:
 # --- intake -------------------------------------------------------------------------
 
 ORACLES["intake_incremental"] = f"""
-WITH {FILES}, {PENDING},
-mark AS (SELECT coalesce(max(ingestion_timestamp), TIMESTAMP '2025-09-01 00:00:00') - INTERVAL '3' DAY AS m
-         FROM files WHERE doc_id % 3 = 0)
-SELECT path, length, modificationTime FROM pending WHERE modificationTime > (SELECT m FROM mark)
+WITH {FILES}, {PENDING}
+SELECT path, length, modificationTime FROM pending
 """
 
 ORACLES["intake_high_water"] = f"""
@@ -237,7 +233,7 @@ SELECT DISTINCT CAST(modificationTime AS DATE) AS process_date FROM pending
 ORACLES["pending_files_for_day"] = f"""
 WITH {FILES}, {PENDING}
 SELECT path, modificationTime FROM pending
-WHERE CAST(modificationTime AS DATE) = DATE '2025-09-05' AND lower(path) LIKE '%.pdf'
+WHERE CAST(modificationTime AS DATE) = DATE '2025-09-05'
 """
 
 ORACLES["backfill_daily_counts"] = f"""
@@ -374,7 +370,7 @@ counts AS (
     {_count_of('contract|agreement|hereby|licens|the parties')} AS d
   FROM texts),
 labelled AS (
-  SELECT id, CASE WHEN length(text) <= 100 THEN 'unknown' WHEN greatest(a, b, c, d) = 0 THEN 'other'
+  SELECT id, CASE WHEN coalesce(length(text), 0) = 0 THEN 'unknown' WHEN greatest(a, b, c, d) = 0 THEN 'other'
     WHEN a = greatest(a, b, c, d) THEN 'invoice' WHEN b = greatest(a, b, c, d) THEN 'receipt'
     WHEN c = greatest(a, b, c, d) THEN 'purchase_order' ELSE 'contract' END AS document_type
   FROM counts)
@@ -394,9 +390,9 @@ UNION ALL SELECT 'other', count(*) FROM labelled WHERE document_type IS DISTINCT
 """
 
 ORACLES["lead_summary"] = """
-SELECT doc_id, CASE WHEN length(text) > 100 THEN
+SELECT doc_id, CASE WHEN length(text) > 0 THEN
     trim(regexp_replace(array_to_string(
-      string_split(regexp_replace(left(text, 2000), '([.!?]+)\\s+', '\\1' || chr(30), 'g'), chr(30))[1:3], ' '),
+      string_split(regexp_replace(text, '([.!?]+)\\s+', '\\1' || chr(30), 'g'), chr(30))[1:3], ' '),
       '\\s+', ' ', 'g'))
   ELSE 'No summary available' END AS summary
 FROM documents
@@ -406,13 +402,36 @@ ORACLES["enrich_second_source"] = f"""
 WITH {FILES}, {PENDING},
 texts AS (SELECT path AS id, text FROM files WHERE path LIKE '%.pdf'), {_LABELLED}
 SELECT p.path, l.document_type FROM pending p LEFT JOIN labelled l ON l.id = p.path
-WHERE lower(p.path) LIKE '%.pdf'
+"""
+
+_IS_PARSED = "regexp_matches(lower(path), '\\.(pdf|jpg|jpeg|png)$')"
+
+ORACLES["rejected_documents"] = f"""
+WITH {FILES}
+SELECT path, CASE WHEN doc_id % 10 = 7 AND {_IS_PARSED} THEN 'not text'
+  WHEN {_IS_PARSED} AND NOT regexp_matches(text, '[^ \t\r\n]') THEN 'no elements' END AS reason
+FROM files
+"""
+
+ORACLES["parse_with_function"] = f"""
+WITH {FILES},
+read AS (SELECT path, {_IS_PARSED} AS parsed, strlen(text) % 7 = 0 AS bad, text FROM files)
+SELECT path, CASE WHEN parsed AND bad THEN 'ValueError: odd size' END AS reason,
+  CASE WHEN NOT parsed THEN md5(text) WHEN NOT bad THEN md5(replace(text, chr(10), '|')) END AS text_md5
+FROM read
+"""
+
+ORACLES["second_source_errors"] = f"""
+WITH {FILES}, {PENDING}
+SELECT path, CASE WHEN strlen(text) % 5 = 0 THEN 'ValueError: unreadable' END AS error,
+  CASE WHEN strlen(text) % 5 <> 0 THEN md5(text) END AS text_md5
+FROM pending
 """
 
 # --- extraction ---------------------------------------------------------------------
 
 _LINE_COLUMNS = "lineNumber, productCode, uom, quantityShipped, weightShipped, unitPrice, lineTotal"
-_WITH_PATH = "FROM fx_lines l JOIN fx_header h ON l.k = h.k AND l.part = h.part"
+_WITH_PATH = "FROM fx_lines l JOIN fx_header h ON l.k = h.k"
 
 ORACLES["extract_header"] = f"""
 {INVOICE} SELECT source_file_path, {cols(HEADER_OUT)}, invoiceDate, 'OK' AS flags FROM fx_header
@@ -436,8 +455,8 @@ ORACLES["payload_header"] = ORACLES["stream_canonical"] = f"""
 {INVOICE}, raw AS (
   SELECT h.*, invoiceDate AS raw_date, 'OK' AS flags, CAST(NULL AS VARCHAR) AS summary,
     CAST(NULL AS DOUBLE) AS subtotalAmount, CAST(NULL AS VARCHAR[]) AS barcodes, a.items
-  FROM fx_header h LEFT JOIN (SELECT k, part, list(lineNumber) AS items FROM fx_lines GROUP BY k, part) a
-    ON h.k = a.k AND h.part = a.part
+  FROM fx_header h LEFT JOIN (SELECT k, list(lineNumber) AS items FROM fx_lines GROUP BY k) a
+    ON h.k = a.k
   WHERE h.k % 19 <> 0 AND h.k % 23 <> 0),
 flat AS ({flat_of('raw')})
 SELECT {cols(REPORTED)}, line_items_count FROM flat
@@ -476,8 +495,8 @@ ORACLES["line_items_count"] = f"{SOURCES} SELECT source_file_path, line_items_co
 
 ORACLES["nz_cleanup"] = f"""
 {SOURCES}
-SELECT 'primary' AS side, k, part, {nz('vendorName')} AS a, {nz('shipping_address')} AS b FROM p
-UNION ALL SELECT 'fallback', k, part, {nz('branch')}, {nz('shipping_address')} FROM f
+SELECT 'primary' AS side, k, {nz('vendorName')} AS a, {nz('shipping_address')} AS b FROM p
+UNION ALL SELECT 'fallback', k, {nz('branch')}, {nz('shipping_address')} FROM f
 """
 
 ORACLES["merge_sources"] = f"""
@@ -552,7 +571,6 @@ COMPARED = {
     "line_items_json": TEXT,
     "line_items_count": WHOLE,
 }
-CUT_AT = {"input": 100, "summary": 100, "shipping_address": 100, "remittance_address": 100, "barcodes": 200, "line_items_json": 200}
 DOTTED = ("input", "summary", "barcodes", "line_items_json")
 
 
@@ -567,8 +585,6 @@ def _status(name: str, default: str | None) -> str:
 def _preview(name: str, default: str | None) -> str:
     def side(s: str) -> str:
         c = f"CAST({s}_{name} AS VARCHAR)"
-        if name in CUT_AT:
-            c = f"left({c}, {CUT_AT[name]})"
         return f"coalesce({c}, 'NULL')"
 
     quoted = default in (TEXT, DAY, None)

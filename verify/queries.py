@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,7 +59,7 @@ def query(fn: Query) -> Query:
 def intake_incremental(spark, sf_dir):
     listing = b.files(spark, sf_dir)
     existing = listing.filter(F.col("doc_id") % 3 == 0)
-    fresh = intake.incremental_intake(listing, existing, lookback=timedelta(days=3))
+    fresh = intake.incremental_intake(listing, existing)
     return fresh.select("path", "length", "modificationTime")
 
 
@@ -226,6 +226,38 @@ def enrich_second_source(spark, sf_dir):
     return labelled.select("path", "document_type")
 
 
+@query
+def rejected_documents(spark, sf_dir):
+    listing = b.with_content(b.files(spark, sf_dir))
+    content = F.when(F.col("doc_id") % 10 == 7, F.concat(F.unhex(F.lit("FF")), "content")).otherwise(F.col("content"))
+    return parse.parse_documents(listing.withColumn("content", content)).select("path", "reason")
+
+
+@query
+def parse_with_function(spark, sf_dir):
+    def parts(content: bytes) -> list[str]:
+        if len(content) % 7 == 0:
+            raise ValueError("odd size")
+        return content.decode("utf-8").split("\n")
+
+    read = parse.parse_documents(b.with_content(b.files(spark, sf_dir)), sep="|", parser=parts)
+    return read.select("path", "reason", F.md5("text").alias("text_md5"))
+
+
+@query
+def second_source_errors(spark, sf_dir):
+    def text_of(content: bytes) -> str:
+        if len(content) % 5 == 0:
+            raise ValueError("unreadable")
+        return content.decode("utf-8")
+
+    listing = b.files(spark, sf_dir)
+    docs = enrich.enrich(listing.filter(F.col("path").endswith(".pdf")))
+    pending = enrich.second_source(b.with_content(listing), docs, b.ledger(listing), keep=None)
+    done = parse.extract_text(pending, text_of)
+    return done.select("path", F.col("text_error").alias("error"), F.md5("text").alias("text_md5"))
+
+
 # --- extraction -------------------------------------------------------------------
 
 
@@ -328,10 +360,10 @@ def line_items_count(spark, sf_dir):
 def nz_cleanup(spark, sf_dir):
     headers = b.headers(spark, sf_dir)
     p = b.primary_flat(headers).select(
-        F.lit("primary").alias("side"), "k", "part", nz("vendorName").alias("a"), nz("shipping_address").alias("b")
+        F.lit("primary").alias("side"), "k", nz("vendorName").alias("a"), nz("shipping_address").alias("b")
     )
     f = b.fallback_flat(headers).select(
-        F.lit("fallback").alias("side"), "k", "part", nz("branch").alias("a"), nz("shipping_address").alias("b")
+        F.lit("fallback").alias("side"), "k", nz("branch").alias("a"), nz("shipping_address").alias("b")
     )
     return p.unionByName(f)
 
