@@ -28,11 +28,17 @@ def typed_struct(v: Column, path: str, schema: T.StructType) -> Column:
 
 
 def typed_array(v: Column, path: str, schema: T.ArrayType) -> Column:
-    """An array subtree as a typed array.
+    """An array subtree as a typed array, each element for itself.
 
-    Absent and JSON null give NULL; a bad leaf is NULL, a bad element nulls the array.
+    Absent and JSON null give NULL; a leaf that does not convert is NULL, and so is an
+    element of the wrong kind, whose neighbours stay.
     """
-    return F.from_json(F.to_json(F.try_variant_get(v, path, "variant")), schema)
+    kind = schema.elementType
+    values = F.try_variant_get(v, path, "array<variant>")
+    if isinstance(kind, T.StructType):
+        # JSON does not turn 1.5 into the integer 1, as a cast would.
+        return F.transform(values, lambda x: F.from_json(F.to_json(x), kind))
+    return F.transform(values, lambda x: F.try_variant_get(x, "$", kind.simpleString()))
 
 
 def elements(v: Column, array_field: str = "elements") -> Column:

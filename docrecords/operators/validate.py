@@ -7,9 +7,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docrecords.operators.rows import unnest
-from docrecords.schemas import ADDRESS_PARTS, HEADER_AMOUNTS, HEADER_DATES, INVOICE_HEADER, PAYMENT_TERMS
+from docrecords.schemas import (
+    ADDRESS_PARTS,
+    HEADER_AMOUNTS,
+    HEADER_DATES,
+    INVOICE_HEADER,
+    LINE_ITEM,
+    PAYMENT_TERMS,
+)
 
 # --- fixed values: the contract ------------------------------------------------
 
@@ -64,6 +72,9 @@ NOT_NEGATIVE_IN_LINES = ("quantityShipped", "weightShipped", "unitPrice", "lineT
 
 # --- rules -----------------------------------------------------------------------
 
+TOP_LEVEL = ("invoiceHeader", "lineItems", "flags", "barcodes")
+VIOLATIONS = "array<struct<rule: string, field: string, value: string>>"
+
 # A rule set gives the violations of one record as ARRAY<STRUCT<rule, field, value>>.
 RuleSet = Callable[[], Column]
 
@@ -208,19 +219,77 @@ def validate(
     return unnest(records.select(key, found.alias("_found")), "_found", [key])
 
 
+def _node(v: Column, path: str) -> Column:
+    """The value at a path, JSON null included; NULL when there is no such key."""
+    return F.try_variant_get(v, path, "variant")
+
+
+def _payload_lines(check: Callable[[Column, Column], list[Column]]) -> Column:
+    """Violations of the elements of ``lineItems``, which are known by their place."""
+    items = F.try_variant_get("response", "$.lineItems", "array<variant>")
+    return F.coalesce(F.flatten(F.transform(items, lambda x, i: _found(*check(x, i)))), F.array())
+
+
+def _placed(i: Column, name: str = "") -> Column:
+    return F.concat(F.lit("lineItems["), i.cast("string"), F.lit(f"]{name and '.'}{name}"))
+
+
 def validate_payload_keys(
     responses: DataFrame, keys: Iterable[str] | None = None, key: str = "source_file_path"
 ) -> DataFrame:
-    """(key, rule, field, value) for header names that the payload does not have at all."""
-    names = INVOICE_HEADER.fieldNames() if keys is None else list(keys)
-    missing = [
-        _violation(
-            F.try_variant_get("response", f"$.invoiceHeader.{n}", "variant").isNull(), "key_present", n, F.lit(None)
+    """(key, rule, field, value) for names that the payload does not have at all.
+
+    Without ``keys`` (header names) the whole contract is checked: parts at the top, header
+    names, the parts of objects in the header, and the names of every line item.
+    """
+    v = F.col("response")
+    header = INVOICE_HEADER.fieldNames() if keys is None else list(keys)
+    missing = [_violation(_node(v, f"$.invoiceHeader.{n}").isNull(), "key_present", n, F.lit(None)) for n in header]
+    lines = F.array().cast(VIOLATIONS)
+    if keys is None:
+        missing += [_violation(_node(v, f"$.{n}").isNull(), "key_present", n, F.lit(None)) for n in TOP_LEVEL]
+        for f in INVOICE_HEADER.fields:
+            if isinstance(f.dataType, T.StructType):
+                known = F.schema_of_variant(_node(v, f"$.invoiceHeader.{f.name}")).startswith("OBJECT")
+                missing += [
+                    _violation(known & _node(v, f"$.invoiceHeader.{f.name}.{p}").isNull(), "key_present", f"{f.name}.{p}", F.lit(None))
+                    for p in f.dataType.fieldNames()
+                ]
+        lines = _payload_lines(
+            lambda x, i: [_violation(_node(x, f"$.{n}").isNull(), "key_present", _placed(i, n), F.lit(None)) for n in LINE_ITEM.fieldNames()]
         )
-        for n in names
-    ]
-    parsed = responses.filter(F.col("response").isNotNull())
-    return unnest(parsed.select(key, _found(*missing).alias("_found")), "_found", [key])
+    parsed = responses.filter(v.isNotNull())
+    return unnest(parsed.select(key, F.concat(_found(*missing), lines).alias("_found")), "_found", [key])
+
+
+def validate_payload_values(responses: DataFrame, key: str = "source_file_path") -> DataFrame:
+    """(key, rule, field, value) for values of the wrong kind, which records hold as NULL."""
+    v = F.col("response")
+
+    def lost(node: Column, kind: str) -> Column:
+        value = F.try_variant_get(node, "$", kind)
+        bad = value.isNull()
+        if kind == "int":
+            bad = bad | (F.try_variant_get(node, "$", "double") != value)
+        return node.isNotNull() & ~F.is_variant_null(node) & bad
+
+    def rule(parent: Column, path: str, kind: str, field: str | Column) -> Column:
+        node = _node(parent, path)
+        return _violation(lost(node, kind), "kind", field, F.to_json(node))
+
+    found = []
+    for f in INVOICE_HEADER.fields:
+        found.append(rule(v, f"$.invoiceHeader.{f.name}", f.dataType.simpleString(), f.name))
+        if isinstance(f.dataType, T.StructType):
+            found += [rule(v, f"$.invoiceHeader.{f.name}.{p.name}", p.dataType.simpleString(), f"{f.name}.{p.name}") for p in f.dataType.fields]
+    lines = _payload_lines(
+        lambda x, i: [
+            _violation(lost(x, LINE_ITEM.simpleString()), "kind", _placed(i), F.to_json(x)),
+            *[rule(x, f"$.{f.name}", f.dataType.simpleString(), _placed(i, f.name)) for f in LINE_ITEM.fields],
+        ]
+    )
+    parsed = responses.filter(v.isNotNull())
+    return unnest(parsed.select(key, F.concat(_found(*found), lines).alias("_found")), "_found", [key])
 
 
 def violation_summary(violations: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ checkpoint together with the file sink makes each input row count once.
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,28 +33,36 @@ def read_folder(spark: SparkSession, folder: str, schema: T.StructType) -> DataF
     return spark.readStream.schema(schema).parquet(folder)
 
 
-def _checkpoint(spark: SparkSession, sink: str) -> str:
-    return f"{shared_dir(spark)}/docrecords/streams/{sink.strip('/').replace('/', '_')}"
+def _table_checkpoint(spark: SparkSession, table: str) -> str:
+    """Below the shared folder, one per table name; a run in another session finds it again."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        raise ValueError("give a checkpoint, or set spark.checkpoint.dir")
+    return f"{shared_dir(spark)}/docrecords/streams/{quote(table, safe='')}"
 
 
 def drain_to_table(stream: DataFrame, table: str, schema: T.StructType, checkpoint: str | None = None) -> None:
     """Append everything new to a table with the declared layout, then stop."""
-    checkpoint = checkpoint or _checkpoint(stream.sparkSession, table)
+    checkpoint = checkpoint or _table_checkpoint(stream.sparkSession, table)
     writer = conform(stream, schema).writeStream.option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).toTable(table).awaitTermination()
 
 
 def drain_to_folder(stream: DataFrame, folder: str, schema: T.StructType, checkpoint: str | None = None) -> None:
-    """Append everything new to a parquet folder with the declared layout, then stop."""
-    checkpoint = checkpoint or _checkpoint(stream.sparkSession, folder)
+    """Append everything new to a parquet folder with the declared layout, then stop.
+
+    Without another place the checkpoint is kept in the folder, where readers pass it over.
+    """
+    checkpoint = checkpoint or f"{folder.rstrip('/')}/_checkpoint"
     writer = conform(stream, schema).writeStream.option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).format("parquet").start(folder).awaitTermination()
 
 
-def intake_stream(spark: SparkSession, folder: str, table: str, glob: str | None = None) -> None:
+def intake_stream(
+    spark: SparkSession, folder: str, table: str, glob: str | None = None, checkpoint: str | None = None
+) -> None:
     """Take new files in. The checkpoint knows each file, so late arrivals with old
     modification times are not missed."""
-    drain_to_table(stamp(stream_files(spark, folder, glob=glob)), table, DOCUMENT_INTAKE)
+    drain_to_table(stamp(stream_files(spark, folder, glob=glob)), table, DOCUMENT_INTAKE, checkpoint)
 
 
 def inference_stream(
@@ -82,14 +91,15 @@ def extraction_chain(
     keep: str = "invoice",
     extractor: NativeExtractor | None = None,
     only: Step | None = None,
+    checkpoints: tuple[str, str] | tuple[None, None] = (None, None),
 ) -> None:
     """documents -> responses -> canonical, two streams through a stored table.
 
     ``only`` narrows the document stream, for instance to one destination.
     """
     docs = read_table(spark, documents)
-    inference_stream(docs if only is None else only(docs), responses, extractor)
-    canonical_stream(read_table(spark, responses), canonical, keep)
+    inference_stream(docs if only is None else only(docs), responses, extractor, checkpoint=checkpoints[0])
+    canonical_stream(read_table(spark, responses), canonical, keep, checkpoints[1])
 
 
 def only_destination(name: str) -> Step:

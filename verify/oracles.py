@@ -471,10 +471,30 @@ WITH {HEADERS}
 SELECT source_file_path, invoiceNumber AS barcode FROM fx_header WHERE k % 19 <> 0 AND k % 23 <> 0
 """
 
+_LINES_OF_PAYLOADS = f"""
+WITH {HEADERS}, {LINES},
+l AS (SELECT source_file_path, l.k, row_number() OVER (PARTITION BY l.k ORDER BY lineNumber) - 1 AS i, lineNumber, productCode, unitPrice
+      FROM fx_lines l JOIN fx_header h ON l.k = h.k WHERE l.k % 19 <> 0)
+"""
+
 ORACLES["payload_missing_keys"] = f"""
-WITH {HEADERS}
-SELECT source_file_path, 'key_present' AS rule, 'carrierName' AS field, CAST(NULL AS VARCHAR) AS value
-FROM fx_header WHERE k % 19 <> 0
+{_LINES_OF_PAYLOADS}
+SELECT source_file_path, 'key_present' AS rule, 'branch' AS field, CAST(NULL AS VARCHAR) AS value
+FROM fx_header WHERE k % 19 <> 0 AND k % 4 = 1
+UNION ALL SELECT source_file_path, 'key_present', 'lineItems[' || i || '].unitPrice', NULL FROM l WHERE k % 5 = 2
+"""
+
+ORACLES["violations_cast"] = f"""
+{_LINES_OF_PAYLOADS}
+SELECT source_file_path, 'kind' AS rule, 'lineItems[' || i || '].lineNumber' AS field, '"one"' AS value
+FROM l WHERE k % 6 = 3 AND lineNumber = 1
+"""
+
+ORACLES["damaged_lines"] = f"""
+{_LINES_OF_PAYLOADS}
+SELECT source_file_path, i AS idx, CASE WHEN k % 6 = 3 AND lineNumber = 1 THEN NULL ELSE lineNumber END AS lineNumber, productCode,
+       CASE WHEN k % 5 <> 2 THEN unitPrice END AS unitPrice
+FROM l WHERE k % 23 <> 0
 """
 
 # --- records ------------------------------------------------------------------------
@@ -766,3 +786,5 @@ ORACLES["violation_summary"] = f"""
 {SOURCES}, {_EACH_LINE}, broken AS ({_union(*[f"SELECT * FROM ({s})" for s in _RULES.values()])})
 SELECT rule, regexp_replace(field, '\\[[^\\]]*\\]', '', 'g') AS field, count(*) AS n FROM broken GROUP BY 1, 2
 """
+
+ORACLES["stream_twice"] = ORACLES["stream_canonical"]

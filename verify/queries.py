@@ -329,8 +329,28 @@ def payload_barcodes(spark, sf_dir):
 
 @query
 def payload_missing_keys(spark, sf_dir):
-    keys = ["invoiceNumber", "branch", "carrierName"]
-    return validate.validate_payload_keys(_responses(spark, sf_dir), keys)
+    return validate.validate_payload_keys(_damaged_responses(spark, sf_dir))
+
+
+@query
+def violations_cast(spark, sf_dir):
+    return validate.validate_payload_values(_damaged_responses(spark, sf_dir))
+
+
+@query
+def damaged_lines(spark, sf_dir):
+    records = canonical.canonicalize(_damaged_responses(spark, sf_dir))
+    lines = unnest(records, "line_items", ["source_file_path"], "idx")
+    return lines.select("source_file_path", F.col("idx").cast("long").alias("idx"), "lineNumber", "productCode", "unitPrice")
+
+
+def _damaged_responses(spark, sf_dir) -> DataFrame:
+    """Payloads of which some lack a key or hold a value of the wrong kind."""
+    docs, k, text = b.payloads(spark, sf_dir), F.col("k"), F.col("text")
+    text = F.when(k % 4 == 1, F.replace(text, F.lit('"branch":'), F.lit('"brunch":'))).otherwise(text)
+    text = F.when(k % 5 == 2, F.replace(text, F.lit('"unitPrice":'), F.lit('"price":'))).otherwise(text)
+    text = F.when(k % 6 == 3, F.replace(text, F.lit('"lineNumber":1,'), F.lit('"lineNumber":"one",'))).otherwise(text)
+    return extract.run_inference(docs.withColumn("text", text), extract.json_payload)
 
 
 # --- records ----------------------------------------------------------------------
@@ -518,6 +538,20 @@ def stream_inference(spark, sf_dir):
     )
 
 
+@query
+def stream_twice(spark, sf_dir):
+    """The stream runs again after more rows came in; each row counts once."""
+    source, sink = run_dir(spark, "responses"), run_dir(spark, "canonical")
+    rows = conform(_responses(spark, sf_dir), RESPONSE)
+    half = F.pmod(F.crc32(F.col("source_file_path").cast("binary")), F.lit(2))
+    for part in (0, 1):
+        rows.filter(half == part).write.mode("append").parquet(source)
+        records = canonical.canonicalize(runners.read_folder(spark, source, RESPONSE))
+        for _ in range(2):
+            runners.drain_to_folder(records, sink, records.schema)
+    return canonical.flatten(spark.read.schema(records.schema).parquet(sink)).select(*REPORTED)
+
+
 @query
 def merge_pairs_count(spark, sf_dir):
     pairs = merge.pair_sources(*_flats(spark, sf_dir), columns=["flags"])
