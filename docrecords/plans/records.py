@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from docrecords.operators import canonical, merge, quality, validate
+from docrecords.operators.skew import latest
 
 
 @dataclass(frozen=True)
@@ -57,10 +59,18 @@ def single_source(records: DataFrame, lenient_dates: bool = False) -> RecordView
     return RecordViews(flat, None, nested, canonical.final_records(nested))
 
 
-def dual_source(primary: DataFrame, fallback: DataFrame, lenient_dates: bool = False) -> RecordViews:
-    """Two extractions of the same files: flatten both, merge, flatten for readers."""
+def dual_source(
+    primary: DataFrame, fallback: DataFrame, lenient_dates: bool = False, version: Sequence[str] | None = None
+) -> RecordViews:
+    """Two extractions of the same files: flatten both, merge, flatten for readers.
+
+    ``version`` names flat columns, the most important first; the latest record of each
+    path by them counts, in the merge and in all reports.
+    """
     p = canonical.flatten(primary, lenient_dates)
     f = canonical.flatten(fallback, lenient_dates)
+    if version is not None:
+        p, f = latest(p, [merge.KEY], version), latest(f, [merge.KEY], version)
     merged = merge.merge_sources(p, f)
     return RecordViews(p, f, merged, canonical.final_records(merged))
 

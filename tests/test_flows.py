@@ -251,6 +251,14 @@ def test_views(spark, sf_dir):
     assert "violations" in quality_views(one)
 
 
+def test_latest_versions_of_records_are_merged(spark, sf_dir):
+    p, f = b.primary(spark, sf_dir), b.fallback(spark, sf_dir)
+    newer = p.withColumn("processing_timestamp", F.lit("2031-01-01").cast("timestamp")).withColumn("flags", F.lit("newer"))
+    twice = dual_source(p.unionByName(newer), f, version=["processing_timestamp"])
+    assert twice.final.count() == dual_source(p, f).final.count()
+    assert twice.primary_flat.filter("flags <> 'newer'").count() == 0
+
+
 def test_stream_equals_batch(spark, sf_dir, rows):
     from verify.queries import QUERIES, REPORTED
 
