@@ -107,11 +107,12 @@ def header_struct(value) -> Column:
 
 
 def renest(flat: DataFrame) -> DataFrame:
-    """Flat records of one source back to nested ones."""
+    """Flat records of one source back to nested ones; without typed items their text is parsed."""
+    items = F.col("line_items") if "line_items" in flat.columns else F.from_json("line_items_json", LINE_ITEMS)
     nested = flat.select(
         *_audit_columns(flat),
         header_struct(F.col).alias("invoice_header"),
-        F.from_json("line_items_json", LINE_ITEMS).alias("line_items"),
+        items.alias("line_items"),
         "flags",
         "barcodes",
         "error",

@@ -37,7 +37,9 @@ def pair_sources(
     important first) each side is reduced to its latest record per key before; without
     it the sides must hold one record per key, or several pair up with each other.
     """
-    columns = FLAT_COLUMNS if columns is None else columns
+    if columns is None:
+        typed = all("line_items" in side.columns for side in (primary, fallback))
+        columns = [*FLAT_COLUMNS, *(["line_items"] if typed else [])]
     if version is not None:
         primary, fallback = latest(primary, [key], version), latest(fallback, [key], version)
     p = primary.select(F.col(key).alias("key"), *[F.col(c).alias(f"p_{c}") for c in columns])
@@ -57,7 +59,7 @@ def merge_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select(
         *[_merged(n).alias(n) for n in _audit()],
         header_struct(_merged).alias("invoice_header"),
-        _merged_items().alias("line_items"),
+        _merged_items("p_line_items" in pairs.columns).alias("line_items"),
         _merged("flags").alias("flags"),
         _merged("barcodes").alias("barcodes"),
         _merged("error").alias("error"),
@@ -81,9 +83,10 @@ def _merged(name: str) -> Column:
     return F.coalesce(p, f)
 
 
-def _merged_items() -> Column:
-    """Line items travel as JSON text; only the chosen text is parsed."""
-    chosen = F.when(F.col("p_line_items_count") > 0, F.col("p_line_items_json")).when(
-        F.col("f_line_items_count") > 0, F.col("f_line_items_json")
+def _merged_items(typed: bool) -> Column:
+    """The chosen line items; of flat records that hold JSON text only, the chosen text is parsed."""
+    name = "line_items" if typed else "line_items_json"
+    chosen = F.when(F.col("p_line_items_count") > 0, F.col(f"p_{name}")).when(
+        F.col("f_line_items_count") > 0, F.col(f"f_{name}")
     )
-    return F.from_json(chosen, LINE_ITEMS)
+    return chosen if typed else F.from_json(chosen, LINE_ITEMS)

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from docrecords.operators import canonical, merge, quality, validate
 from docrecords.operators.skew import latest
 
+#: Flat records carry the typed array beside its text, so that merging parses nothing.
+ITEMS = ("line_items",)
+
 
 @dataclass(frozen=True)
 class RecordViews:
@@ -54,7 +57,7 @@ class RecordViews:
 
 def single_source(records: DataFrame, lenient_dates: bool = False) -> RecordViews:
     """One extraction: flatten, nest again, flatten for readers."""
-    flat = canonical.flatten(records, lenient_dates)
+    flat = canonical.flatten(records, lenient_dates, ITEMS)
     nested = canonical.renest(flat)
     return RecordViews(flat, None, nested, canonical.final_records(nested))
 
@@ -67,8 +70,8 @@ def dual_source(
     ``version`` names flat columns, the most important first; the latest record of each
     path by them counts, in the merge and in all reports.
     """
-    p = canonical.flatten(primary, lenient_dates)
-    f = canonical.flatten(fallback, lenient_dates)
+    p = canonical.flatten(primary, lenient_dates, ITEMS)
+    f = canonical.flatten(fallback, lenient_dates, ITEMS)
     if version is not None:
         p, f = latest(p, [merge.KEY], version), latest(f, [merge.KEY], version)
     merged = merge.merge_sources(p, f)

@@ -17,6 +17,8 @@ def test_merge_joins_by_key(spark, sf_dir, plan):
         text = plan(df)
         assert "FullOuter" in text
         assert "NestedLoop" not in text and "Cartesian" not in text
+    typed = [canonical.flatten(side(spark, sf_dir), extra=("line_items",)) for side in (b.primary, b.fallback)]
+    assert "from_json" not in plan(merge.merge_sources(*typed)) and "from_json" in plan(merge.merge_sources(p, f))
 
 
 def test_parsing_and_enrichment_do_not_shuffle(spark, sf_dir, plan):

@@ -14,7 +14,7 @@ from docrecords.functions.text import decode_text as decoded
 from docrecords.functions.text import directory, file_name, normalize_date, nz
 from docrecords.operators import canonical, enrich, extract, intake, merge, parse, quality, validate
 from docrecords.operators.rows import unnest
-from docrecords.plans.records import dual_source, single_source
+from docrecords.plans.records import ITEMS, dual_source, single_source
 from docrecords.schemas import BY_NAME, COMPARED_COLUMNS, FIELDS, LINE_ITEM, RESPONSE
 from docrecords.session import run_dir
 from docrecords.sources.tables import conform
@@ -446,7 +446,7 @@ def emit_json(spark, sf_dir):
 
 def _flats(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     p, f = b.extractions(spark, sf_dir)
-    return canonical.flatten(p), canonical.flatten(f)
+    return canonical.flatten(p, extra=ITEMS), canonical.flatten(f, extra=ITEMS)
 
 
 @query
