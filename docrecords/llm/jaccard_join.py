@@ -379,7 +379,7 @@ def jaccard_classes(docs: DataFrame, text: str = "text", block_bytes: int = BLOC
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(sets, pa.binary())], names=["block", "key", "data"])
 
     texts = docs.select(row_key(docs, text).alias("row"), F.col(text).cast("string").alias("_body"))
-    rows = texts.join(wanted, "row").select("block", "key", "_body").mapInArrow(compute, "block long, key long, data binary")
+    rows = texts.join(wanted.hint("merge"), "row").select("block", "key", "_body").mapInArrow(compute, "block long, key long, data binary")
     linked = stored(join_sets(rows, block_bytes, block_sets), "jaccard-linked")
     named = hashed.select("doc_id", "row", "size", "key").join(linked, F.col("key") == F.col("node"), "left")
     named = stored(named.select("doc_id", "row", F.col("size").alias("n_shingles"), F.coalesce("root", "key").alias("class")), "jaccard-named")
@@ -403,7 +403,7 @@ def drop_near_copies(docs: DataFrame, text: str = "text") -> DataFrame:
     repeated = stored(repeated.join(kept, "_row", "left_semi"), "jaccard-repeated")
     words = classes.filter("n_shingles = 0").select(F.col("row").alias("_row")).distinct()
     once = stored(kept.join(repeated, "_row", "left_anti").unionByName(words), "jaccard-kept")
-    result = rows.join(once, "_row", "left_semi")
+    result = rows.join(once.hint("merge"), "_row", "left_semi")
     if not repeated.isEmpty():
         result = result.unionByName(rows.join(repeated, "_row", "left_semi").dropDuplicates(["_row"]))
     return result.select(*docs.columns)
