@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# Strings that stand for "not available".
+# Strings that stand for "not available", shapes and formats of dates, the
+# characters that do not belong to a date, and the parts of a path.
 BLANK_WORDS = ("n/a", "na")
 
 ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 US_DATE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2,4}$"
+NOT_IN_DATES = r"[^0-9/\-\s]"
+ISO_FORMAT, US_FORMAT = "yyyy-MM-dd", "MM/dd/yyyy"
+DIRECTORY = r"^(.*/)([^/]+)$"
+EXTENSION, DOT_EXTENSION = r"\.([^.]+)$", r"(\.[^.]+)$"
 
 
 def _col(c: Column | str) -> Column:
@@ -39,12 +44,12 @@ def file_name(path: Column | str) -> Column:
 
 def directory(path: Column | str) -> Column:
     """Text up to and with the last slash, '' when there is none or no name follows."""
-    return F.regexp_extract(_col(path), r"^(.*/)([^/]+)$", 1)
+    return F.regexp_extract(_col(path), DIRECTORY, 1)
 
 
 def extension(path: Column | str, with_dot: bool = False) -> Column:
     """Text after the last dot, '' when there is none."""
-    return F.regexp_extract(_col(path), r"(\.[^.]+)$" if with_dot else r"\.([^.]+)$", 1)
+    return F.regexp_extract(_col(path), DOT_EXTENSION if with_dot else EXTENSION, 1)
 
 
 def decode_text(content: Column | str) -> Column:
@@ -65,15 +70,15 @@ def normalize_date(c: Column | str, lenient: bool = False) -> Column:
     slashes, dashes and spaces, with one- or two-digit parts and years.
     """
     c = _col(c)
-    cleaned = F.regexp_replace(c, r"[^0-9/\-\s]", "")
+    cleaned = F.regexp_replace(c, NOT_IN_DATES, "")
     if lenient:
         cleaned = F.trim(cleaned)
         us = F.when(cleaned.rlike(r"/[0-9]{4}$"), F.try_to_date(cleaned, "M/d/yyyy")).when(
             cleaned.rlike(r"/[0-9]{2}$"), F.try_to_date(cleaned, "M/d/yy")
         )
     else:
-        us = F.try_to_date(c, "MM/dd/yyyy")
-    return F.when(c.rlike(ISO_DATE), F.try_to_date(c, "yyyy-MM-dd")).when(cleaned.rlike(US_DATE), us)
+        us = F.try_to_date(c, US_FORMAT)
+    return F.when(c.rlike(ISO_DATE), F.try_to_date(c, ISO_FORMAT)).when(cleaned.rlike(US_DATE), us)
 
 
 def lead_sentences(c: Column | str, sentences: int, head_chars: int | None = None) -> Column:

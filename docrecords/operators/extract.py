@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from docrecords.operators.rows import pin
 from docrecords.schemas import ADDRESS_PARTS, LINE_ITEM, PAYMENT_TERMS
 
-# The labels of a text invoice, one "Label: value" line per field.
+# The labels of this package's own text invoices, one "Label: value" line per field.
 HEADER_LABELS = {
     "invoiceNumber": "Invoice Number",
     "vendorName": "Vendor Name",

@@ -55,9 +55,9 @@ NOT_BLANK = (
 )
 NOT_BLANK_IN_LINES = ("productCode", "uom")
 
-CODE = r"^[0-9]{3}$"
+CODE = r"^\d{3}$"
 STATE = r"^[A-Z]{2}$"
-ZIP = r"^[0-9]{5}(-[0-9]{4})?$"
+ZIP = r"^\d{5}(-\d{4})?$"
 ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 PATTERNS = {
     "branch": CODE,

@@ -198,7 +198,7 @@ FIELDS: list[Field] = [
 
 FLAT_COLUMNS: list[str] = [f.name for f in FIELDS]
 
-# Order in which differing columns are listed in the report.
+# The order in which differing columns are listed in the report.
 COMPARED_COLUMNS: list[str] = [
     "input",
     "source_file_path",
