@@ -374,9 +374,15 @@ def jaccard_classes(docs: DataFrame, text: str = "text", block_bytes: int = BLOC
     wanted = stored(blocks.join(one, blocks["node"] == one["key"]).select("row", "key", F.col("root").alias("block")), "jaccard-wanted")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
-            sets = [shingles(v.as_py()).tobytes() for v in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(sets, pa.binary())], names=["block", "key", "data"])
+            # The join leaves equal rows next to each other; one of them is enough.
+            keys = batch.column(1).to_pylist()
+            fresh = [i for i, k in enumerate(keys) if k != (keys[i - 1] if i else last)]
+            last = keys[-1] if keys else last
+            some = batch.take(pa.array(fresh, pa.int64()))
+            sets = [shingles(v.as_py()).tobytes() for v in some.column(2)]
+            yield pa.RecordBatch.from_arrays([*some.columns[:2], pa.array(sets, pa.binary())], names=["block", "key", "data"])
 
     texts = docs.select(row_key(docs, text).alias("row"), F.col(text).cast("string").alias("_body"))
     rows = texts.join(wanted.hint("merge"), "row").select("block", "key", "_body").mapInArrow(compute, "block long, key long, data binary")
