@@ -1,7 +1,7 @@
 """Substring deduplication by content-defined chunking.
 
-A gear hash rolls over the UTF-8 bytes of a text; where its bits 11 to 15 and a part of the
-next are zero a chunk ends. A cut depends on the 16 to 32 bytes before it alone, so texts
+A gear hash rolls over the UTF-8 bytes of a text; where its upper 21 bits fall below a bound
+a chunk ends. A cut depends on the 32 bytes before it alone, so texts
 that share a passage share the cuts in it whatever stands before, and insertions move
 nothing beyond the chunk they fall in. Chunks are told apart by a 64-bit digest. Of equal
 chunks the first, by document id and place, stays. Runs of adjacent chunks that occurred
@@ -27,8 +27,8 @@ from docrecords.llm.common import stored, table
 MIN_RUN = 100
 #: Longest chunk, for text in which the hash finds no cut, and bytes hashed at once.
 LONGEST, AT_ONCE = 512, 1 << 22
-#: Of 2^21 values of the hash's middle bits so many cut: a chunk has 40 bytes on average.
-_BITS, _LOW = 21, (1 << 21) // 40
+#: Of 2^21 values of the hash's upper bits so many cut: a chunk has 24 bytes on average.
+_BITS, _LOW = 21, (1 << 21) // 24
 _GEAR = np.random.default_rng(1).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
