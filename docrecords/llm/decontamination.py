@@ -42,7 +42,7 @@ CANDIDATE_SHARE = 0.55
 LEAK_SHARE, LEAK_SHARE_WITH_ANSWER, SHORT = 0.7, 0.5, 8
 ITEMS_AT_ONCE = 4000
 #: Bins whose part of Z is summed as a dense product, the most frequent ones.
-DENSE = 256
+DENSE = 512
 #: Rows of Z that are added up together; words of a text that are mapped at once.
 CHUNK, WORDS_AT_ONCE = 64, 1 << 18
 
@@ -71,7 +71,7 @@ def hashed_words(docs: DataFrame, text: str) -> DataFrame:
     return rows.mapInArrow(compute, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, words binary")
 
 
-def passages(batches: Iterator[pa.RecordBatch], most: int = 1024) -> Iterator[np.ndarray]:
+def passages(batches: Iterator[pa.RecordBatch], most: int = 4096) -> Iterator[np.ndarray]:
     """The passages of all texts, one after the other, as rows of bins; BINS pads."""
     held, count = [], 0
     for batch in batches:
