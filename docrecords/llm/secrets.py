@@ -20,7 +20,7 @@ from itertools import product
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docrecords.llm.common import table
+from docrecords.llm.common import stored, table
 
 Clause = frozenset[frozenset[str]]
 
@@ -163,7 +163,8 @@ element_at(transform(array(struct(regexp_extract_all({text}, '{pattern}', 0) AS
 
 def find_secrets(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``doc_id``, the text and ``found``: the matches of all rules by start, then rule."""
-    chosen = candidates(docs, text, rules)
+    # Stored, and joined by sort-merge: exchanges on both sides let Spark split an id with many rows.
+    chosen = stored(candidates(docs, text, rules), "secret-candidates").hint("merge")
     body = F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_body")
     rows = docs.select("doc_id", body).join(chosen, F.col("doc_id") == F.col("_id"), "left")
     arrays = []
