@@ -8,6 +8,10 @@
    vectors and values. Only these sums reach the driver.
 3. Overlapping windows of every document and of every benchmark item are mapped to the
    latent space, scaled by the singular values; pairs above a cosine are candidates.
+   The cosine alone misses paraphrases, so all pairs are added whose common words, counted
+   as a bag, are as many as step 4 asks for; candidates with fewer go. No leak is below that
+   bound, so texts without such a pair are not mapped. An item is counted if a text has one of its rarest words, so few that every leak
+   must hold one of them, or the rarest word of its answer.
 4. A candidate is a leak if the longest common subsequence of the item and the document
    around the window has enough of the item's words, or fewer but the item's answer, its
    last sentence, verbatim. Items of fewer than ``SHORT`` words must occur verbatim.
@@ -43,6 +47,8 @@ LEAK_SHARE, LEAK_SHARE_WITH_ANSWER, SHORT = 0.7, 0.5, 8
 ITEMS_AT_ONCE = 4000
 #: Bins whose part of Z is summed as a dense product, the most frequent ones.
 DENSE = 512
+#: Windows whose words are counted at once against the items' words.
+WINDOWS_AT_ONCE = 64
 #: Rows of Z that are added up together; words of a text that are mapped at once.
 CHUNK, WORDS_AT_ONCE = 64, 1 << 18
 
@@ -217,6 +223,15 @@ class Item:
             masks[w] = masks.get(w, 0) | 1 << i
         return Item(number, words, answer if 4 <= len(answer) < len(words) else words[:0], masks)
 
+    @property
+    def least(self) -> int:
+        """Common words of every leak without the answer."""
+        return len(self.words) if len(self.words) < SHORT else math.ceil(LEAK_SHARE * len(self.words))
+
+    @property
+    def least_with_answer(self) -> int:
+        return math.ceil(LEAK_SHARE_WITH_ANSWER * len(self.words)) if len(self.answer) and len(self.words) >= SHORT else self.least
+
     def match(self, words: np.ndarray, window: int) -> tuple[int, bool, bool]:
         """Common words around the window, whether the answer is there, whether it is a leak."""
         n = len(self.words)
@@ -230,6 +245,93 @@ class Item:
         return common, answer, common >= LEAK_SHARE * n or (answer and common >= LEAK_SHARE_WITH_ANSWER * n)
 
 
+class Bags:
+    """Finds the windows that share enough words with an item to be a leak, in any order."""
+
+    def __init__(self, items: list[Item]):
+        self.items = items
+        bags = [np.unique(i.words, return_counts=True) for i in items]
+        self.vocabulary, places, shared = np.unique(np.concatenate([b[0] for b in bags]), return_inverse=True, return_counts=True)
+        self.counts = np.concatenate([b[1] for b in bags])
+        self.begin = np.concatenate([[0], np.cumsum([len(b[0]) for b in bags])])
+        self.places = places
+        keys, owners = [], []
+        for k, item in enumerate(items):
+            own, counts = self.bag(k)
+            order = np.argsort(shared[own], kind="stable")
+            # A leak lacks at most n - least words, so it has one of any n - least + 1.
+            enough = int(np.searchsorted(np.cumsum(counts[order]), len(item.words) - item.least + 1)) + 1
+            chosen = set(own[order[:enough]].tolist())
+            if item.least_with_answer < item.least:
+                answer = np.searchsorted(self.vocabulary, item.answer)
+                chosen.add(int(answer[shared[answer].argmin()]))
+            keys += chosen
+            owners += [k] * len(chosen)
+        order = np.argsort(keys, kind="stable")
+        self.owners = np.array(owners)[order]
+        self.starts = np.searchsorted(np.array(keys)[order], np.arange(len(self.vocabulary) + 1))
+        self.longest = max(len(i.words) for i in items)
+        self.least = np.array([min(i.least, i.least_with_answer) for i in items])
+        self.here = np.zeros(len(self.vocabulary), bool)
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[self.vocabulary & 0xFFFF] = True
+        self.local = np.full(len(self.vocabulary), -1)
+
+    def bag(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct words of an item, as places in the vocabulary, and how often each occurs."""
+        return self.places[self.begin[k] : self.begin[k + 1]], self.counts[self.begin[k] : self.begin[k + 1]]
+
+    def find(self, words: np.ndarray, first: int, last: int) -> Iterator[tuple[int, int]]:
+        """Windows from ``first`` to before ``last``, each with an item it may hold."""
+        margin, step = self.longest, max(WINDOWS_AT_ONCE, self.longest // HALF)
+        for at in range(first, last, step):
+            until = min(at + step, last)
+            begin = max(0, at * HALF - margin)
+            near = words[begin : (until + 1) * HALF + margin]
+            known = np.flatnonzero(self.maybe[near & 0xFFFF])
+            place = np.minimum(np.searchsorted(self.vocabulary, near[known]), len(self.vocabulary) - 1)
+            real = self.vocabulary[place] == near[known]
+            if real.any():
+                yield from self.near(near, begin + known[real], place[real], at, until)
+
+    def near(self, near: np.ndarray, where: np.ndarray, place: np.ndarray, first: int, last: int) -> Iterator[tuple[int, int]]:
+        self.here[place] = True
+        present = np.flatnonzero(self.here) if len(self.here) < 64 * len(place) else np.unique(place)
+        self.here[place] = False
+        starts, size = self.starts[present], self.starts[present + 1] - self.starts[present]
+        asked = np.unique(self.owners[np.repeat(starts - np.cumsum(size) + size, size) + np.arange(size.sum())])
+        if not len(asked):
+            return
+        self.here[present] = True
+        starts, size = self.begin[asked], self.begin[asked + 1] - self.begin[asked]
+        ends = np.cumsum(size)
+        at = np.repeat(starts - ends + size, size) + np.arange(ends[-1])
+        common = np.add.reduceat(self.counts[at] * self.here[self.places[at]], ends - size)
+        self.here[present] = False
+        data = near.tobytes()
+        for k, most in zip(asked[common >= self.least[asked]].tolist(), common[common >= self.least[asked]].tolist(), strict=True):
+            item = self.items[k]
+            n, least = len(item.words), item.least
+            if item.least_with_answer < least and item.answer.tobytes() in data:
+                least = item.least_with_answer
+            if most < least:
+                continue
+            own, counts = self.bag(k)
+            self.local[own] = np.arange(len(own))
+            column = self.local[place]
+            self.local[own] = -1
+            hit = column >= 0
+            column, at = column[hit], where[hit]
+            # Window w is matched with the words from w * HALF - n to before (w + 2) * HALF + n.
+            low = np.clip(-(-(at - n + 1) // HALF) - 2, first, last) - first
+            high = np.clip((at + n) // HALF + 1, first, last) - first
+            rows, width = last - first + 1, len(own)
+            change = np.bincount(low * width + column, minlength=rows * width) - np.bincount(high * width + column, minlength=rows * width)
+            held = np.minimum(change.reshape(rows, width).cumsum(0), counts).sum(1)[:-1]
+            for w in np.flatnonzero(held >= least).tolist():
+                yield first + w, k
+
+
 @dataclass
 class Retriever:
     """Finds a block of items in texts."""
@@ -240,8 +342,10 @@ class Retriever:
     def __post_init__(self) -> None:
         vectors = [windows(i.words, self.latent) for i in self.items]
         self.owner = np.repeat(np.arange(len(self.items)), [len(v) for v in vectors])
+        self.first = np.concatenate([[0], np.cumsum([len(v) for v in vectors])]).astype(np.int64)
         held = [min(2 * HALF, len(i.words) - w * HALF) for i, v in zip(self.items, vectors, strict=True) for w in range(len(v))]
         self.least = CANDIDATE_SHARE * np.sqrt(np.array(held) / (2 * HALF))
+        self.bags = Bags(self.items) if self.items else None
         self.queries = np.concatenate([np.zeros((0, self.latent.shape[1]), np.float32), *vectors]).T.copy()
 
     def find(self, words: np.ndarray) -> list[dict]:
@@ -249,19 +353,26 @@ class Retriever:
         if not self.items:
             return []
         best: dict[int, dict] = {}
-        vectors, done = windows(words, self.latent), set()
-        for at in range(0, len(vectors), 4096):
+        count, vectors = max(1, -(-len(words) // HALF) - 1) if len(words) else 0, None
+        for at in range(0, count, 4096):
+            enough = set(self.bags.find(words, at, min(at + 4096, count)))
+            if not enough:
+                continue  # nothing that step 4 could accept
+            vectors = windows(words, self.latent) if vectors is None else vectors
             cosines = vectors[at : at + 4096] @ self.queries
+            pairs: dict[tuple[int, int], float] = {}
             for w, q in np.argwhere(cosines >= self.least).tolist():
-                item, cosine = self.items[self.owner[q]], float(cosines[w, q])
-                if (at + w, item.number) in done:
-                    continue
-                done.add((at + w, item.number))
-                common, answer, leak = item.match(words, at + w)
+                if (at + w, self.owner[q]) in enough:
+                    pairs.setdefault((at + w, int(self.owner[q])), float(cosines[w, q]))
+            for w, k in enough - pairs.keys():
+                pairs[w, k] = float(cosines[w - at, self.first[k] : self.first[k + 1]].max())
+            for (w, k), cosine in sorted(pairs.items()):
+                item = self.items[k]
+                common, answer, leak = item.match(words, w)
                 if leak and common > best.get(item.number, {"lcs_words": -1})["lcs_words"]:
                     best[item.number] = {
                         "item": item.number, "lcs_words": common, "item_words": len(item.words),
-                        "first_word": (at + w) * HALF, "cosine": min(1.0, cosine), "answer_found": answer,
+                        "first_word": w * HALF, "cosine": min(1.0, cosine), "answer_found": answer,
                     }
         return list(best.values())
 
