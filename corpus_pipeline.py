@@ -20,6 +20,8 @@ from docrecords.llm import decontamination, jaccard_join, mixing, packing, quali
 from docrecords.llm.common import stored, table
 
 LEAST_QUALITY = 0.3
+#: Near copies share this percentage of their shingles of so many words: what tests/llm/test_pipeline.py holds the stage to.
+NEAR_WORDS, NEAR_PERCENT = 3, 90
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return jaccard_join.drop_near_copies(docs)
+    return jaccard_join.drop_near_copies(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

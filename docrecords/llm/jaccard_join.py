@@ -1,13 +1,13 @@
 """N-gram Jaccard join: classes of documents connected by nearly equal shingle sets.
 
-The Jaccard distance is a metric, so a join within the distance 0.1 can be cut into regions
-around pivots. Document pivots alone do not cut a corpus: most documents share nothing with
+The Jaccard distance is a metric, so a join within a distance (0.1 for op8) can be cut into
+regions around pivots. Document pivots alone do not cut a corpus: most documents share nothing with
 any pivot, all those distances are 1, and every window would hold everything. So:
 
 1. Equal sets are one node from here on (64-bit hash of the set).
 2. Level 0 takes coordinate pivots: shingles are dealt by hash into k classes, and the
    distance of two sets restricted to a class is 0 if they agree there. Sets that link differ
-   in at most size / 9 shingles, so, of more classes than that, one is untouched: linked sets
+   in at most ``changes`` shingles, so, of more classes than that, one is untouched: linked sets
    share a region (band of sizes, class, hash of the part in it). Boundary windows put sets
    near the upper end of a size band into the next band, too. Regions are read in order of
    their key, range-partitioned by (key, set), which splits hot ones; each set is joined to
@@ -15,7 +15,7 @@ any pivot, all those distances are 1, and every window would hold everything. So
 3. Every block is joined exactly in one task: pivots make Voronoi regions, a set also goes
    to each region whose pivot is at most two join distances farther than its own, and regions
    are joined recursively until they are small. Pairs that are already connected are skipped,
-   as are pairs that the triangle inequality, |d(x, p) - d(y, p)| > 0.1, rules out.
+   as are pairs that the triangle inequality, |d(x, p) - d(y, p)| > distance, rules out.
 4. Blocks beyond ``BLOCK_BYTES`` are cut by the same Voronoi step as a Spark job, again and
    again; where this does not shrink them, they are cut into tiles, each pair of tiles a task.
 
@@ -37,11 +37,10 @@ from pyspark.sql import functions as F
 from docrecords.llm.common import shuffle_width, stored, table
 from docrecords.llm.components import components
 
-#: Linked: 100 * intersection >= PERCENT * union. Shingles have so many words.
+#: Linked: 100 * intersection >= percent * union. Shingles have so many words. These are op8's.
 PERCENT, WORDS = 90, 3
-DISTANCE = 1 - PERCENT / 100
 #: Size bands grow by this factor from the least size at which unequal sets can link.
-BAND_GROWTH, FIRST_BAND = 1.5, 9
+BAND_GROWTH = 1.5
 #: Set bytes and sets that one task joins; pivots of a step; sets that are joined directly.
 BLOCK_BYTES, BLOCK_SETS, PIVOTS, LEAF = 64 << 20, 20_000, 16, 48
 #: Sets whose signatures a task gives once only, however often they occur in it.
@@ -55,13 +54,13 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingles(text: str) -> np.ndarray:
+def shingles(text: str, width: int = WORDS) -> np.ndarray:
     """The sorted hashes of the distinct shingles of a text."""
     words = text.encode().lower().split()
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     if not len(h):
         return h
-    n = min(WORDS, len(h))
+    n = min(width, len(h))
     total = np.full(len(h) - n + 1, n, np.uint64)
     for i in range(n):
         total = mixed(total + h[i : len(h) - n + 1 + i])
@@ -73,31 +72,36 @@ def set_key(found: np.ndarray) -> int:
     return int(mixed(mixed(found ^ np.uint64(0x5851F42D4C957F2D)).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(found)))[0].astype(np.int64))
 
 
-def changes(size: int) -> int:
+def changes(size: int, percent: int = PERCENT) -> int:
     """At most so many shingles are in just one of two linked sets, the smaller of this size."""
-    return size * (100 - PERCENT) // PERCENT
+    return size * (100 - percent) // percent
 
 
-def used_classes(size: int) -> int:
+def first_band(percent: int = PERCENT) -> int:
+    """The least size at which unequal sets can link."""
+    return -(-percent // (100 - percent))
+
+
+def used_classes(size: int, percent: int = PERCENT) -> int:
     """Classes of which a set of this size gives signatures: some may be empty."""
-    return changes(size) + 3 + changes(size) // 16
+    return changes(size, percent) + 3 + changes(size, percent) // 16
 
 
-def bands(size: int) -> list[tuple[int, int]]:
+def bands(size: int, percent: int = PERCENT) -> list[tuple[int, int]]:
     """(band, number of its classes) of a set: its own, and the next one if it may link there."""
-    low, number = FIRST_BAND, 0
+    low, number, growth = first_band(percent), 0, max(BAND_GROWTH, 100 / percent)
     while True:
-        high = int(low * BAND_GROWTH) + 1
+        high = int(low * growth) + 1
         if size < high:
             break
         low, number = high, number + 1
-    found = [(number, used_classes(high - 1))]
-    if 100 * size >= PERCENT * high:
-        found.append((number + 1, used_classes(int(high * BAND_GROWTH))))
+    found = [(number, used_classes(high - 1, percent))]
+    if 100 * size >= percent * high:
+        found.append((number + 1, used_classes(int(high * growth), percent)))
     return found
 
 
-def signatures(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(found: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Region keys of a set, and whether the region counts even if this set alone asks for it.
 
     Empty classes agree with each other, but say little: their regions matter only if a set
@@ -105,19 +109,19 @@ def signatures(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """
     keys, asks = [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
     size = len(found)
-    for band, classes in bands(size) if size >= FIRST_BAND else []:
-        used = min(used_classes(size), classes)
+    for band, classes in bands(size, percent) if size >= first_band(percent) else []:
+        used = min(used_classes(size, percent), classes)
         place = (found % np.uint64(classes)).astype(np.int64)
         near = place < used
         sums, counts = np.zeros(used, np.uint64), np.bincount(place[near], minlength=used)
         np.add.at(sums, place[near], mixed(found[near] + np.uint64(band)))
         number = np.arange(used, dtype=np.uint64) + np.uint64(band << 32)
         keys.append(mixed(sums + mixed(number)))
-        asks.append((counts > 0) | (int((counts > 0).sum()) <= changes(size)))
+        asks.append((counts > 0) | (int((counts > 0).sum()) <= changes(size, percent)))
     return np.concatenate(keys), np.concatenate(asks)
 
 
-def hashed_sets(docs: DataFrame, text: str) -> DataFrame:
+def hashed_sets(docs: DataFrame, text: str, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``row``, ``size``, ``key`` and the signatures of each document's set."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,12 +129,12 @@ def hashed_sets(docs: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             sizes, keys, regions, asked = [], [], [], []
             for value in batch.column(2):
-                found = shingles(value.as_py())
+                found = shingles(value.as_py(), words)
                 key = set_key(found)
                 sizes.append(len(found))
                 keys.append(key)
                 fresh = key not in seen
-                sig, asks = signatures(found if fresh else found[:0])
+                sig, asks = signatures(found if fresh else found[:0], percent)
                 regions.append(sig.astype(np.int64))
                 asked.append(asks)
                 if len(seen) < SEEN_SETS:
@@ -189,7 +193,8 @@ def region_edges(sets: DataFrame) -> DataFrame:
 class Block:
     """The exact join of the sets of one block."""
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], percent: int = PERCENT):
+        self.percent, self.distance = percent, 1 - percent / 100
         self.size = np.array([len(s) for s in sets], np.int64)
         _, self.cols = np.unique(np.concatenate(sets), return_inverse=True)
         self.start = np.concatenate([[0], self.size.cumsum()])
@@ -214,7 +219,7 @@ class Block:
     def link(self, p: int, idx: np.ndarray, common: np.ndarray) -> np.ndarray:
         """Connect p with those within the join distance; the distances to all."""
         union = self.size[p] + self.size[idx] - common
-        linked = idx[100 * common >= PERCENT * union]
+        linked = idx[100 * common >= self.percent * union]
         for r in np.unique(self.root[linked]):
             if r != self.root[p]:
                 self.root[self.root == r] = self.root[p]
@@ -229,7 +234,7 @@ class Block:
         pivots = idx[np.linspace(0, len(idx) - 1, PIVOTS).astype(np.int64)]
         held = self.columns(idx)
         far = np.stack([self.link(p, idx, self.common(p, idx, held)) for p in pivots])
-        window = far <= far.min(0) + 2 * DISTANCE + 1e-9
+        window = far <= far.min(0) + 2 * self.distance + 1e-9
         home = far.argmin(0)
         for j in range(PIVOTS):
             if not (home == j).any():
@@ -249,14 +254,14 @@ class Block:
             p = int(idx[i])
             other = self.root[idx] != self.root[p]
             small, large = np.minimum(self.size[idx], self.size[p]), np.maximum(self.size[idx], self.size[p])
-            other &= 100 * small >= PERCENT * large
+            other &= 100 * small >= self.percent * large
             if far is not None:
-                other &= (np.abs(far - far[:, i : i + 1]) <= DISTANCE + 1e-9).all(0)
+                other &= (np.abs(far - far[:, i : i + 1]) <= self.distance + 1e-9).all(0)
             if other.any():
                 self.link(p, idx[other], self.common(p, idx[other]))
 
 
-def join_blocks(rows: DataFrame) -> DataFrame:
+def join_blocks(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     """From ``block``, ``key``, ``data``: ``a``, ``b``, each set with one of its part of the block."""
     ordered = rows.repartition(shuffle_width(rows.sparkSession), "block").sortWithinPartitions("block", "key")
 
@@ -264,7 +269,7 @@ def join_blocks(rows: DataFrame) -> DataFrame:
         block, keys, sets = None, [], []
 
         def links() -> pa.RecordBatch:
-            join = Block(sets)
+            join = Block(sets, percent)
             join.join(np.arange(len(sets)))
             return pa.RecordBatch.from_arrays([pa.array([keys[r] for r in join.root], pa.int64()), pa.array(keys, pa.int64())], names=["a", "b"])
 
@@ -288,7 +293,7 @@ def sizes(rows: DataFrame) -> DataFrame:
     return rows.groupBy("block").agg(F.count("*").alias("sets"), F.sum(F.octet_length("data")).alias("bytes"))
 
 
-def voronoi(rows: DataFrame, weight: DataFrame, piece: int) -> tuple[DataFrame, DataFrame]:
+def voronoi(rows: DataFrame, weight: DataFrame, piece: int, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """One Voronoi step for large blocks: (links to pivots, rows of the regions with windows).
 
     A block's pivots are joined to pieces of it of about ``piece`` bytes.
@@ -303,16 +308,16 @@ def voronoi(rows: DataFrame, weight: DataFrame, piece: int) -> tuple[DataFrame,
         keys, sets = left.column("key").to_pylist(), [np.frombuffer(d.as_buffer(), np.uint64) for d in left.column("data")]
         pivot = dict(zip(right.column("key").to_pylist(), right.column("data").to_pylist(), strict=True))
         order = sorted(pivot)
-        join = Block([*sets, *(np.frombuffer(pivot[k], np.uint64) for k in order)])
+        join = Block([*sets, *(np.frombuffer(pivot[k], np.uint64) for k in order)], percent)
         idx, far, linked = np.arange(len(sets)), [], []
-        for p in range(len(order)):
+        for p in range(len(order) if sets else 0):  # a piece may have pivots alone
             common = join.common(len(sets) + p, idx)
             union = join.size[len(sets) + p] + join.size[idx] - common
             far.append(1 - common / union)
-            linked.append(100 * common >= PERCENT * union)
-        far = np.array(far)
-        inside = far <= far.min(0) + 2 * DISTANCE + 1e-9
-        near = [[order[p] for p in np.flatnonzero(column)] for column in np.array(linked).T]
+            linked.append(100 * common >= percent * union)
+        far = np.array(far).reshape(len(order), len(sets))
+        inside = far <= far.min(0, initial=1) + 2 * join.distance + 1e-9
+        near = [[order[p] for p in np.flatnonzero(column)] for column in np.array(linked, bool).reshape(len(order), len(sets)).T]
         regions = [[order[p] for p in np.flatnonzero(column)] for column in inside.T]
         names = ["block", "key", "data", "near", "regions"]
         return pa.table([left.column("block"), pa.array(keys, pa.int64()), left.column("data"), pa.array(near, pa.list_(pa.int64())), pa.array(regions, pa.list_(pa.int64()))], names=names)
@@ -332,43 +337,45 @@ def tiles(rows: DataFrame, weight: DataFrame, piece: int) -> DataFrame:
     return pairs.select(F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other")).alias("block"), "key", "data")
 
 
-def join_sets(rows: DataFrame, block_bytes: int, block_sets: int) -> DataFrame:
+def join_sets(rows: DataFrame, block_bytes: int, block_sets: int, percent: int = PERCENT) -> DataFrame:
     """``node``, ``root`` of all linked sets of all blocks, whatever their size."""
     rows = stored(rows, "jaccard-sets")
     weight = stored(sizes(rows), "jaccard-weights")
     large = (F.col("bytes") > block_bytes) | (F.col("sets") > block_sets)
     if weight.filter(large).isEmpty():
-        return join_blocks(rows).select(F.col("b").alias("node"), F.col("a").alias("root"))
+        return join_blocks(rows, percent).select(F.col("b").alias("node"), F.col("a").alias("root"))
     links = []
     for _ in range(8):
-        links.append(join_blocks(rows.join(weight.filter(~large), "block", "left_semi")))
+        links.append(join_blocks(rows.join(weight.filter(~large), "block", "left_semi"), percent))
         rows = rows.join(weight.filter(large), "block", "left_semi")
-        pivot_links, regions = voronoi(rows, weight, block_bytes // 4)
+        pivot_links, regions = voronoi(rows, weight, block_bytes // 4, percent)
         links.append(pivot_links)
         parts = sizes(regions).join(regions.select("block", "parent").distinct(), "block")
         parts = stored(parts.join(weight.select(F.col("block").alias("parent"), F.col("bytes").alias("whole")), "parent"), "jaccard-parts")
         # A block of which some region keeps most is cut into tiles instead; the rest goes on as regions.
         stuck = parts.filter("bytes > 0.7 * whole").select(F.col("parent").alias("block")).distinct()
         cut = rows.join(stuck, "block", "left_semi")
-        links.append(join_blocks(tiles(cut, weight, min(block_bytes, block_bytes * block_sets // 40_000))))
+        links.append(join_blocks(tiles(cut, weight, min(block_bytes, block_bytes * block_sets // 40_000)), percent))
         rows = stored(regions.join(stuck.select(F.col("block").alias("parent")), "parent", "left_anti").select("block", "key", "data"), "jaccard-sets")
         weight = stored(sizes(rows), "jaccard-weights")
         if weight.isEmpty():
             break
     else:
-        links.append(join_blocks(tiles(rows, weight, block_bytes)))
+        links.append(join_blocks(tiles(rows, weight, block_bytes), percent))
     every = links[0]
     for more in links[1:]:
         every = every.unionByName(more)
     return components(every.select("a", "b"))
 
 
-def jaccard_classes(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, block_sets: int = BLOCK_SETS) -> DataFrame:
+def jaccard_classes(
+    docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, block_sets: int = BLOCK_SETS, words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
     """``doc_id``, ``row``, ``n_shingles``, ``class`` and ``component_id`` of every document.
 
     ``row`` is a hash of id and text, ``class`` one for all documents of a component.
     """
-    hashed = stored(hashed_sets(docs.select("doc_id", text), text), "jaccard-hashed")
+    hashed = stored(hashed_sets(docs.select("doc_id", text), text, words, percent), "jaccard-hashed")
     blocks = stored(components(region_edges(hashed)), "jaccard-blocks")
     one = hashed.filter("size > 0").groupBy("key").agg(F.min("row").alias("row"))
     wanted = stored(blocks.join(one, blocks["node"] == one["key"]).select("row", "key", F.col("root").alias("block")), "jaccard-wanted")
@@ -381,12 +388,12 @@ def jaccard_classes(docs: DataFrame, text: str = "text", block_bytes: int = BLOC
             fresh = [i for i, k in enumerate(keys) if k != (keys[i - 1] if i else last)]
             last = keys[-1] if keys else last
             some = batch.take(pa.array(fresh, pa.int64()))
-            sets = [shingles(v.as_py()).tobytes() for v in some.column(2)]
+            sets = [shingles(v.as_py(), words).tobytes() for v in some.column(2)]
             yield pa.RecordBatch.from_arrays([*some.columns[:2], pa.array(sets, pa.binary())], names=["block", "key", "data"])
 
     texts = docs.select(row_key(docs, text).alias("row"), F.col(text).cast("string").alias("_body"))
     rows = texts.join(wanted.hint("merge"), "row").select("block", "key", "_body").mapInArrow(compute, "block long, key long, data binary")
-    linked = stored(join_sets(rows, block_bytes, block_sets), "jaccard-linked")
+    linked = stored(join_sets(rows, block_bytes, block_sets, percent), "jaccard-linked")
     named = hashed.select("doc_id", "row", "size", "key").join(linked, F.col("key") == F.col("node"), "left")
     named = stored(named.select("doc_id", "row", F.col("size").alias("n_shingles"), F.coalesce("root", "key").alias("class")), "jaccard-named")
     least = stored(named.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("component_id")), "jaccard-least")
@@ -396,19 +403,19 @@ def jaccard_classes(docs: DataFrame, text: str = "text", block_bytes: int = BLOC
     )
 
 
-def drop_near_copies(docs: DataFrame, text: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each component, the one with the least id, and all without words.
 
     Of equal rows one stays.
     """
-    classes = stored(jaccard_classes(docs, text), "jaccard-classes")
+    classes = stored(jaccard_classes(docs, text, words=words, percent=percent), "jaccard-classes")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     kept = classes.filter("n_shingles > 0").groupBy("class").agg(F.min(order).alias("m")).select(F.col("m.row").alias("_row"))
     rows = docs.withColumn("_row", row_key(docs, text))
     repeated = classes.filter("n_shingles > 0").groupBy("row").count().filter("count > 1").select(F.col("row").alias("_row"))
     repeated = stored(repeated.join(kept, "_row", "left_semi"), "jaccard-repeated")
-    words = classes.filter("n_shingles = 0").select(F.col("row").alias("_row")).distinct()
-    once = stored(kept.join(repeated, "_row", "left_anti").unionByName(words), "jaccard-kept")
+    wordless = classes.filter("n_shingles = 0").select(F.col("row").alias("_row")).distinct()
+    once = stored(kept.join(repeated, "_row", "left_anti").unionByName(wordless), "jaccard-kept")
     result = rows.join(once.hint("merge"), "_row", "left_semi")
     if not repeated.isEmpty():
         result = result.unionByName(rows.join(repeated, "_row", "left_semi").dropDuplicates(["_row"]))
