@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,11 @@ CACHED_WORDS = 400_000
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0d]+")
 
 
+#: Tokens that the tokenizer takes from the text before anything else.
+SPECIAL = re.compile(r"<\|(?:start|end)oftext\|>")
+PREFIXES_AT_ONCE = 64
+
+
 class WordCounter:
     """Token counts by word, for tokenizers that drop white space."""
 
@@ -76,9 +82,40 @@ class WordCounter:
         rest = text[int(ends[i]) : int(ends[i + 1])]
         word, room = rest.lstrip().decode(), budget - int(totals[i])
         begin = len(rest) - len(rest.lstrip())
-        tokens = self.encode_counts([word[:k] for k in range(1, len(word))]) if len(word) <= 512 else []
-        fits = [k for k, n in enumerate(tokens, 1) if n <= room]
-        return int(ends[i]) + (begin + len(word[: fits[-1]].encode()) if fits else 0)
+        fit = self.longest_part(word, room)
+        return int(ends[i]) + (begin + len(word[:fit].encode()) if fit else 0)
+
+    def longest_part(self, word: str, room: int) -> int:
+        """Characters of the longest proper prefix of a word that has at most ``room`` tokens.
+
+        Counts add up over the word's segments, so the prefix ends in the first segment that
+        no longer fits as a whole; within it a longer prefix may have fewer tokens, so its
+        prefixes are counted from the long end.
+        """
+        ends = segment_ends(word)
+        totals = self.counts([word[a:b].encode() for a, b in zip([0, *ends], ends, strict=False)]).cumsum()
+        i = int(np.searchsorted(totals, room, "right"))
+        begin, left = (ends[i - 1], room - int(totals[i - 1])) if i else (0, room)
+        part = word[begin : ends[min(i, len(ends) - 1)]]
+        for k in range(len(part) - 1, 0, -PREFIXES_AT_ONCE):
+            tried = range(k, max(0, k - PREFIXES_AT_ONCE), -1)
+            for size, n in zip(tried, self.encode_counts([part[:t] for t in tried]), strict=True):
+                if n <= left:
+                    return begin + size
+        return begin
+
+
+def segment_ends(word: str) -> list[int]:
+    """Ends of the segments of a word whose tokens do not depend on each other.
+
+    The tokenizer takes each digit alone and ends a run of letters at punctuation; what
+    composes with the letter before it, and a special token, is not parted.
+    """
+    inside = {k for m in SPECIAL.finditer(word) for k in range(m.start() + 1, m.end())}
+    kinds = [unicodedata.category(c)[0] for c in word]
+    digit = [c in "0123456789" for c in word]
+    parted = [k for k in range(1, len(word)) if digit[k - 1] or digit[k] or (kinds[k - 1] == "L" and kinds[k] in "PS")]
+    return [*(k for k in parted if k not in inside), len(word)]
 
 
 def _pieces(words: list[bytes], size: int = 50_000) -> Iterator[list[bytes]]:
@@ -89,9 +126,8 @@ def _pieces(words: list[bytes], size: int = 50_000) -> Iterator[list[bytes]]:
 def token_counts(docs: DataFrame, text: str = "text", budget: int = 2048, vocabulary: str | None = None) -> DataFrame:
     """The rows with ``n_bytes``, ``n_tokens``, ``over_limit`` and ``fit_bytes``.
 
-    ``fit_bytes`` is the length of the longest prefix of at most ``budget`` tokens; a
-    word of over 512 characters without white space is not cut. Columns of the same
-    names are replaced; the text column is left out.
+    ``fit_bytes`` is the length of the longest prefix of at most ``budget`` tokens.
+    Columns of the same names are replaced; the text column is left out.
     """
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     added = "n_bytes long, n_tokens long, over_limit boolean, fit_bytes long"
