@@ -8,7 +8,8 @@ chunks the first, by document id and place, stays. Runs of adjacent chunks that
 before are removed if they have at least ``MIN_RUN`` bytes, so a short repeated line or a
 chance match of digests removes nothing.
 
-A NULL text has no chunk. Rows with the same id and text are decided alike. Documents
+A NULL text has no chunk. A document is an id and a text: rows with the same id and text are
+decided alike, those with one id and other texts apart, in the order of a hash of the text. Documents
 without an id come first, in the order of a hash of their text. Offsets count bytes.
 """
 
@@ -68,13 +69,18 @@ def place(docs: DataFrame, text: str) -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)) - F.shiftrightunsigned(F.xxhash64(text), 2))
 
 
+def version(text: str) -> Column:
+    """Tells texts of one id apart."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def chunks(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``place``, ``digests`` and ``ends`` of each document."""
+    """``place``, ``version``, ``digests`` and ``ends`` of each document."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, ends = [], []
-            for value in batch.column(1):
+            for value in batch.column(2):
                 data = value.as_py()
                 at = cuts(data)
                 begin, found = 0, []
@@ -83,46 +89,46 @@ def chunks(docs: DataFrame, text: str = "text") -> DataFrame:
                     begin = end
                 digests.append(np.array(found, np.uint64).astype(np.int64))
                 ends.append(at.astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64()))], names=["place", "digests", "ends"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(digests, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64()))], names=["place", "version", "digests", "ends"])
 
-    rows = docs.select(place(docs, text).alias("place"), F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
-    return rows.mapInArrow(compute, "place long, digests array<bigint>, ends array<bigint>")
+    rows = docs.select(place(docs, text).alias("place"), version(text).alias("version"), F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+    return rows.mapInArrow(compute, "place long, version long, digests array<bigint>, ends array<bigint>")
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
-    """``place``, ``start``, ``end``, ``kept_place``: the bytes to remove, and where they stay first."""
+    """``place``, ``version``, ``start``, ``end``, ``kept_place``: the bytes to remove, and where they stay first."""
     stored_chunks = stored(chunks(docs, text), "substring-chunks")
-    each = stored_chunks.select("place", F.posexplode("digests").alias("n", "digest"))
-    first = F.min(F.struct("place", "n"))
-    known = each.groupBy("digest").agg(first.alias("first"), F.max(F.struct("place", "n")).alias("last"))
-    known = stored(known.filter("first <> last").select("digest", F.col("first.place").alias("kept_place"), F.col("first.n").alias("kept_n")), "substring-known")
-    later = each.join(known, "digest").filter("place > kept_place OR n > kept_n")
+    each = stored_chunks.select("place", "version", F.posexplode("digests").alias("n", "digest"))
+    first = F.min(F.struct("place", "version", "n"))
+    known = each.groupBy("digest").agg(first.alias("first"), F.max(F.struct("place", "version", "n")).alias("last"))
+    known = stored(known.filter("first <> last").select("digest", F.col("first.place").alias("kept_place"), F.col("first.version").alias("kept_version"), F.col("first.n").alias("kept_n")), "substring-known")
+    later = each.join(known, "digest").filter("place > kept_place OR version > kept_version OR n > kept_n")
     # Chunks of one document, at most as many as it has: a run goes on where numbers follow on.
-    marked = later.groupBy("place").agg(F.array_sort(F.collect_set(F.struct("n", "kept_place"))).alias("marked"))
-    once = stored_chunks.select("place", "ends").join(stored(marked, "substring-marked"), "place").dropDuplicates(["place"])
+    marked = later.groupBy("place", "version").agg(F.array_sort(F.collect_set(F.struct("n", "kept_place"))).alias("marked"))
+    once = stored_chunks.select("place", "version", "ends").join(stored(marked, "substring-marked"), ["place", "version"]).dropDuplicates(["place", "version"])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for where, ends, marked in zip(*(batch.column(i) for i in range(3)), strict=True):
+            for where, text, ends, marked in zip(*(batch.column(i) for i in range(4)), strict=True):
                 ends, marked = np.array(ends.as_py()), marked.as_py()
                 n = np.array([m["n"] for m in marked])
                 breaks = np.flatnonzero(np.diff(n, prepend=n[0] - 2) != 1)
                 for a, b in zip(breaks, [*breaks[1:], len(n)], strict=True):
                     start, end = int(ends[n[a] - 1]) if n[a] else 0, int(ends[n[b - 1]])
                     if end - start >= min_run:
-                        rows.append((where.as_py(), start, end, marked[a]["kept_place"]))
-            columns = zip(*rows, strict=True) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["place", "start", "end", "kept_place"])
+                        rows.append((where.as_py(), text.as_py(), start, end, marked[a]["kept_place"]))
+            columns = zip(*rows, strict=True) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["place", "version", "start", "end", "kept_place"])
 
-    return once.select("place", "ends", "marked").mapInArrow(runs, "place long, start long, end long, kept_place long")
+    return once.select("place", "version", "ends", "marked").mapInArrow(runs, "place long, version long, start long, end long, kept_place long")
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
     """The documents without the bytes of repeated spans; all other columns as they are."""
     spans = stored(repeated_spans(docs, text, min_run), "substring-spans")
-    spans = spans.groupBy(F.col("place").alias("_place")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-    rows = docs.withColumn("_here", place(docs, text)).join(spans, F.col("_here") == F.col("_place"), "left")
+    spans = spans.groupBy(F.col("place").alias("_place"), F.col("version").alias("_version")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
+    rows = docs.withColumns({"_here": place(docs, text), "_text": version(text)}).join(spans, (F.col("_here") == F.col("_place")) & (F.col("_text") == F.col("_version")), "left")
     body = F.col(text).cast("binary")
     keep = "transform(sequence(0, size(_spans)), i -> struct(if(i = 0, 0L, _spans[i - 1].end) AS a, if(i = size(_spans), octet_length(_b), _spans[i].start) AS b))"
     rows = rows.withColumn("_b", body)
