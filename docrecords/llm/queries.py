@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docrecords.llm import decontamination, jaccard_join, mixing, packing, quality_model, quality_rules, secrets, substrings, token_counts, warc
+from docrecords.llm import decontamination, jaccard_join, mixing, packing, quality_model, quality_rules, repair, secrets, substrings, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_mixing": mixing.op10_mixing,
+    "op11_repair": repair.op11_repair,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +27,5 @@ ORACLES: dict[str, str] = {
     "op5_quality_rules": quality_rules.SQL,
     "op7_secrets": secrets.SQL,
     "op10_mixing": mixing.SQL,
+    "op11_repair": repair.SQL,
 }
