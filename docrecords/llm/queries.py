@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docrecords.llm import decontamination, jaccard_join, mixing, packing, quality_model, quality_rules, repair, secrets, substrings, token_counts, warc
+from docrecords.llm import decontamination, jaccard_join, mixing, packing, prefix_trie, quality_model, quality_rules, repair, secrets, substrings, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_mixing": mixing.op10_mixing,
     "op11_repair": repair.op11_repair,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -28,4 +29,5 @@ ORACLES: dict[str, str] = {
     "op7_secrets": secrets.SQL,
     "op10_mixing": mixing.SQL,
     "op11_repair": repair.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }
