@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docrecords.llm import decontamination, jaccard_join, mixing, packing, prefix_trie, quality_model, quality_rules, repair, secrets, substrings, token_counts, warc
+from docrecords.llm import decontamination, jaccard_join, mixing, packing, prefix_trie, quality_model, quality_rules, repair, secrets, substrings, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": mixing.op10_mixing,
     "op11_repair": repair.op11_repair,
     "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_toxicity": toxicity.op13_toxicity,
 }
 
 ORACLES: dict[str, str] = {
