@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from docrecords.session import run_dir
@@ -26,5 +28,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_in_buckets(df: DataFrame, name: str, key: str) -> DataFrame:
+    """The rows, written in buckets of ``key``; reading them grouped by it needs no shuffle.
+
+    Buckets need a table's description, which is dropped again; the files stay.
+    """
+    spark, path = df.sparkSession, run_dir(df.sparkSession, name)
+    table_name = f"docrecords_{uuid.uuid4().hex}"
+    df.write.option("path", path).bucketBy(shuffle_width(spark), key).saveAsTable(table_name)
+    rows = spark.table(table_name)
+    spark.sql(f"DROP TABLE {table_name}")
+    return rows
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -23,10 +23,11 @@ should decide about a text. A logistic function of these means, fitted on labell
 the models have not seen, gives the score.
 
 Counts cover all texts, and nothing that grows with the corpus reaches the driver or is
-broadcast. A task gives each block of texts a dictionary of its words; shuffles move counts of
-the grams of these words, the table of grams, and texts as lists of dictionary places. The
-logistic function has few weights and is fitted on at most ``MAX_CALIBRATION_ROWS`` texts,
-those with the least hashes.
+broadcast. A task gives each block of texts a dictionary of its words and stores the texts as
+lists of dictionary places, in buckets by block, so that they are not shuffled; what moves are
+the grams of each block's words with their counts and ratios, and labels. The logistic
+function has few weights and is fitted on at most ``MAX_CALIBRATION_ROWS`` texts, those with
+the least hashes.
 
 Words are runs of letters, lower-cased. A NULL text is empty; a text without words has evidence
 0. Labels count where all rows of a doc_id agree. Without labels of both kinds every score is
@@ -37,6 +38,7 @@ of other names are not read.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -47,23 +49,22 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docrecords.llm.common import stored, table
+from docrecords.llm.common import stored, stored_in_buckets, table
 
 MAX_CALIBRATION_ROWS = 20_000
-ORDER, DISCOUNT = 5, 0.75
+ORDER, DISCOUNT = 4, 0.75
 WINDOWS = (16, 64, 256)
 FLOOR, CEILING = 2.0, 4.0
 #: Texts and letters of a block; one text alone may have more.
 BLOCK_TEXTS, BLOCK_LETTERS = 20_000, 16 << 20
 RUN, SKETCHES = 4, 2
-#: Classes of texts besides 1 and 0: without a label to learn from; a copy of another text.
-UNKNOWN, COPY = -1, -2
 LETTERS = re.compile(r"[^\W\d_]+")
 
 # --- texts as lists of dictionary places ------------------------------------------------
 
-TEXT_SCHEMA = pa.schema([("block", pa.int64()), ("at", pa.int64()), ("doc_id", pa.string()), ("sketch", pa.int64()), ("places", pa.binary()), ("word", pa.string())])
-TEXTS = "block bigint, at bigint, doc_id string, sketch bigint, places binary, word string"
+#: A block's texts (``at`` from 0, the places of their words) and, at -1, its words.
+BLOCK_SCHEMA = pa.schema([("block", pa.int64()), ("at", pa.int64()), ("doc_id", pa.string()), ("sketch", pa.int64()), ("data", pa.binary())])
+BLOCKS = "block bigint, at bigint, doc_id string, sketch bigint, data binary"
 
 
 def sketch(words: list[str]) -> int:
@@ -74,43 +75,49 @@ def sketch(words: list[str]) -> int:
     return xxhash.xxh64_intdigest(np.array(least).tobytes()) - (1 << 63)
 
 
+def _packed(places: np.ndarray) -> bytes:
+    """The bytes of all places, highest bytes first, compressed: most of them are zeros."""
+    return zlib.compress(places.astype(">u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(">u4").ravel().astype(np.int64)
+
+
+def _words(data: bytes) -> list[str]:
+    text = zlib.decompress(data).decode()
+    return text.split("\n") if text else []
+
+
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each block's texts (place of each word) and its dictionary (``at``: place, ``word``)."""
+    """Texts to blocks; a block's words are numbered from the most frequent on."""
     number = TaskContext.get().partitionId() << 32
-    rows, places, size = [], {}, 0
+    rows, known, size = [], {}, 0
 
     def block() -> pa.RecordBatch:
-        n, v = len(rows), len(places)
-        columns = list(zip(*rows, strict=True))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([number] * (n + v), pa.int64()),
-                pa.array([*range(n), *range(v)], pa.int64()),
-                pa.array([*columns[0], *[None] * v], pa.string()),
-                pa.array([*columns[1], *[None] * v], pa.int64()),
-                pa.array([*columns[2], *[None] * v], pa.binary()),
-                pa.array([*[None] * n, *places], pa.string()),
-            ],
-            schema=TEXT_SCHEMA,
-        )
+        counts = np.bincount(np.concatenate([r[2] for r in rows]), minlength=len(known))
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(known), np.uint32)
+        rank[order] = np.arange(len(known))
+        words = list(known)
+        n = len(rows)
+        data = [*(_packed(rank[r[2]]) for r in rows), zlib.compress("\n".join([words[i] for i in order.tolist()]).encode(), 1)]
+        columns = ([number] * (n + 1), [*range(n), -1], [*(r[0] for r in rows), None], [*(r[1] for r in rows), None], data)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, BLOCK_SCHEMA, strict=True)], schema=BLOCK_SCHEMA)
 
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             words = LETTERS.findall(text.lower())
-            found = np.fromiter((places.setdefault(w, len(places)) for w in words), np.uint32, len(words))
-            rows.append((doc_id, sketch(words), found.tobytes()))
+            rows.append((doc_id, sketch(words), np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))))
             size += len(text)
             if len(rows) >= BLOCK_TEXTS or size >= BLOCK_LETTERS:
                 yield block()
-                number, rows, places, size = number + 1, [], {}, 0
+                number, rows, known, size = number + 1, [], {}, 0
     if rows:
         yield block()
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint32)
-
-
 # --- counts of grams ---------------------------------------------------------------------
 
 START, END = "^", "$"
@@ -122,20 +129,30 @@ def grams(word: str) -> list[str]:
     return [marked[max(0, i - ORDER) : i] for i in range(2, len(marked) + 1)]
 
 
-def _counts(key: tuple, texts: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-    """Per gram of a block's words: pairs of a word and a toxic or ordinary text."""
-    of_texts = told["word"].isna()
-    words, classes = told[~of_texts].sort_values("place")["word"], told[of_texts].sort_values("place")["toxic"].to_numpy(np.int64)
-    found = np.zeros((2, len(words)), np.int64)
-    for at, places in zip(texts["at"], texts["places"], strict=True):
-        if classes[at] >= 0:
-            found[classes[at], np.unique(_unpacked(places))] += 1
+def _wanted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different grams of each block's words."""
+    for batch in batches:
+        for block, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist(), strict=True):
+            found = {g for w in _words(data) for g in grams(w)}
+            if found:
+                yield pa.RecordBatch.from_pydict({"of": [block] * len(found), "gram": list(found)})
+
+
+def _counts(key: tuple, block: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFrame:
+    """Per gram: pairs of a word and a toxic or ordinary text of ``classes`` (place, toxic)."""
     counts: dict[str, list[int]] = {}
-    for word, n_ordinary, n_toxic in zip(words, *found.tolist(), strict=True):
-        for gram in grams(word):
-            held = counts.setdefault(gram, [0, 0])
-            held[0] += n_ordinary
-            held[1] += n_toxic
+    if len(block) and len(classes):
+        texts = block.set_index("at")["data"]
+        words = _words(texts[-1])
+        found = np.zeros((2, len(words)), np.int64)
+        for at, toxic in zip(classes["place"], classes["toxic"], strict=True):
+            found[toxic, np.unique(_unpacked(texts[at]))] += 1
+        held = np.flatnonzero(found.any(0))
+        for i, n_ordinary, n_toxic in zip(held.tolist(), *found[:, held].tolist(), strict=True):
+            for gram in grams(words[i]):
+                sums = counts.setdefault(gram, [0, 0])
+                sums[0] += n_ordinary
+                sums[1] += n_toxic
     return pd.DataFrame({"gram": list(counts), "ordinary": [c[0] for c in counts.values()], "toxic": [c[1] for c in counts.values()]})
 
 
@@ -165,16 +182,18 @@ def shared_backoff(counts: DataFrame) -> DataFrame:
     return told.select("gram", F.aggregate("steps", F.lit(1e-6), lambda below, s: s["own"] + s["rest"] * below).alias("shared"))
 
 
-def gram_ratios(texts: DataFrame, told: DataFrame) -> DataFrame:
+def gram_ratios(blocks: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
     """``gram`` and ``ratio``, the difference of its log-probabilities, of all grams.
 
-    ``texts`` has block, at and places; ``told`` for each text its block, place and class
-    ``toxic`` (1, 0, UNKNOWN, or COPY), and for each word its block, place and ``word``.
+    ``wanted`` has the grams of all blocks, ``classes`` the texts that count: the block as
+    ``of``, the place in it, and ``toxic``.
     """
-    counts = texts.groupBy("block").cogroup(told.groupBy("of")).applyInPandas(_counts, "gram string, ordinary bigint, toxic bigint")
-    sums = [F.sum(c).alias(c) for c in ("ordinary", "toxic")]
-    counts = stored(counts.groupBy("gram").agg(*sums).withColumn("context", _context("gram")), "toxicity-grams")
-    after = [a for c in ("ordinary", "toxic") for a in (F.sum(c).alias(f"n_{c}"), F.count_if(F.col(c) > 0).alias(f"v_{c}"))]
+    counts = blocks.groupBy("block").cogroup(classes.groupBy("of")).applyInPandas(_counts, "gram string, ordinary bigint, toxic bigint")
+    names = ("ordinary", "toxic")
+    counts = counts.groupBy("gram").agg(*[F.sum(c).alias(c) for c in names])
+    counts = wanted.select("gram").distinct().join(counts, "gram", "left").fillna(0, names)
+    counts = stored(counts.withColumn("context", _context("gram")), "toxicity-grams")
+    after = [a for c in names for a in (F.sum(c).alias(f"n_{c}"), F.count_if(F.col(c) > 0).alias(f"v_{c}"))]
     after = counts.groupBy("context").agg(*after)
     backoff = stored(shared_backoff(counts.select("gram")), "toxicity-backoff")
     rows = counts.join(after, "context").join(backoff, "gram")
@@ -186,20 +205,6 @@ def gram_ratios(texts: DataFrame, told: DataFrame) -> DataFrame:
     return rows.select("gram", (logs[0] - logs[1]).alias("ratio"))
 
 
-def _wanted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The different grams of each block's words."""
-    block, found = None, set()
-    for batch in batches:
-        for of, word in zip(batch.column("of").to_pylist(), batch.column("word").to_pylist(), strict=True):
-            if of != block:
-                if found:
-                    yield pa.RecordBatch.from_pydict({"of": [block] * len(found), "gram": list(found)})
-                block, found = of, set()
-            found.update(grams(word))
-    if found:
-        yield pa.RecordBatch.from_pydict({"of": [block] * len(found), "gram": list(found)})
-
-
 # --- evidence ---------------------------------------------------------------------------
 
 def evidence(ratios: np.ndarray) -> list[float]:
@@ -211,13 +216,14 @@ def evidence(ratios: np.ndarray) -> list[float]:
     return [float(sums[-1] / len(ratios)), *best]
 
 
-def _evidence(key: tuple, texts: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-    of_words = told["word"].notna()
-    known = dict(zip(told["gram"][~of_words], told["ratio"][~of_words], strict=True))
-    words = told[of_words].sort_values("place")["word"]
-    ratio = np.fromiter((sum(known[g] for g in grams(w)) for w in words), np.float64, len(words))
-    found = [evidence(ratio[_unpacked(p)]) for p in texts["places"]]
-    return pd.DataFrame({"block": key[0], "at": texts["at"], "evidence": found})
+def _evidence(key: tuple, block: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+    known = dict(zip(told["gram"], told["ratio"], strict=True))
+    texts = block[block["at"] >= 0]
+    words = _words(block["data"][block["at"] < 0].iloc[0])
+    ratio = np.fromiter((sum(map(known.__getitem__, grams(w))) for w in words), np.float64, len(words))
+    ids = [None if pd.isna(i) else i for i in texts["doc_id"]]
+    found = [evidence(ratio[_unpacked(d)]) for d in texts["data"]]
+    return pd.DataFrame({"doc_id": pd.Series(ids, dtype=object), "evidence": pd.Series(found, dtype=object)})
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -255,28 +261,21 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    blocks = stored(rows.mapInArrow(_blocks, TEXTS), "toxicity-blocks")
-    texts = blocks.filter("places IS NOT NULL").drop("word")
-    words = blocks.filter("word IS NOT NULL").select(F.col("block").alias("of"), F.col("at").alias("place"), "word")
+    blocks = stored_in_buckets(rows.mapInArrow(_blocks, BLOCKS), "toxicity-blocks", "block")
     agreed = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("string").alias("doc_id"))
-    agreed = agreed.agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").cast("int").alias("_most")).filter("toxic = _most").drop("_most")
-    known = stored(texts.drop("places").join(agreed, "doc_id", "left"), "toxicity-labels")
-    known = known.withColumn("learnt", F.when(~_calibrates(), F.coalesce("toxic", F.lit(UNKNOWN))).otherwise(UNKNOWN))
-    # Copies: the first text of each class and sketch counts; partial sums make one row of each per task.
-    firsts = known.groupBy("learnt", "sketch").agg(F.min(F.struct("block", "at")).alias("f")).select(F.col("f.block").alias("_of"), F.col("f.at").alias("_at"))
-    classes = known.join(firsts, (F.col("block") == F.col("_of")) & (F.col("at") == F.col("_at")), "left")
-    classes = classes.select(F.col("block").alias("of"), F.col("at").alias("place"), F.when(F.col("_of").isNull(), COPY).otherwise(F.col("learnt")).alias("toxic"))
-    ratios = stored(gram_ratios(texts.select("block", "at", "places"), words.unionByName(classes, allowMissingColumns=True)), "toxicity-ratios")
-    wanted = words.select("of", "word").mapInArrow(_wanted, "of bigint, gram string")
-    told = wanted.join(ratios, "gram").unionByName(words, allowMissingColumns=True)
-    grouped = texts.select("block", "at", "places").groupBy("block").cogroup(told.groupBy("of"))
-    found = grouped.applyInPandas(_evidence, "block bigint, at bigint, evidence array<double>")
-    whose = known.select(F.col("block").alias("of"), F.col("at").alias("place"), "doc_id", "toxic")
-    found = stored(found.join(whose, (F.col("block") == F.col("of")) & (F.col("at") == F.col("place"))), "toxicity-evidence")
-    # At most MAX_CALIBRATION_ROWS rows of five numbers reach the driver.
-    drawn = found.filter("toxic IS NOT NULL").withColumn("_tested", _calibrates().cast("int"))
-    drawn = drawn.orderBy(F.desc("_tested"), F.xxhash64(F.lit(13), "doc_id"), "doc_id", "block", "at").limit(MAX_CALIBRATION_ROWS).collect()
-    tested = [r for r in drawn if r["_tested"]]
+    agreed = agreed.agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").cast("int").alias("_most"))
+    agreed = agreed.filter("toxic = _most").select("doc_id", "toxic", _calibrates().alias("_tests"))
+    # Of copies the first text counts; partial sums make one row of each per task.
+    known = blocks.filter("at >= 0").select("doc_id", "sketch", F.struct("block", "at").alias("where")).join(agreed.filter("NOT _tests"), "doc_id")
+    classes = known.groupBy("toxic", "sketch").agg(F.min("where").alias("f")).select(F.col("f.block").alias("of"), F.col("f.at").alias("place"), "toxic")
+    wanted = stored(blocks.filter("at < 0").select("block", "data").mapInArrow(_wanted, "of bigint, gram string"), "toxicity-wanted")
+    ratios = stored(gram_ratios(blocks, wanted, classes), "toxicity-ratios")
+    told = wanted.join(ratios, "gram").select("of", "gram", "ratio")
+    found = blocks.groupBy("block").cogroup(told.groupBy("of")).applyInPandas(_evidence, "doc_id string, evidence array<double>")
+    found = stored(found, "toxicity-evidence")
+    # At most MAX_CALIBRATION_ROWS rows of a few numbers reach the driver.
+    drawn = found.join(agreed, "doc_id").orderBy(F.desc("_tests"), F.xxhash64(F.lit(13), "doc_id"), "doc_id", "evidence").limit(MAX_CALIBRATION_ROWS).collect()
+    tested = [r for r in drawn if r["_tests"]]
     score = F.lit(sum(r["toxic"] for r in drawn) / len(drawn) if drawn else 0.5)
     if 0 < sum(r["toxic"] for r in tested) < len(tested):
         weights = _logistic(np.array([r["evidence"] for r in tested]), np.array([r["toxic"] for r in tested], np.float64))
