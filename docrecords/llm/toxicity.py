@@ -153,7 +153,8 @@ def _counts(key: tuple, block: pd.DataFrame, classes: pd.DataFrame) -> pd.DataFr
                 sums = counts.setdefault(gram, [0, 0])
                 sums[0] += n_ordinary
                 sums[1] += n_toxic
-    return pd.DataFrame({"gram": list(counts), "ordinary": [c[0] for c in counts.values()], "toxic": [c[1] for c in counts.values()]})
+    sums = np.array(list(counts.values()), np.int64).reshape(-1, 2)
+    return pd.DataFrame({"gram": pd.Series(list(counts), dtype=object), "ordinary": sums[:, 0], "toxic": sums[:, 1]})
 
 
 def _context(gram: str) -> Column:
