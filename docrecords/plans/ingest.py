@@ -1,9 +1,10 @@
 """Files to routed documents: intake, backfill of pending days, second source.
 
 Documents are written once, to one table partitioned by ``destination``: 'main'
-(the wanted type), 'other' and 'rejected' (no text, with the reason). A single
-append routes a whole batch, so nothing is deleted afterwards and a failed run
-leaves no half-routed rows. All three destinations are the ledger of what has
+(the wanted type), 'other' and 'rejected' (no text, with the reason). One write
+routes a whole batch of days, so nothing is deleted afterwards. Batches count once
+they are committed (``sources.batches``): a run that is killed and run again gives
+the rows of a run that was not. All three destinations are the ledger of what has
 been handled.
 """
 
@@ -15,7 +16,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +27,8 @@ from docrecords.schemas import (
     PARSED_EXTENSIONS,
     SECOND_SOURCE_DOCUMENT,
 )
+from docrecords.session import kept
+from docrecords.sources import batches
 from docrecords.sources.files import list_files, read_files, read_paths, stamp
 from docrecords.sources.tables import create_empty, table_exists, write_table
 
@@ -43,6 +46,12 @@ ROUTED_DOCUMENT = T.StructType(
 )
 
 
+SECOND_SOURCE_ROW = T.StructType(
+    SECOND_SOURCE_DOCUMENT.fields
+    + [T.StructField("process_date", T.DateType()), T.StructField("destination", T.StringType())]
+)
+
+
 @dataclass(frozen=True)
 class IngestConfig:
     """Parameters of a run. ``dates`` narrows the pending days."""
@@ -57,6 +66,10 @@ class IngestConfig:
     parsed_extensions: tuple[str, ...] = PARSED_EXTENSIONS
     keep: str = "invoice"
     dates: tuple[date, ...] | None = None
+    #: Pending days that are written and committed together; all of them unless given.
+    days_per_commit: int | None = None
+    #: Where the files of new tables are kept, if not in the session's warehouse.
+    location: str | None = None
     #: Bytes of a file with a parsed extension to its elements, for formats such as PDF.
     parser: parse.Parser | None = None
     classify_options: dict = field(default_factory=dict)
@@ -74,7 +87,7 @@ def run_intake(spark: SparkSession, config: IngestConfig, as_of: datetime | None
     name, days = config.intake_table, ("process_date",)
     files = read_files(spark, config.folder)
     if not table_exists(spark, name):
-        create_empty(spark, name, DOCUMENT_INTAKE, days)
+        create_empty(spark, name, DOCUMENT_INTAKE, days, config.location)
         fresh = intake.incremental_intake(files, None, config.baseline)
         write_table(stamp(fresh, as_of), name, DOCUMENT_INTAKE, partition_by=days)
         return
@@ -87,8 +100,8 @@ def run_intake(spark: SparkSession, config: IngestConfig, as_of: datetime | None
 
 
 def documents(spark: SparkSession, config: IngestConfig, destination: str = MAIN) -> DataFrame:
-    """Documents of one destination; only its partition folders are read."""
-    return spark.table(config.documents_table).filter(F.col("destination") == destination)
+    """Committed documents of one destination; only its partition folders are read."""
+    return batches.committed(spark, config.documents_table).filter(F.col("destination") == destination)
 
 
 def process_documents(files: DataFrame, config: IngestConfig) -> DataFrame:
@@ -103,15 +116,30 @@ def process_documents(files: DataFrame, config: IngestConfig) -> DataFrame:
     return typed.withColumn("destination", destination)
 
 
-def run_backfill(spark: SparkSession, config: IngestConfig) -> None:
-    """Process all pending days (or the configured ones) in one job."""
-    ledger = None
-    if table_exists(spark, config.documents_table):
-        ledger = intake.ledger_of(spark.table(config.documents_table))
+def run_backfill(spark: SparkSession, config: IngestConfig, before_commit: batches.Hook | None = None) -> None:
+    """Process all pending days (or the configured ones), ``days_per_commit`` at a time.
+
+    A day is pending while a committed batch lacks one of its file versions.
+    """
+    batches.create(spark, config.documents_table, ROUTED_DOCUMENT, config.location)
     taken = spark.table(config.intake_table)
-    pending = intake.pending_files(taken.select(*intake.VERSION), ledger, config.dates, config.suffixes)
-    routed = process_documents(_content_of(taken, pending).drop("length"), config)
-    write_table(routed, config.documents_table, ROUTED_DOCUMENT, partition_by=("destination", "process_date"))
+    ledger = intake.ledger_of(batches.committed(spark, config.documents_table))
+    # Versions alone are kept; each slice is then joined to what was pending when the run began.
+    pending = kept(intake.pending_files(taken.select(*intake.VERSION), ledger, config.dates, config.suffixes), "pending")
+    days = [r[0] for r in pending.select("process_date").distinct().orderBy("process_date").collect()]
+    for some in _slices(days, config.days_per_commit):
+        routed = process_documents(_content_of(taken, pending.filter(_among(some))).drop("length"), config)
+        batches.write_days(routed, config.documents_table, ROUTED_DOCUMENT, some, before_commit=before_commit)
+
+
+def _slices(days: list[date | None], size: int | None) -> list[list[date | None]]:
+    size = size or max(1, len(days))
+    return [days[i : i + size] for i in range(0, len(days), size)]
+
+
+def _among(days: list[date | None]) -> Column:
+    day = F.col("process_date")
+    return day.isin([d for d in days if d is not None]) | (day.isNull() if None in days else F.lit(False))
 
 
 def _content_of(taken: DataFrame, pending: DataFrame) -> DataFrame:
@@ -120,25 +148,28 @@ def _content_of(taken: DataFrame, pending: DataFrame) -> DataFrame:
     A day that is pending as a whole needs no join, so its content is not moved.
     """
     whole, partly = intake.pending_by_day(taken, pending)
-    day = F.col("process_date")
-    on = lambda days: day.isin([d for d in days if d is not None]) | (day.isNull() if None in days else F.lit(False))
-    return taken.filter(on(whole)).unionByName(intake.having(taken.filter(on(partly)), pending))
+    return taken.filter(_among(whole)).unionByName(intake.having(taken.filter(_among(partly)), pending))
 
 
 def run_second_source(
     spark: SparkSession,
     config: IngestConfig,
     fn: Callable[[bytes], str] | None = None,
+    replace: bool = False,
+    before_commit: batches.Hook | None = None,
 ) -> None:
     """Run the second text extractor over the kept documents it has not read.
 
     A failure is a row with its ``error``; failed documents are tried again by each run.
+    With ``replace`` the configured days (or all) are read anew, and their rows take the
+    place of the days' earlier rows.
     """
-    ledger = None
-    if table_exists(spark, config.second_table):
-        ledger = intake.ledger_of(spark.table(config.second_table).filter("error IS NULL"))
-    files = enrich.second_source(
-        spark.table(config.intake_table).drop("length"),
+    name, schema = config.second_table, SECOND_SOURCE_ROW
+    batches.create(spark, name, schema, config.location)
+    ledger = None if replace else intake.ledger_of(batches.committed(spark, name).filter("error IS NULL"))
+    taken = spark.table(config.intake_table).drop("length")
+    wanted = enrich.second_source(
+        taken.select(*intake.VERSION),
         # Only documents of the wanted type are read again, and these all are in 'main'.
         documents(spark, config, MAIN),
         ledger,
@@ -146,15 +177,19 @@ def run_second_source(
         dates=config.dates,
         suffixes=config.suffixes,
     )
-    texts = parse.extract_text(files, fn).withColumnRenamed("text_error", "error")
-    schema = T.StructType(SECOND_SOURCE_DOCUMENT.fields + [T.StructField("process_date", T.DateType())])
-    write_table(texts, config.second_table, schema, partition_by=("process_date",))
+    wanted = kept(wanted, "second-source")
+    files = enrich.attach_labels(intake.having(taken, wanted), wanted).withColumn("process_date", F.to_date("modificationTime"))
+    days = [r[0] for r in wanted.select("process_date").distinct().orderBy("process_date").collect()]
+    for some in _slices(days, config.days_per_commit):
+        texts = parse.extract_text(files.filter(_among(some)), fn).withColumnRenamed("text_error", "error")
+        texts = texts.withColumn("destination", F.lit(MAIN))
+        batches.write_days(texts, name, schema, some, replace, before_commit)
 
 
 def run_summary(spark: SparkSession, config: IngestConfig) -> dict[str, DataFrame]:
     """Tables that describe the state after a run."""
     taken_in = spark.table(config.intake_table)
-    docs = spark.table(config.documents_table)
+    docs = batches.committed(spark, config.documents_table)
     return {
         "files": taken_in.agg(F.count("*").alias("n")),
         "documents": docs.groupBy("destination").agg(F.count("*").alias("n")),

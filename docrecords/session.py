@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every run relies on: days are UTC days, plans adapt at run time.
 SETTINGS = {
@@ -47,3 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/docrecords/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder and read from there: fixed, and without lineage."""
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

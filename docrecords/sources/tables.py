@@ -21,11 +21,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*_conformed(df, schema))
 
 
-def create_empty(spark: SparkSession, name: str, schema: T.StructType, partition_by: tuple[str, ...] = ()) -> None:
-    """An empty table with the declared layout, for a first run without input."""
+def create_empty(
+    spark: SparkSession, name: str, schema: T.StructType, partition_by: tuple[str, ...] = (), location: str | None = None
+) -> None:
+    """An empty table with the declared layout, for a first run without input.
+
+    With ``location`` its files are kept in the folder of its name below that place.
+    """
     writer = spark.createDataFrame([], schema).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if location is not None:
+        writer = writer.option("path", f"{location.rstrip('/')}/{name}")
     writer.saveAsTable(name)
 
 

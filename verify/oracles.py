@@ -428,6 +428,27 @@ SELECT path, CASE WHEN strlen(text) % 5 = 0 THEN 'ValueError: unreadable' END AS
 FROM pending
 """
 
+# Documents as the flow routes them; the type is that of the text, as in classify_documents.
+_ROUTED = f"""
+WITH {FILES}, lined AS (
+  SELECT path, modificationTime, {_IS_PARSED} AS parsed, text AS plain, {_LINES_OF_TEXT} AS lines FROM files),
+texts AS (SELECT path AS id, path, modificationTime, CASE WHEN NOT parsed THEN plain
+    WHEN len(lines) > 0 THEN array_to_string(lines, chr(10) || chr(10)) END AS text FROM lined), {_LABELLED},
+routed AS (SELECT texts.*, document_type, CAST(modificationTime AS DATE) AS process_date, CASE WHEN text IS NULL THEN 'rejected'
+    WHEN document_type = 'invoice' THEN 'main' ELSE 'other' END AS destination FROM texts JOIN labelled USING (id))
+"""
+
+ORACLES["backfill_restart"] = f"""
+{_ROUTED} SELECT destination, process_date, count(*) AS n_files, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM routed GROUP BY ALL
+"""
+
+ORACLES["second_source_replaced"] = f"""
+{_ROUTED}, read AS (SELECT r.*, plain, process_date = DATE '2025-09-05' OR process_date = (SELECT min(process_date) FROM routed WHERE destination = 'main') AS again
+  FROM routed r JOIN lined USING (path) WHERE destination = 'main')
+SELECT path, document_type, process_date, md5(CASE WHEN process_date = DATE '2025-09-05' THEN upper(plain)
+  WHEN again THEN 'lost' ELSE 'first reading' END) AS text_md5 FROM read
+"""
+
 # --- extraction ---------------------------------------------------------------------
 
 _LINE_COLUMNS = "lineNumber, productCode, uom, quantityShipped, weightShipped, unitPrice, lineTotal"

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +16,12 @@ from docrecords.functions.text import decode_text as decoded
 from docrecords.functions.text import directory, file_name, normalize_date, nz
 from docrecords.operators import canonical, enrich, extract, intake, merge, parse, quality, validate
 from docrecords.operators.rows import unnest
+from docrecords.plans import ingest
 from docrecords.plans.records import ITEMS, dual_source, single_source
-from docrecords.schemas import BY_NAME, COMPARED_COLUMNS, FIELDS, LINE_ITEM, RESPONSE
+from docrecords.schemas import BY_NAME, COMPARED_COLUMNS, DOCUMENT_INTAKE, FIELDS, LINE_ITEM, RESPONSE
 from docrecords.session import run_dir
-from docrecords.sources.tables import conform
+from docrecords.sources import batches
+from docrecords.sources.tables import conform, create_empty, write_table
 from docrecords.streaming import runners
 from verify import bindings as b
 
@@ -107,6 +111,65 @@ def backfill_daily_counts(spark, sf_dir):
     return written.groupBy("process_date").agg(F.count("*").alias("n_files"))
 
 
+class Killed(Exception):
+    """Stands for a run that ends between writing a batch and committing it."""
+
+
+def intake_table(spark, listing: DataFrame, config: ingest.IngestConfig) -> None:
+    """The listing as an intake table of the flow."""
+    stamped = b.with_content(listing).withColumn("process_date", F.to_date("modificationTime"))
+    create_empty(spark, config.intake_table, DOCUMENT_INTAKE, ("process_date",), config.location)
+    write_table(stamped, config.intake_table, DOCUMENT_INTAKE, partition_by=("process_date",))
+
+
+def flow_config(spark, **options) -> ingest.IngestConfig:
+    """Tables of names of their own, in the shared folder."""
+    tag = uuid.uuid4().hex
+    return ingest.IngestConfig("", f"intake_{tag}", f"documents_{tag}", f"second_{tag}", location=run_dir(spark, "tables"), **options)
+
+
+def _killed_halfway(run: Callable[[Callable], None]) -> None:
+    """Runs until the second slice of days is written, but not committed."""
+    slices = []
+
+    def stop(days):
+        slices.append(days)
+        if len(slices) == 2:
+            raise Killed
+
+    try:
+        run(stop)
+    except Killed:
+        pass
+
+
+@query
+def backfill_restart(spark, sf_dir):
+    """A backfill is killed between writing and committing, then runs again; each file counts once."""
+    listing = b.files(spark, sf_dir)
+    days = listing.agg(F.count_distinct(F.to_date("modificationTime"))).first()[0]
+    config = flow_config(spark, days_per_commit=max(1, -(-days // 3)))
+    intake_table(spark, listing, config)
+    _killed_halfway(lambda stop: ingest.run_backfill(spark, config, stop))
+    ingest.run_backfill(spark, config)
+    docs = batches.committed(spark, config.documents_table)
+    sizes = [F.count("*").alias("n_files"), F.sum(F.length("text")).cast("long").alias("n_chars")]
+    return docs.groupBy("destination", "process_date").agg(*sizes)
+
+
+@query
+def second_source_replaced(spark, sf_dir):
+    """The second extractor runs, is killed, and then replaces the days of its earlier rows."""
+    config = flow_config(spark)
+    intake_table(spark, b.files(spark, sf_dir), config)
+    ingest.run_backfill(spark, config)
+    ingest.run_second_source(spark, config, lambda content: "first reading")
+    _killed_halfway(lambda stop: ingest.run_second_source(spark, replace(config, days_per_commit=1), lambda content: "lost", True, stop))
+    ingest.run_second_source(spark, replace(config, dates=(DAY,)), lambda content: content.decode("utf-8").upper(), replace=True)
+    read = batches.committed(spark, config.second_table)
+    return read.select("path", "document_type", F.md5("text").alias("text_md5"), "process_date")
+
+
 @query
 def extension_breakdown(spark, sf_dir):
     return intake.extension_breakdown(b.files(spark, sf_dir))
