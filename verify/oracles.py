@@ -435,7 +435,7 @@ WITH {FILES}, lined AS (
 texts AS (SELECT path AS id, path, modificationTime, CASE WHEN NOT parsed THEN plain
     WHEN len(lines) > 0 THEN array_to_string(lines, chr(10) || chr(10)) END AS text FROM lined), {_LABELLED},
 routed AS (SELECT texts.*, document_type, CAST(modificationTime AS DATE) AS process_date, CASE WHEN text IS NULL THEN 'rejected'
-    WHEN document_type = 'invoice' THEN 'main' ELSE 'other' END AS destination FROM texts JOIN labelled USING (id))
+    WHEN document_type = 'contract' THEN 'main' ELSE 'other' END AS destination FROM texts JOIN labelled USING (id))
 """
 
 ORACLES["backfill_restart"] = f"""
@@ -443,10 +443,10 @@ ORACLES["backfill_restart"] = f"""
 """
 
 ORACLES["second_source_replaced"] = f"""
-{_ROUTED}, read AS (SELECT r.*, plain, process_date = DATE '2025-09-05' OR process_date = (SELECT min(process_date) FROM routed WHERE destination = 'main') AS again
-  FROM routed r JOIN lined USING (path) WHERE destination = 'main')
+{_ROUTED}
 SELECT path, document_type, process_date, md5(CASE WHEN process_date = DATE '2025-09-05' THEN upper(plain)
-  WHEN again THEN 'lost' ELSE 'first reading' END) AS text_md5 FROM read
+  WHEN process_date = (SELECT min(process_date) FROM routed WHERE destination = 'main') THEN 'lost' ELSE 'first reading' END) AS text_md5
+FROM routed JOIN lined USING (path) WHERE destination = 'main'
 """
 
 # --- extraction ---------------------------------------------------------------------

@@ -148,7 +148,7 @@ def backfill_restart(spark, sf_dir):
     """A backfill is killed between writing and committing, then runs again; each file counts once."""
     listing = b.files(spark, sf_dir)
     days = listing.agg(F.count_distinct(F.to_date("modificationTime"))).first()[0]
-    config = flow_config(spark, days_per_commit=max(1, -(-days // 3)))
+    config = flow_config(spark, keep="contract", days_per_commit=max(1, -(-days // 3)))
     intake_table(spark, listing, config)
     _killed_halfway(lambda stop: ingest.run_backfill(spark, config, stop))
     ingest.run_backfill(spark, config)
@@ -160,7 +160,7 @@ def backfill_restart(spark, sf_dir):
 @query
 def second_source_replaced(spark, sf_dir):
     """The second extractor runs, is killed, and then replaces the days of its earlier rows."""
-    config = flow_config(spark)
+    config = flow_config(spark, keep="contract")
     intake_table(spark, b.files(spark, sf_dir), config)
     ingest.run_backfill(spark, config)
     ingest.run_second_source(spark, config, lambda content: "first reading")
