@@ -11,12 +11,12 @@ from docrecords.llm.components import components
 SCHEMA = "doc_id long, text string, key string"
 
 
-def brute(rows):
+def brute(rows, width=3, percent=90):
     """(number of shingles, component) of each row, by comparing all pairs."""
     sets, parent = [], list(range(len(rows)))
     for _, text, *_ in rows:
         words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
-        sets.append(frozenset(zip(words, words[1:], words[2:])) if len(words) > 2 else frozenset([tuple(words)] if words else []))
+        sets.append(frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))) if words else frozenset())
 
     def find(i):
         while parent[i] != i:
@@ -25,7 +25,7 @@ def brute(rows):
 
     for i, a in enumerate(sets):
         for j in range(i):
-            if a and sets[j] and 100 * len(a & sets[j]) >= 90 * len(a | sets[j]):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
                 parent[find(i)] = find(j)
     least = {}
     for i, (doc, *_) in enumerate(rows):
