@@ -20,8 +20,8 @@ from docrecords.llm import decontamination, jaccard_join, mixing, packing, quali
 from docrecords.llm.common import stored, table
 
 LEAST_QUALITY = 0.3
-#: Near copies share this percentage of their shingles of so many words: what tests/llm/test_pipeline.py holds the stage to.
-NEAR_WORDS, NEAR_PERCENT = 3, 90
+#: Near copies share this percentage of their shingles of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
