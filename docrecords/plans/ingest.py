@@ -28,7 +28,7 @@ from docrecords.schemas import (
     SECOND_SOURCE_DOCUMENT,
 )
 from docrecords.session import kept
-from docrecords.sources import batches
+from docrecords.sources import batches, listing
 from docrecords.sources.files import list_files, read_files, read_paths, stamp
 from docrecords.sources.tables import create_empty, table_exists, write_table
 
@@ -83,17 +83,23 @@ class IngestConfig:
 
 
 def run_intake(spark: SparkSession, config: IngestConfig, as_of: datetime | None = None) -> None:
-    """Append files that are not yet in the intake table; create it on the first run."""
-    name, days = config.intake_table, ("process_date",)
-    files = read_files(spark, config.folder)
-    if not table_exists(spark, name):
+    """Append files that are not yet in the intake table; create it on the first run.
+
+    Tasks list the folders and open the new files, and no others, where they can reach the
+    store; of other stores Spark's file index lists the folder on the driver, and the new
+    files' paths come to it in batches.
+    """
+    name, days, known = config.intake_table, ("process_date",), None
+    if table_exists(spark, name):
+        known = spark.table(name)
+    else:
         create_empty(spark, name, DOCUMENT_INTAKE, days, config.location)
-        fresh = intake.incremental_intake(files, None, config.baseline)
-        write_table(stamp(fresh, as_of), name, DOCUMENT_INTAKE, partition_by=days)
+    by_tasks = listing.readable(config.folder)
+    files = listing.walk(spark, config.folder) if by_tasks else list_files(read_files(spark, config.folder))
+    fresh = kept(intake.incremental_intake(files, known, config.baseline, config.lookback), "fresh")
+    if by_tasks:
+        write_table(stamp(listing.with_content(fresh), as_of), name, DOCUMENT_INTAKE, partition_by=days)
         return
-    # The listing alone is compared; then the new files, and no others, are opened. Spark's
-    # file index has every path of the folder on the driver; here they come in batches.
-    fresh = intake.incremental_intake(list_files(files), spark.table(name), config.baseline, config.lookback)
     paths = (r["path"] for r in fresh.select("path").toLocalIterator())
     while batch := list(islice(paths, PATHS_AT_ONCE)):
         write_table(stamp(read_paths(spark, batch), as_of), name, DOCUMENT_INTAKE, partition_by=days)

@@ -18,6 +18,7 @@ from docrecords.operators.extract import NativeExtractor, PythonExtractor, run_i
 from docrecords.schemas import CANONICAL, DOCUMENT_INTAKE, RESPONSE
 from docrecords.session import shared_dir
 from docrecords.sources.files import stamp, stream_files
+from docrecords.sources.listing import stream_listing, update
 from docrecords.sources.tables import conform
 
 Step = Callable[[DataFrame], DataFrame]
@@ -58,11 +59,24 @@ def drain_to_folder(stream: DataFrame, folder: str, schema: T.StructType, checkp
 
 
 def intake_stream(
-    spark: SparkSession, folder: str, table: str, glob: str | None = None, checkpoint: str | None = None
+    spark: SparkSession, folder: str, table: str, glob: str | None = None, checkpoint: str | None = None, max_age: str = "3650d"
 ) -> None:
     """Take new files in. The checkpoint knows each file, so late arrivals with old
-    modification times are not missed."""
-    drain_to_table(stamp(stream_files(spark, folder, glob=glob)), table, DOCUMENT_INTAKE, checkpoint)
+    modification times are not missed, unless they are older than ``max_age``."""
+    drain_to_table(stamp(stream_files(spark, folder, glob=glob, max_age=max_age)), table, DOCUMENT_INTAKE, checkpoint)
+
+
+def listed_intake_stream(
+    spark: SparkSession, folder: str, listing: str, table: str, like: str | None = None, checkpoint: str | None = None
+) -> None:
+    """Take new files in through a kept listing: any number of files, of any age.
+
+    The listing is brought up to date, and its new batches are streamed; a run that fails
+    goes on with the batches it had not finished. ``like`` is an SQL pattern of paths.
+    """
+    update(spark, folder, listing)
+    files = stream_listing(spark, listing)
+    drain_to_table(stamp(files if like is None else files.filter(F.col("path").like(like))), table, DOCUMENT_INTAKE, checkpoint)
 
 
 def inference_stream(

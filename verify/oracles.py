@@ -442,6 +442,10 @@ ORACLES["backfill_restart"] = f"""
 {_ROUTED} SELECT destination, process_date, count(*) AS n_files, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM routed GROUP BY ALL
 """
 
+ORACLES["listed_intake"] = ORACLES["file_intake"] = f"""
+WITH {FILES} SELECT path, strlen(text) AS length, md5(text) AS content_md5 FROM files
+"""
+
 ORACLES["second_source_replaced"] = f"""
 {_ROUTED}
 SELECT path, document_type, process_date, md5(CASE WHEN process_date = DATE '2025-09-05' THEN upper(plain)

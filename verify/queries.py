@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,7 @@ from docrecords.plans.records import ITEMS, dual_source, single_source
 from docrecords.schemas import BY_NAME, COMPARED_COLUMNS, DOCUMENT_INTAKE, FIELDS, LINE_ITEM, RESPONSE
 from docrecords.session import run_dir
 from docrecords.sources import batches
+from docrecords.sources import listing as files_of
 from docrecords.sources.tables import conform, create_empty, write_table
 from docrecords.streaming import runners
 from verify import bindings as b
@@ -170,6 +172,55 @@ def second_source_replaced(spark, sf_dir):
     return read.select("path", "document_type", F.md5("text").alias("text_md5"), "process_date")
 
 
+def _write_files(files: DataFrame, folder: str) -> None:
+    """Files (path, content) below ``folder``, written by tasks."""
+
+    def write(batches):
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                store, inner, _ = files_of.store_of(folder + path)
+                store.create_dir(inner.rsplit("/", 1)[0])
+                with store.open_output_stream(inner) as out:
+                    out.write(content)
+            yield batch.select(["path"])
+
+    files.select("path", "content").mapInArrow(write, "path string").count()
+
+
+def _parts_of_listing(spark, sf_dir, folder: str, parts: int):
+    """Writes the documents as files in so many goes, and pauses after each."""
+    for part in range(parts):
+        _write_files(b.with_content(b.files(spark, sf_dir).filter(F.col("doc_id") % parts == part)), folder)
+        yield part
+
+
+def _relative(folder: str) -> Column:
+    return F.element_at(F.split("path", F.lit(re.escape(folder.rsplit("/", 1)[1]))), -1)
+
+
+@query
+def listed_intake(spark, sf_dir):
+    """Files arrive in three goes and are streamed through a kept listing; each counts once."""
+    folder, kept, table = run_dir(spark, "inbox"), run_dir(spark, "listing"), f"taken_{uuid.uuid4().hex}"
+    checkpoint = run_dir(spark, "checkpoint")
+    for _ in _parts_of_listing(spark, sf_dir, folder, 3):
+        runners.listed_intake_stream(spark, folder, kept, table, checkpoint=checkpoint)
+    runners.listed_intake_stream(spark, folder, kept, table, checkpoint=checkpoint)
+    return spark.table(table).select(_relative(folder).alias("path"), "length", F.md5("content").alias("content_md5"))
+
+
+@query
+def file_intake(spark, sf_dir):
+    """Files arrive in two goes and are taken in by the batch flow; known files are not read again."""
+    folder, config = run_dir(spark, "inbox"), flow_config(spark)
+    config = replace(config, folder=folder)
+    for _ in _parts_of_listing(spark, sf_dir, folder, 2):
+        ingest.run_intake(spark, config)
+        ingest.run_intake(spark, config)
+    taken = spark.table(config.intake_table)
+    return taken.select(_relative(folder).alias("path"), "length", F.md5("content").alias("content_md5"))
+
+
 @query
 def extension_breakdown(spark, sf_dir):
     return intake.extension_breakdown(b.files(spark, sf_dir))
