@@ -45,6 +45,8 @@ BAND_GROWTH = 1.5
 BLOCK_BYTES, BLOCK_SETS, PIVOTS, LEAF = 64 << 20, 20_000, 16, 48
 #: Sets whose signatures a task gives once only, however often they occur in it.
 SEEN_SETS = 500_000
+#: Counters of shingles, 4 bytes each: what is broadcast, whatever the corpus.
+COUNTERS = 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -121,8 +123,54 @@ def signatures(found: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, n
     return np.concatenate(keys), np.concatenate(asks)
 
 
-def hashed_sets(docs: DataFrame, text: str, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``row``, ``size``, ``key`` and the signatures of each document's set."""
+def shingle_counts(docs: DataFrame, text: str, words: int = WORDS) -> np.ndarray:
+    """How many sets hold the shingles of each of ``COUNTERS`` hash buckets; of fixed size."""
+    step = COUNTERS // 64
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                total += np.bincount((shingles(value.as_py(), words) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        parts = [total[i : i + step].tobytes() for i in range(0, COUNTERS, step)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())], names=["part", "n"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, n in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[part] = sums.get(part, 0) + np.frombuffer(n.as_buffer(), np.int64)
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["part", "n"])
+
+    body = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_body"))
+    parts = body.mapInArrow(count, "part long, n binary").repartition(shuffle_width(docs.sparkSession), "part")
+    total = np.zeros(COUNTERS, np.int64)
+    for r in parts.mapInArrow(add, "part long, n binary").collect():
+        total[r["part"] * step : (r["part"] + 1) * step] = np.frombuffer(r["n"], np.int64)
+    return np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
+
+
+def rarest(found: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles of a set that come first in the order of counts, of which linked sets share one.
+
+    Linked sets share at least ``percent`` of the shingles of either, so in any order of all
+    shingles the first n - needed + 1 of the one and of the other have one in common. Those in
+    buckets that only this set is in are shared with none.
+    """
+    n = len(found)
+    if n < first_band(percent):
+        return found[:0]
+    often = counts[(found & np.uint64(COUNTERS - 1)).astype(np.int64)]
+    first = np.lexsort((found, often))[: n + 1 + -percent * n // 100]
+    return found[first[often[first] > 1]]
+
+
+def hashed_sets(docs: DataFrame, text: str, words: int = WORDS, percent: int = PERCENT, counts: np.ndarray | None = None) -> DataFrame:
+    """``doc_id``, ``row``, ``size``, ``key`` and the signatures of each document's set.
+
+    With ``counts`` the signatures are the set's rarest shingles.
+    """
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -134,7 +182,11 @@ def hashed_sets(docs: DataFrame, text: str, words: int = WORDS, percent: int = P
                 sizes.append(len(found))
                 keys.append(key)
                 fresh = key not in seen
-                sig, asks = signatures(found if fresh else found[:0], percent)
+                if counts is None:
+                    sig, asks = signatures(found if fresh else found[:0], percent)
+                else:
+                    sig = rarest(found if fresh else found[:0], counts, percent)
+                    asks = np.ones(len(sig), bool)
                 regions.append(sig.astype(np.int64))
                 asked.append(asks)
                 if len(seen) < SEEN_SETS:
@@ -369,13 +421,16 @@ def join_sets(rows: DataFrame, block_bytes: int, block_sets: int, percent: int =
 
 
 def jaccard_classes(
-    docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, block_sets: int = BLOCK_SETS, words: int = WORDS, percent: int = PERCENT
+    docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, block_sets: int = BLOCK_SETS, words: int = WORDS, percent: int = PERCENT, by_rarest: bool = False
 ) -> DataFrame:
     """``doc_id``, ``row``, ``n_shingles``, ``class`` and ``component_id`` of every document.
 
-    ``row`` is a hash of id and text, ``class`` one for all documents of a component.
+    ``row`` is a hash of id and text, ``class`` one for all documents of a component. With
+    ``by_rarest`` the first cut takes regions of rare shingles in place of hash classes, which
+    at low percentages are small, and often of nothing but a passage that many texts share.
     """
-    hashed = stored(hashed_sets(docs.select("doc_id", text), text, words, percent), "jaccard-hashed")
+    counts = shingle_counts(docs, text, words) if by_rarest else None
+    hashed = stored(hashed_sets(docs.select("doc_id", text), text, words, percent, counts), "jaccard-hashed")
     blocks = stored(components(region_edges(hashed)), "jaccard-blocks")
     one = hashed.filter("size > 0").groupBy("key").agg(F.min("row").alias("row"))
     wanted = stored(blocks.join(one, blocks["node"] == one["key"]).select("row", "key", F.col("root").alias("block")), "jaccard-wanted")
@@ -403,12 +458,12 @@ def jaccard_classes(
     )
 
 
-def drop_near_copies(docs: DataFrame, text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def drop_near_copies(docs: DataFrame, text: str = "text", words: int = WORDS, percent: int = PERCENT, by_rarest: bool = False) -> DataFrame:
     """One document of each component, the one with the least id, and all without words.
 
     Of equal rows one stays.
     """
-    classes = stored(jaccard_classes(docs, text, words=words, percent=percent), "jaccard-classes")
+    classes = stored(jaccard_classes(docs, text, words=words, percent=percent, by_rarest=by_rarest), "jaccard-classes")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     kept = classes.filter("n_shingles > 0").groupBy("class").agg(F.min(order).alias("m")).select(F.col("m.row").alias("_row"))
     rows = docs.withColumn("_row", row_key(docs, text))

@@ -39,7 +39,7 @@ def corpus(seed):
 def test_any_width_and_percentage_equals_all_pairs(spark):
     rows = corpus(1)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for options in ({}, {"block_bytes": 20_000, "block_sets": 15}):
+    for options in ({}, {"block_bytes": 20_000, "block_sets": 15}, {"by_rarest": True}, {"by_rarest": True, "block_bytes": 20_000, "block_sets": 15}):
         got = {r.doc_id: r.component_id for r in jj.jaccard_classes(docs, words=5, percent=80, **options).collect()}
         assert [got[i] for i, _ in rows] == brute(rows, 5, 80) != brute(rows, 3, 90)
 
@@ -64,3 +64,19 @@ def test_linked_sets_share_a_region_at_80_percent():
         if 100 * common >= 80 * (len(a) + len(b) - common) and len(a) + len(b) > 2 * common:
             (x, ask_x), (y, ask_y) = jj.signatures(a, 80), jj.signatures(b, 80)
             assert set(x[ask_x].tolist()) & set(y.tolist()) | set(x.tolist()) & set(y[ask_y].tolist())
+
+
+def test_linked_sets_share_a_rare_shingle():
+    rng = random.Random(5)
+    counts = np.array([rng.choice([2, 2, 3, 9]) for _ in range(jj.COUNTERS)], np.int32)
+    linked = 0
+    for _ in range(2000):
+        n, percent = rng.randrange(1, 60), rng.choice([50, 80, 90])
+        a = [rng.getrandbits(63) for _ in range(n)]
+        b = a[rng.randrange(n // 4 + 1) :] + [rng.getrandbits(63) for _ in range(rng.randrange(n // 4 + 1))]
+        a, b = (np.unique(np.array(x, np.uint64)) for x in (a, b))
+        common = len(np.intersect1d(a, b))
+        if 100 * common >= percent * (len(a) + len(b) - common) and len(a) + len(b) > 2 * common:
+            linked += 1
+            assert len(np.intersect1d(jj.rarest(a, counts, percent), jj.rarest(b, counts, percent)))
+    assert linked > 300
