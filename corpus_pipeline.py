@@ -33,7 +33,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return jaccard_join.drop_near_copies(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
+    return jaccard_join.drop_near_copies(docs, words=NEAR_WORDS, percent=NEAR_PERCENT, by_rarest=True)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
