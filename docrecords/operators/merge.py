@@ -57,12 +57,12 @@ def merge_sources(
 def merge_pairs(pairs: DataFrame) -> DataFrame:
     """The field policies applied to the output of ``pair_sources``."""
     return pairs.select(
-        *[_merged(n).alias(n) for n in _audit()],
-        header_struct(_merged).alias("invoice_header"),
+        *[merged_value(n).alias(n) for n in _audit()],
+        header_struct(merged_value).alias("invoice_header"),
         _merged_items("p_line_items" in pairs.columns).alias("line_items"),
-        _merged("flags").alias("flags"),
-        _merged("barcodes").alias("barcodes"),
-        _merged("error").alias("error"),
+        merged_value("flags").alias("flags"),
+        merged_value("barcodes").alias("barcodes"),
+        merged_value("error").alias("error"),
     )
 
 
@@ -71,7 +71,8 @@ def _audit() -> list[str]:
     return [f.name for f in FIELDS if not f.path.startswith("invoice_header.") and f.name not in outside]
 
 
-def _merged(name: str) -> Column:
+def merged_value(name: str) -> Column:
+    """One field of a pair (columns ``p_`` and ``f_``) by its policy."""
     p, f = F.col(f"p_{name}"), F.col(f"f_{name}")
     policy = BY_NAME[name].merge
     if policy == "fallback_first":

@@ -1,7 +1,7 @@
 """Streams that process what is new and stop, each with its own checkpoint.
 
-All of them are stateless: the operators are the ones batches use, and the
-checkpoint together with the file sink makes each input row count once.
+All but those of ``state`` are stateless: the operators are the ones batches use, and
+the checkpoint together with the file sink makes each input row count once.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ Step = Callable[[DataFrame], DataFrame]
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """Appends to a table as a stream. Upstream tables must be append-only."""
+    """Appends to a table as a stream. Of tables that are rewritten, rows come again; see
+    ``state.emit_changes``."""
     return spark.readStream.table(name)
 
 

@@ -813,3 +813,19 @@ SELECT rule, regexp_replace(field, '\\[[^\\]]*\\]', '', 'g') AS field, count(*)
 """
 
 ORACLES["stream_twice"] = ORACLES["stream_canonical"]
+
+ORACLES["stream_rewritten"] = f"""
+WITH {FILES}, seen AS (SELECT path, md5(text) AS text_md5, doc_id % 3 <> 0 AS early, doc_id % 5 = 0 AS changed FROM files)
+SELECT path, text_md5, CASE WHEN changed AND NOT early THEN 'second' ELSE 'first' END AS label, CAST(1 AS INTEGER) AS emission FROM seen
+UNION ALL SELECT path, text_md5, 'second', CAST(2 AS INTEGER) FROM seen WHERE changed AND early
+"""
+
+ORACLES["stream_merge"] = f"""
+{SOURCES}
+SELECT coalesce(p.source_file_path, f.source_file_path) AS key, p.k IS NOT NULL AS in_left, f.k IS NOT NULL AS in_right,
+  coalesce(f.summary, p.summary) AS summary, coalesce({nz('p.vendorName')}, {nz('f.vendorName')}) AS vendorName,
+  coalesce({nz('p.branch')}, {nz('f.branch')}) AS branch, coalesce(p.totalAmount, f.totalAmount) AS totalAmount,
+  coalesce(p.freightAmount, f.freightAmount) AS freightAmount, coalesce(p.invoiceDate, f.invoiceDate) AS invoiceDate,
+  coalesce({nz('p.shipping_state')}, {nz('f.shipping_state')}) AS shipping_state, coalesce(p.termsNetDuedays, f.termsNetDuedays) AS termsNetDuedays
+FROM p FULL JOIN f ON p.source_file_path = f.source_file_path
+"""

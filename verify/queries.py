@@ -17,6 +17,7 @@ from docrecords.functions.text import decode_text as decoded
 from docrecords.functions.text import directory, file_name, normalize_date, nz
 from docrecords.operators import canonical, enrich, extract, intake, merge, parse, quality, validate
 from docrecords.operators.rows import unnest
+from docrecords.operators.merge import KEY
 from docrecords.plans import ingest
 from docrecords.plans.records import ITEMS, dual_source, single_source
 from docrecords.schemas import BY_NAME, COMPARED_COLUMNS, DOCUMENT_INTAKE, FIELDS, LINE_ITEM, RESPONSE
@@ -24,7 +25,7 @@ from docrecords.session import run_dir
 from docrecords.sources import batches
 from docrecords.sources import listing as files_of
 from docrecords.sources.tables import conform, create_empty, write_table
-from docrecords.streaming import runners
+from docrecords.streaming import runners, state
 from verify import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,9 @@ HEADER_OUT = [
     "termsNetDuedays",
 ]
 DAY = date(2025, 9, 5)
+#: Flat columns of the merge of streams, of all policies but that of arrays.
+MERGED_IN_STREAM = ["summary", "vendorName", "branch", "totalAmount", "freightAmount", "invoiceDate", "shipping_state", "termsNetDuedays"]
+STREAMED = [KEY, *MERGED_IN_STREAM]
 
 
 def query(fn: Query) -> Query:
@@ -666,6 +670,37 @@ def stream_twice(spark, sf_dir):
     return canonical.flatten(spark.read.schema(records.schema).parquet(sink)).select(*REPORTED)
 
 
+@query
+def stream_rewritten(spark, sf_dir):
+    """An upstream is rewritten between runs: rows come again, some changed. Each state of a version counts once."""
+    source, sink = run_dir(spark, "routed"), run_dir(spark, "changes")
+    docs = b.files(spark, sf_dir).select("doc_id", "path", "modificationTime", F.md5("text").alias("text_md5"), F.lit("first").alias("label"))
+    again = docs.withColumn("label", F.when(F.col("doc_id") % 5 == 0, "second").otherwise(F.col("label")))
+    for part in (docs.filter("doc_id % 3 <> 0"), again, again.filter("doc_id % 2 = 0")):
+        part.write.mode("append").parquet(source)
+        rows = state.emit_changes(runners.read_folder(spark, source, docs.schema), compared=["label"])
+        runners.drain_to_folder(rows, sink, rows.schema)
+    return spark.read.schema(rows.schema).parquet(sink).select("path", "text_md5", "label", "emission")
+
+
+@query
+def stream_merge(spark, sf_dir):
+    """Both extractions arrive in parts, in different orders; late partners correct what was released."""
+    sources, sink = [run_dir(spark, side) for side in ("primary", "fallback")], run_dir(spark, "pairs")
+    sides = [flat.select(*STREAMED) for flat in _flats(spark, sf_dir)]
+    third = F.pmod(F.crc32(F.col(KEY).cast("binary")), F.lit(3))
+    # Most paths have their sides in different runs; one part comes twice.
+    for wanted in ((third == 0, third == 1), (third != 0, third == 0), (third == 1, third == 2)):
+        for side, folder, part in zip(sides, sources, wanted, strict=True):
+            side.filter(part).write.mode("append").parquet(folder)
+        streams = [runners.read_folder(spark, folder, side.schema) for side, folder in zip(sides, sources, strict=True)]
+        pairs = state.pair_streams(*streams, KEY, delay="0 seconds")
+        runners.drain_to_folder(pairs, sink, pairs.schema)
+    pairs = state.latest_revision(spark.read.schema(pairs.schema).parquet(sink))
+    merged = [merge.merged_value(n).alias(n) for n in MERGED_IN_STREAM]
+    return pairs.select("key", "in_left", "in_right", *merged)
+
+
 @query
 def merge_pairs_count(spark, sf_dir):
     pairs = merge.pair_sources(*_flats(spark, sf_dir), columns=["flags"])
