@@ -829,3 +829,5 @@ SELECT coalesce(p.source_file_path, f.source_file_path) AS key, p.k IS NOT NULL
   coalesce({nz('p.shipping_state')}, {nz('f.shipping_state')}) AS shipping_state, coalesce(p.termsNetDuedays, f.termsNetDuedays) AS termsNetDuedays
 FROM p FULL JOIN f ON p.source_file_path = f.source_file_path
 """
+
+ORACLES["views_kept"] = ORACLES["final_records"]

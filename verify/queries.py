@@ -21,10 +21,11 @@ from docrecords.operators.merge import KEY
 from docrecords.plans import ingest
 from docrecords.plans.records import ITEMS, dual_source, single_source
 from docrecords.schemas import BY_NAME, COMPARED_COLUMNS, DOCUMENT_INTAKE, FIELDS, LINE_ITEM, RESPONSE
-from docrecords.session import run_dir
+from docrecords.session import kept, run_dir
 from docrecords.sources import batches
 from docrecords.sources import listing as files_of
 from docrecords.sources.tables import conform, create_empty, write_table
+from docrecords.sources.views import DerivedView, KeyedView
 from docrecords.streaming import runners, state
 from verify import bindings as b
 
@@ -205,11 +206,11 @@ def _relative(folder: str) -> Column:
 @query
 def listed_intake(spark, sf_dir):
     """Files arrive in three goes and are streamed through a kept listing; each counts once."""
-    folder, kept, table = run_dir(spark, "inbox"), run_dir(spark, "listing"), f"taken_{uuid.uuid4().hex}"
+    folder, listed, table = run_dir(spark, "inbox"), run_dir(spark, "listing"), f"taken_{uuid.uuid4().hex}"
     checkpoint = run_dir(spark, "checkpoint")
     for _ in _parts_of_listing(spark, sf_dir, folder, 3):
-        runners.listed_intake_stream(spark, folder, kept, table, checkpoint=checkpoint)
-    runners.listed_intake_stream(spark, folder, kept, table, checkpoint=checkpoint)
+        runners.listed_intake_stream(spark, folder, listed, table, checkpoint=checkpoint)
+    runners.listed_intake_stream(spark, folder, listed, table, checkpoint=checkpoint)
     return spark.table(table).select(_relative(folder).alias("path"), "length", F.md5("content").alias("content_md5"))
 
 
@@ -701,6 +702,25 @@ def stream_merge(spark, sf_dir):
     return pairs.select("key", "in_left", "in_right", *merged)
 
 
+@query
+def views_kept(spark, sf_dir):
+    """Views of both extractions and of the final records follow their streams, part by part."""
+    flats, folder = [kept(flat, "flat") for flat in _flats(spark, sf_dir)], run_dir(spark, "views")
+    schemas = [T.StructType([f for f in flat.schema.fields]) for flat in flats]
+    final = canonical.final_records(merge.merge_sources(*flats)).select(*REPORTED)
+    options = {"key": (KEY,), "buckets": 8}
+    sides = tuple(KeyedView(spark, f"{folder}/{n}", schema, **options).create() for n, schema in zip("pf", schemas, strict=True))
+    merged = KeyedView(spark, f"{folder}/final", final.schema, **options).create()
+    derived = DerivedView(merged, sides, lambda p, f: canonical.final_records(merge.merge_sources(p, f)).select(*REPORTED))
+    part = F.pmod(F.crc32(F.col(KEY).cast("binary")), F.lit(2))
+    for n, (side, flat) in enumerate((k % 2, flats[k % 2].filter(part == k // 2)) for k in range(4)):
+        sides[side].upsert(flat, f"part-{n}")
+        # What comes again changes nothing.
+        sides[side].upsert(flat.filter("flags = 'OK'"), f"part-{n}")
+        derived.refresh(flat, f"part-{n}")
+    return merged.read()
+
+
 @query
 def merge_pairs_count(spark, sf_dir):
     pairs = merge.pair_sources(*_flats(spark, sf_dir), columns=["flags"])
