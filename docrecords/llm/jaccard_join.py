@@ -46,7 +46,7 @@ BLOCK_BYTES, BLOCK_SETS, PIVOTS, LEAF = 64 << 20, 20_000, 16, 48
 #: Sets whose signatures a task gives once only, however often they occur in it.
 SEEN_SETS = 500_000
 #: Counters of shingles, 4 bytes each: what is broadcast, whatever the corpus.
-COUNTERS = 1 << 20
+COUNTERS = 1 << 22
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -130,8 +130,8 @@ def shingle_counts(docs: DataFrame, text: str, words: int = WORDS) -> np.ndarray
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                total += np.bincount((shingles(value.as_py(), words) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+            found = [shingles(value.as_py(), words) & np.uint64(COUNTERS - 1) for value in batch.column(0)]
+            total += np.bincount(np.concatenate(found).astype(np.int64), minlength=COUNTERS) if found else 0
         parts = [total[i : i + step].tobytes() for i in range(0, COUNTERS, step)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())], names=["part", "n"])
 
@@ -185,7 +185,10 @@ def hashed_sets(docs: DataFrame, text: str, words: int = WORDS, percent: int = P
                 if counts is None:
                     sig, asks = signatures(found if fresh else found[:0], percent)
                 else:
-                    sig = rarest(found if fresh else found[:0], counts, percent)
+                    rare = rarest(found if fresh else found[:0], counts, percent)
+                    # Linked sets are in one size band.
+                    own = [mixed(rare + mixed(np.array([band], np.uint64))) for band, _ in bands(len(found), percent)] if len(rare) else []
+                    sig = np.concatenate([np.zeros(0, np.uint64), *own])
                     asks = np.ones(len(sig), bool)
                 regions.append(sig.astype(np.int64))
                 asked.append(asks)
