@@ -46,6 +46,18 @@ def having(files: DataFrame, versions: DataFrame) -> DataFrame:
     return files.join(wanted, same, "left_semi")
 
 
+def in_place(files: DataFrame, versions: DataFrame, how: str = "left_anti") -> DataFrame:
+    """The files whose version is not (``left_semi``: is) among ``versions``, joined where they lie.
+
+    With both in as many buckets of (path, modificationTime) neither is shuffled, and the
+    content is not sorted: each task holds its bucket's versions and streams the files past
+    them. A version with a NULL part is among none.
+    """
+    if how not in ("left_anti", "left_semi"):
+        raise ValueError(f"unsupported join type: {how}")
+    return files.join(versions.select(*VERSION).hint("shuffle_hash"), VERSION, how)
+
+
 def incremental_intake(
     files: DataFrame,
     existing: DataFrame | None = None,

@@ -27,11 +27,13 @@ from docrecords.schemas import (
     PARSED_EXTENSIONS,
     SECOND_SOURCE_DOCUMENT,
 )
-from docrecords.session import kept
+from docrecords.operators.skew import any_null
+from docrecords.session import kept, kept_in_buckets
 from docrecords.sources import batches, listing
 from docrecords.sources.files import list_files, read_files, read_paths, stamp
 from docrecords.sources.tables import create_empty, table_exists, write_table
 
+VERSION = tuple(intake.VERSION)
 MAIN, OTHER, REJECTED = "main", "other", "rejected"
 #: New files whose paths the driver holds at once.
 PATHS_AT_ONCE = 20_000
@@ -68,6 +70,9 @@ class IngestConfig:
     dates: tuple[date, ...] | None = None
     #: Pending days that are written and committed together; all of them unless given.
     days_per_commit: int | None = None
+    #: Buckets of (path, modificationTime) in which the intake table is made; files are then
+    #: compared with the ledger, and opened, where they lie.
+    buckets: int | None = None
     #: Where the files of new tables are kept, if not in the session's warehouse.
     location: str | None = None
     #: Bytes of a file with a parsed extension to its elements, for formats such as PDF.
@@ -93,16 +98,18 @@ def run_intake(spark: SparkSession, config: IngestConfig, as_of: datetime | None
     if table_exists(spark, name):
         known = spark.table(name)
     else:
-        create_empty(spark, name, DOCUMENT_INTAKE, days, config.location)
+        create_empty(spark, name, DOCUMENT_INTAKE, days, config.location, config.buckets, VERSION)
     by_tasks = listing.readable(config.folder)
     files = listing.walk(spark, config.folder) if by_tasks else list_files(read_files(spark, config.folder))
     fresh = kept(intake.incremental_intake(files, known, config.baseline, config.lookback), "fresh")
     if by_tasks:
-        write_table(stamp(listing.with_content(fresh), as_of), name, DOCUMENT_INTAKE, partition_by=days)
+        stamped = stamp(listing.with_content(fresh), as_of)
+        write_table(stamped, name, DOCUMENT_INTAKE, partition_by=days, buckets=config.buckets, bucket_by=VERSION)
         return
     paths = (r["path"] for r in fresh.select("path").toLocalIterator())
     while batch := list(islice(paths, PATHS_AT_ONCE)):
-        write_table(stamp(read_paths(spark, batch), as_of), name, DOCUMENT_INTAKE, partition_by=days)
+        stamped = stamp(read_paths(spark, batch), as_of)
+        write_table(stamped, name, DOCUMENT_INTAKE, partition_by=days, buckets=config.buckets, bucket_by=VERSION)
 
 
 def documents(spark: SparkSession, config: IngestConfig, destination: str = MAIN) -> DataFrame:
@@ -131,13 +138,28 @@ def run_backfill(spark: SparkSession, config: IngestConfig, before_commit: batch
     taken = spark.table(config.intake_table)
     ledger = intake.ledger_of(batches.committed(spark, config.documents_table))
     # Versions alone are kept; each slice is then joined to what was pending when the run began.
-    pending = kept(intake.pending_files(taken.select(*intake.VERSION), ledger, config.dates, config.suffixes), "pending")
+    pending = _kept_versions(intake.pending_files(taken.select(*intake.VERSION), ledger, config.dates, config.suffixes), config)
     days = [r[0] for r in pending.select("process_date").distinct().orderBy("process_date").collect()]
     for some in _slices(days, config.days_per_commit):
-        routed = process_documents(_content_of(taken, pending.filter(_among(some))).drop("length"), config)
+        routed = process_documents(content_of(taken, pending.filter(_among(some)), config).drop("length"), config)
         batches.write_days(routed, config.documents_table, ROUTED_DOCUMENT, some, before_commit=before_commit)
 
 
+def _kept_versions(versions: DataFrame, config: IngestConfig) -> DataFrame:
+    return kept_in_buckets(versions, "pending", config.buckets, *VERSION) if config.buckets else kept(versions, "pending")
+
+
+def content_of(taken: DataFrame, pending: DataFrame, config: IngestConfig) -> DataFrame:
+    """The intake rows of pending versions, from the folders of their days."""
+    if not config.buckets:
+        return _content_of(taken, pending)
+    days = [r[0] for r in pending.select("process_date").distinct().collect()]
+    some = taken.filter(_among(days))
+    # Versions with NULL parts equal each other, but not in the buckets' join.
+    unnamed = any_null(VERSION)
+    return intake.in_place(some, pending, "left_semi").unionByName(intake.having(some.filter(unnamed), pending.filter(unnamed)))
+
+
 def _slices(days: list[date | None], size: int | None) -> list[list[date | None]]:
     size = size or max(1, len(days))
     return [days[i : i + size] for i in range(0, len(days), size)]

@@ -54,3 +54,15 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def kept_in_buckets(df: DataFrame, name: str, buckets: int, *key: str) -> DataFrame:
+    """The same in buckets of ``key``: a join by it with a table in as many buckets needs no shuffle.
+
+    Buckets need a table's description, which is dropped again; the files stay.
+    """
+    spark, path, table = df.sparkSession, run_dir(df.sparkSession, name), f"docrecords_{uuid.uuid4().hex}"
+    df.write.option("path", path).bucketBy(buckets, *key).saveAsTable(table)
+    rows = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return rows

@@ -22,7 +22,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def create_empty(
-    spark: SparkSession, name: str, schema: T.StructType, partition_by: tuple[str, ...] = (), location: str | None = None
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    partition_by: tuple[str, ...] = (),
+    location: str | None = None,
+    buckets: int | None = None,
+    bucket_by: tuple[str, ...] = (),
 ) -> None:
     """An empty table with the declared layout, for a first run without input.
 
@@ -31,6 +37,8 @@ def create_empty(
     writer = spark.createDataFrame([], schema).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets, *bucket_by)
     if location is not None:
         writer = writer.option("path", f"{location.rstrip('/')}/{name}")
     writer.saveAsTable(name)
@@ -42,22 +50,29 @@ def write_table(
     schema: T.StructType,
     replace: bool = False,
     partition_by: tuple[str, ...] = (),
+    buckets: int | None = None,
+    bucket_by: tuple[str, ...] = (),
 ) -> None:
     """Create the table on first use, then append; columns are matched by name.
 
     With ``partition_by`` the rows are rebalanced first: each folder is written by
-    few tasks, and a folder that gets much of the data is split over several.
+    few tasks, and a folder that gets much of the data is split over several. A table
+    in buckets gets its rows dealt by bucket instead, so that a bucket has few files.
     """
     spark = df.sparkSession
     out = conform(df, schema)
     if table_exists(spark, name) and not replace:
         # saveAsTable appends by position, so follow the stored column order.
         out = out.select(*spark.table(name).columns)
-    if partition_by:
+    if buckets:
+        out = out.repartition(buckets, *bucket_by)
+    elif partition_by:
         out = out.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = out.write.mode("overwrite" if replace else "append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets, *bucket_by)
     writer.saveAsTable(name)
 
 

@@ -82,3 +82,22 @@ def test_bucketed_layers_join_in_place(spark, sf_dir, plan):
     ):
         assert "FullOuter" in plan(df) and "Exchange" not in plan(df)
     assert views.final.count() == views.nested.count()
+
+
+def test_content_and_ledger_are_joined_where_they_lie(spark, plan, tmp_path):
+    from docrecords.operators import intake
+    from docrecords.plans import ingest
+    from docrecords.session import kept_in_buckets
+
+    rows = spark.sql("select concat('p', id) as path, timestamp_seconds(id) as modificationTime, repeat('x', 10) as content, date '2025-01-01' as process_date from range(100)")
+    rows = rows.unionByName(spark.sql("select 'n' as path, cast(null as timestamp) as modificationTime, 'null' as content, date '2025-01-01' as process_date"))
+    taken = kept_in_buckets(rows, "taken", 4, *intake.VERSION)
+    ledger = kept_in_buckets(rows.filter("path < 'p5'").select(*intake.VERSION), "ledger", 4, *intake.VERSION)
+    pending = intake.in_place(taken, ledger)
+    assert "Exchange" not in plan(pending) and "Sort" not in plan(pending)
+    want = {r["path"] for r in rows.collect() if not (r["path"] < "p5" and r["modificationTime"])}
+    assert {r["path"] for r in pending.collect()} == want
+    config = ingest.IngestConfig("", buckets=4)
+    versions = kept_in_buckets(pending.select(*intake.VERSION, "process_date"), "pending", 4, *intake.VERSION)
+    found = ingest.content_of(taken, versions, config)
+    assert {r["path"] for r in found.collect()} == want

@@ -831,3 +831,9 @@ FROM p FULL JOIN f ON p.source_file_path = f.source_file_path
 """
 
 ORACLES["views_kept"] = ORACLES["final_records"]
+
+ORACLES["pending_in_place"] = f"""
+WITH {FILES}, {PENDING} SELECT path, CAST(modificationTime AS DATE) AS process_date, md5(text) AS content_md5 FROM pending
+"""
+
+ORACLES["backfill_in_place"] = ORACLES["backfill_restart"]

@@ -21,7 +21,7 @@ from docrecords.operators.merge import KEY
 from docrecords.plans import ingest
 from docrecords.plans.records import ITEMS, dual_source, single_source
 from docrecords.schemas import BY_NAME, COMPARED_COLUMNS, DOCUMENT_INTAKE, FIELDS, LINE_ITEM, RESPONSE
-from docrecords.session import kept, run_dir
+from docrecords.session import kept, kept_in_buckets, run_dir
 from docrecords.sources import batches
 from docrecords.sources import listing as files_of
 from docrecords.sources.tables import conform, create_empty, write_table
@@ -129,6 +129,35 @@ def intake_table(spark, listing: DataFrame, config: ingest.IngestConfig) -> None
     write_table(stamped, config.intake_table, DOCUMENT_INTAKE, partition_by=("process_date",))
 
 
+def _listing_in_buckets(spark, listing: DataFrame, config: ingest.IngestConfig) -> None:
+    """The listing as an intake table in buckets of versions."""
+    stamped = b.with_content(listing).withColumn("process_date", F.to_date("modificationTime"))
+    create_empty(spark, config.intake_table, DOCUMENT_INTAKE, ("process_date",), config.location, config.buckets, ingest.VERSION)
+    options = {"partition_by": ("process_date",), "buckets": config.buckets, "bucket_by": ingest.VERSION}
+    write_table(stamped, config.intake_table, DOCUMENT_INTAKE, **options)
+
+
+@query
+def pending_in_place(spark, sf_dir):
+    """Files that the ledger lacks, with content; both lie in buckets of versions, and neither is shuffled."""
+    listing, config = b.files(spark, sf_dir), flow_config(spark, buckets=8)
+    _listing_in_buckets(spark, listing, config)
+    ledger = kept_in_buckets(b.ledger(listing).select(*[F.col(c).cast(DOCUMENT_INTAKE[c].dataType) for c in ingest.VERSION]), "ledger", 8, *ingest.VERSION)
+    pending = intake.in_place(spark.table(config.intake_table), ledger)
+    return pending.select("path", "process_date", F.md5("content").alias("content_md5"))
+
+
+@query
+def backfill_in_place(spark, sf_dir):
+    """Two backfills of chosen and of all days over an intake table in buckets."""
+    config = flow_config(spark, keep="contract", buckets=8)
+    _listing_in_buckets(spark, b.files(spark, sf_dir), config)
+    for dates in ((DAY,), None):
+        ingest.run_backfill(spark, replace(config, dates=dates))
+    sizes = [F.count("*").alias("n_files"), F.sum(F.length("text")).cast("long").alias("n_chars")]
+    return batches.committed(spark, config.documents_table).groupBy("destination", "process_date").agg(*sizes)
+
+
 def flow_config(spark, **options) -> ingest.IngestConfig:
     """Tables of names of their own, in the shared folder."""
     tag = uuid.uuid4().hex
