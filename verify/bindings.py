@@ -99,6 +99,21 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def crowded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which every third belongs to one order, 0; amounts in cents."""
+    k = F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("l_orderkey").cast("bigint"))
+    return table(spark, sf_dir, "lineitem").select(
+        k.alias("k"),
+        F.col("l_orderkey").cast("bigint").alias("first_order"),
+        F.col("l_linenumber").cast("int").alias("lineNumber"),
+        F.col("l_partkey").cast("bigint").alias("part"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+        F.col("l_quantity").cast("double").alias("quantityShipped"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unitPrice"),
+        (F.col("l_extendedprice") + F.when(F.col("l_partkey") % 11 == 0, 1.0).otherwise(0.0)).alias("lineTotal"),
+    )
+
+
 def line_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k, line_items in order."""
     lines = _order_lines(spark, sf_dir)

@@ -837,3 +837,21 @@ WITH {FILES}, {PENDING} SELECT path, CAST(modificationTime AS DATE) AS process_d
 """
 
 ORACLES["backfill_in_place"] = ORACLES["backfill_restart"]
+
+_CROWDED = """
+WITH crowded AS (SELECT CAST(CASE WHEN (l_orderkey + l_linenumber) % 3 = 0 THEN 0 ELSE l_orderkey END AS BIGINT) AS k, CAST(l_orderkey AS BIGINT) AS first_order,
+    CAST(l_linenumber AS INTEGER) AS lineNumber, CAST(l_partkey AS BIGINT) AS part, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
+    l_quantity AS q, l_extendedprice / l_quantity AS price, l_extendedprice + CASE WHEN l_partkey % 11 = 0 THEN 1.0 ELSE 0.0 END AS total FROM lineitem),
+placed AS (SELECT *, row_number() OVER w AS position, CAST(sum(cents) OVER w AS BIGINT) AS running_cents, CAST(sum(lineNumber) OVER w AS BIGINT) AS running_lines
+  FROM crowded WINDOW w AS (PARTITION BY k ORDER BY first_order, lineNumber, part, cents ROWS UNBOUNDED PRECEDING))
+"""
+
+ORACLES["lines_numbered"] = f"{_CROWDED} SELECT k, first_order, lineNumber, part, cents, position, running_cents, running_lines FROM placed"
+
+ORACLES["violations_of_lines"] = f"""
+{_CROWDED}
+SELECT k AS source_file_path, 'line_sequence' AS rule, count(*) AS n FROM placed WHERE lineNumber <> position GROUP BY k
+UNION ALL SELECT k, 'line_total', count(*) FROM placed WHERE abs(total - q * price) > 0.01 GROUP BY k
+UNION ALL SELECT CAST(o_orderkey AS BIGINT), 'subtotal', 1 FROM orders LEFT JOIN (SELECT k, sum(total) AS s FROM placed GROUP BY k) ON k = o_orderkey
+  WHERE abs(100.0 - coalesce(s, 0)) > 0.01
+"""

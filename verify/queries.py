@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from docrecords.functions.text import decode_text as decoded
 from docrecords.functions.text import directory, file_name, normalize_date, nz
-from docrecords.operators import canonical, enrich, extract, intake, merge, parse, quality, validate
+from docrecords.operators import canonical, enrich, extract, intake, lines, merge, parse, quality, validate
 from docrecords.operators.rows import unnest
 from docrecords.operators.merge import KEY
 from docrecords.plans import ingest
@@ -658,6 +658,26 @@ def violation_summary(spark, sf_dir):
     return validate.violation_summary(validate.validate(b.primary(spark, sf_dir)))
 
 
+LINE_ORDER = ["first_order", "lineNumber", "part", "cents"]
+
+
+@query
+def lines_numbered(spark, sf_dir):
+    """Numbers and running totals of lines; one order holds a third of them."""
+    found = lines.numbered(b.crowded_lines(spark, sf_dir), "k", LINE_ORDER, "position", {"running_cents": "cents", "running_lines": "lineNumber"})
+    return found.select("k", *LINE_ORDER, "position", "running_cents", "running_lines")
+
+
+@query
+def violations_of_lines(spark, sf_dir):
+    """The rules on lines and subtotals over lines that are rows; one order holds a third of them."""
+    crowded = b.crowded_lines(spark, sf_dir)
+    placed = lines.numbered(crowded, "k", LINE_ORDER, "position").withColumnRenamed("k", "source_file_path")
+    orders = b.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("bigint").alias("source_file_path"), F.lit(100.0).alias("subtotalAmount"))
+    found = lines.line_violations(placed, orders)
+    return found.groupBy("source_file_path", "rule").agg(F.count("*").alias("n"))
+
+
 # --- streams ----------------------------------------------------------------------
 
 
