@@ -25,7 +25,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows.stored_at = path
+    return rows
+
+
+def forget(*stored_rows: DataFrame) -> None:
+    """Remove files of ``stored`` whose rows nothing will read again, which were all written from."""
+    for rows in stored_rows:
+        spark = rows.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(rows.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored_in_buckets(df: DataFrame, name: str, key: str) -> DataFrame:

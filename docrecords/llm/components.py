@@ -2,7 +2,8 @@
 
 Alternating large-star and small-star steps, which need O(log^2 n) rounds in theory and a
 few in practice. Each step is an aggregation and a join; the round's edges are stored in
-the shared folder, so lineage stays short and nothing of the graph reaches the driver.
+the shared folder, so lineage stays short and nothing of the graph reaches the driver. Of
+past rounds nothing is kept.
 """
 
 from __future__ import annotations
@@ -10,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docrecords.llm.common import stored
+from docrecords.llm.common import forget, stored
 
 
-def _star(edges: DataFrame) -> DataFrame:
-    """Edges u, v with the least neighbour m of u, or u itself."""
+def _star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges u, v with the least neighbour m of u, or u itself; and what was stored for it."""
     # Stored: with an exchange on either side of the join, Spark can split a hub's edges.
     least = stored(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "components-least")
-    return edges.join(least, "u")
+    return edges.join(least, "u"), least
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -29,11 +30,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now, before = stored(now, "components"), None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        star, least = _star(both)
+        large = star.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large.distinct(), "components-large")
-        small = _star(large)
-        small = small.select("v", "m").filter("v > m").unionByName(small.select(F.col("u").alias("v"), "m"))
+        forget(now, least)
+        star, least = _star(large)
+        small = star.select("v", "m").filter("v > m").unionByName(small.select(F.col("u").alias("v"), "m"))
         now = stored(small.distinct().select(F.col("v").alias("u"), F.col("m").alias("v")), "components")
+        forget(large, least)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == before:
             break

@@ -26,6 +26,7 @@ its documents lack one. Further columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,7 @@ BLOCK_BYTES, BLOCK_SETS, PIVOTS, LEAF = 64 << 20, 20_000, 16, 48
 #: Sets whose signatures a task gives once only, however often they occur in it.
 SEEN_SETS = 500_000
 #: Counters of shingles, 4 bytes each: what is broadcast, whatever the corpus.
-COUNTERS = 1 << 22
+COUNTERS = 1 << 21
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -128,18 +129,20 @@ def shingle_counts(docs: DataFrame, text: str, words: int = WORDS) -> np.ndarray
     step = COUNTERS // 64
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
+        # A task's counts stay far below the limit of 32 bits, and compress better.
+        total = np.zeros(COUNTERS, np.int32)
         for batch in batches:
             found = [shingles(value.as_py(), words) & np.uint64(COUNTERS - 1) for value in batch.column(0)]
-            total += np.bincount(np.concatenate(found).astype(np.int64), minlength=COUNTERS) if found else 0
-        parts = [total[i : i + step].tobytes() for i in range(0, COUNTERS, step)]
+            total += np.bincount(np.concatenate([*found, np.zeros(0, np.uint64)]).astype(np.int64), minlength=COUNTERS).astype(np.int32)
+        parts = [zlib.compress(total[i : i + step].astype(">i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1) for i in range(0, COUNTERS, step)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())], names=["part", "n"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, n in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                sums[part] = sums.get(part, 0) + np.frombuffer(n.as_buffer(), np.int64)
+                planes = np.frombuffer(zlib.decompress(n.as_buffer()), np.uint8).reshape(4, -1)
+                sums[part] = sums.get(part, 0) + np.ascontiguousarray(planes.T).view(">i4").ravel().astype(np.int64)
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["part", "n"])
 
