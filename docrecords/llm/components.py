@@ -35,7 +35,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = stored(large.distinct(), "components-large")
         forget(now, least)
         star, least = _star(large)
-        small = star.select("v", "m").filter("v > m").unionByName(small.select(F.col("u").alias("v"), "m"))
+        small = star.select("v", "m").filter("v > m").unionByName(star.select(F.col("u").alias("v"), "m"))
         now = stored(small.distinct().select(F.col("v").alias("u"), F.col("m").alias("v")), "components")
         forget(large, least)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
