@@ -855,3 +855,14 @@ UNION ALL SELECT k, 'line_total', count(*) FROM placed WHERE abs(total - q * pri
 UNION ALL SELECT CAST(o_orderkey AS BIGINT), 'subtotal', 1 FROM orders LEFT JOIN (SELECT k, sum(total) AS s FROM placed GROUP BY k) ON k = o_orderkey
   WHERE abs(100.0 - coalesce(s, 0)) > 0.01
 """
+
+ORACLES["line_changes"] = f"""
+{INVOICE}, base AS (
+  SELECT h.source_file_path AS key, l.k, lineNumber AS n, l.k % 7 <> 0 AND l.k % 9 <> 0 AS in_p, l.k % 11 <> 0 AS in_f, right(productCode, 1) = '3' AS gone
+  FROM fx_lines l JOIN fx_header h ON l.k = h.k),
+placed AS (SELECT *, CAST(sum(CASE WHEN gone THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY n) - 1 AS INTEGER) AS p_position, CAST(n - 1 AS INTEGER) AS f_position FROM base)
+SELECT key, 'added' AS status, NULL AS p_position, f_position, NULL AS fields FROM placed WHERE in_f AND (gone OR NOT in_p)
+UNION ALL SELECT key, 'removed', p_position, NULL, NULL FROM placed WHERE in_p AND NOT in_f AND NOT gone
+UNION ALL SELECT key, 'changed', p_position, f_position, concat_ws(',', CASE WHEN k % 31 = 0 THEN 'lineNumber' END, CASE WHEN (k + n) % 29 = 0 THEN 'lineTotal' END)
+  FROM placed WHERE in_p AND in_f AND NOT gone AND (k % 31 = 0 OR (k + n) % 29 = 0)
+"""

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from docrecords.functions.text import decode_text as decoded
 from docrecords.functions.text import directory, file_name, normalize_date, nz
-from docrecords.operators import canonical, enrich, extract, intake, lines, merge, parse, quality, validate
+from docrecords.operators import align, canonical, enrich, extract, intake, lines, merge, parse, quality, validate
 from docrecords.operators.rows import unnest
 from docrecords.operators.merge import KEY
 from docrecords.plans import ingest
@@ -658,6 +658,14 @@ def violation_summary(spark, sf_dir):
     return validate.violation_summary(validate.validate(b.primary(spark, sf_dir)))
 
 
+@query
+def line_changes(spark, sf_dir):
+    """Lines that differ between the extractions; the first one also lacks some lines."""
+    pairs = merge.pair_sources(*_flats(spark, sf_dir), columns=["line_items"])
+    fewer = F.filter("p_line_items", lambda x: ~x["productCode"].endswith("3"))
+    return align.line_changes(pairs.withColumn("p_line_items", fewer))
+
+
 LINE_ORDER = ["first_order", "lineNumber", "part", "cents"]
 
 
