@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,15 +38,45 @@ _TABLE = r"(?is)<table\b.*?</table\s*>"
 _BLOCK = r"(?i)(</?(?:" + "|".join(BLOCK_TAGS) + r")\b)"
 
 
+#: Stands after the '<' of an opening that nothing closes, so that no pattern looks for its end.
+UNCLOSED = "\u001f"
+_PAIRS = ((r"<(!--)", "-->"), (r"<(script\b)", r"</script\s*>"), (r"<(style\b)", r"</style\s*>"))
+
+
+def _guarded(text: Column, opening: str, closing: str) -> Column:
+    """Openings behind the last closing are marked; every other one has its end ahead.
+
+    A lazy pattern then never runs to the end of the text in vain, which a page of unclosed
+    openings would make it do for each of them.
+    """
+    return _at_last(text, f"(?is){closing}", lambda head, rest: F.concat(head, F.regexp_replace(rest, f"(?i){opening}", f"<{UNCLOSED}$1")))
+
+
+def _at_last(text: Column, pattern: str, fn: Callable[[Column, Column], Column]) -> Column:
+    """A function of the text up to the last match of a pattern, and of the rest.
+
+    Text and end are bound as elements of arrays, so that neither is computed twice.
+    """
+    flags, body = pattern[: pattern.index(")") + 1], pattern[pattern.index(")") + 1 :]
+    ended = F.transform(F.array(text), lambda t: F.struct(t.alias("t"), F.length(F.regexp_extract(t, f"{flags}^.*{body}", 0)).alias("n")))
+    return F.element_at(F.transform(ended, lambda x: fn(F.substring(x["t"], F.lit(1), x["n"]), F.substring(x["t"], x["n"] + 1, F.length(x["t"])))), 1)
+
+
+def _unguarded(text: Column) -> Column:
+    return F.replace(text, F.lit(f"<{UNCLOSED}"), F.lit("<"))
+
+
 def visible(html: Column) -> Column:
     """The page without scripts, style sheets, comments and stray separators."""
-    return F.regexp_replace(F.regexp_replace(html, CUT, " "), _INVISIBLE, " ")
+    text = F.regexp_replace(html, f"[{CUT}{UNCLOSED}]", " ")
+    for opening, closing in _PAIRS:
+        text = _guarded(text, opening, closing)
+    return _unguarded(F.regexp_replace(text, _INVISIBLE, " "))
 
 
 def plain(markup: Column) -> Column:
     """Markup as one line of text: tags dropped, character references decoded."""
-    text = F.regexp_replace(markup, r"(?s)<[^>]*>", "")
-    return squeeze(_entities(text))
+    return squeeze(_entities(_at_last(markup, "(?s)>", lambda head, rest: F.concat(F.regexp_replace(head, r"(?s)<[^>]*>", ""), rest))))
 
 
 def _entities(text: Column) -> Column:
@@ -69,7 +101,8 @@ def _code_point(piece: Column) -> Column:
 
 def _pieces(html: Column) -> Column:
     """The page cut before each table, after it, and before each other block tag."""
-    around_tables = F.split(F.regexp_replace(visible(html), "(" + _TABLE + ")", f"{CUT}$1{CUT}"), CUT)
+    page = _guarded(visible(html), r"<(table\b)", r"</table\s*>")
+    around_tables = F.split(_unguarded(F.regexp_replace(page, "(" + _TABLE + ")", f"{CUT}$1{CUT}")), CUT)
     return F.flatten(
         F.transform(
             around_tables,
