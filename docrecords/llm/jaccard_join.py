@@ -47,7 +47,7 @@ BLOCK_BYTES, BLOCK_SETS, PIVOTS, LEAF = 64 << 20, 20_000, 16, 48
 #: Sets whose signatures a task gives once only, however often they occur in it.
 SEEN_SETS = 500_000
 #: Counters of shingles, 4 bytes each: what is broadcast, whatever the corpus.
-COUNTERS = 1 << 24
+COUNTERS = 1 << 22
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
