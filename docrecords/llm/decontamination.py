@@ -7,17 +7,20 @@
    whatever the corpus; the Nystroem form of A'A made from Z and W'Z has the right singular
    vectors and values. Only these sums reach the driver.
 3. Overlapping windows of every document and of every benchmark item are mapped to the
-   latent space, scaled by the singular values; pairs above a cosine are candidates.
-   The cosine alone misses paraphrases, so all pairs are added whose common words, counted
-   as a bag, are as many as step 4 asks for; candidates with fewer go. No leak is below that
-   bound, so texts without such a pair are not mapped. An item is counted if a text has one of its rarest words, so few that every leak
-   must hold one of them, or the rarest word of its answer.
+   latent space, scaled by the singular values; pairs above a cosine, and no others, are
+   candidates. The cut follows from the least share of words that step 4 accepts, the
+   windows' worst offset and the spread that the rank leaves (``LEAST_COSINE``).
+   Of the candidates those go whose common words, counted as a bag, are fewer than step 4
+   asks for; no leak is below that bound, so texts without such a pair are not mapped. An
+   item is counted if a text has one of its rarest words, so few that every leak must hold
+   one of them, or the rarest word of its answer.
 4. A candidate is a leak if the longest common subsequence of the item and the document
    around the window has enough of the item's words, or fewer but the item's answer, its
    last sentence, verbatim. Items of fewer than ``SHORT`` words must occur verbatim.
 
 Items are taken in blocks of about ``ITEMS_AT_ONCE``, each against all documents. NULL and
 empty texts and items match nothing. Repeated rows are decided alike. Further columns are kept.
+Ids are of any type; items without an id are left out.
 """
 
 from __future__ import annotations
@@ -38,12 +41,13 @@ from pyspark.sql import types as T
 from docrecords.llm.common import shuffle_width, stored, table
 
 BINS, RANK, SPARE = 4096, 160, 8
-#: Words of half a window; windows overlap by one half. A window is a passage.
-HALF = 24
-#: A window that holds a whole item of L words has about the cosine sqrt(L / window) to it;
-#: candidates reach this share of that.
-CANDIDATE_SHARE = 0.55
+#: Words of half a window, and from one window of a document to the next. A window is a passage.
+HALF, STEP = 24, 12
 LEAK_SHARE, LEAK_SHARE_WITH_ANSWER, SHORT = 0.7, 0.5, 8
+#: A window that holds a whole item of L words has about the cosine sqrt(L / window) to it.
+#: Candidates reach this share of that: the least share of words that is a leak, of which the
+#: nearest window lacks half a step at worst, less 1.75 times the spread of cosines at this rank.
+LEAST_COSINE = LEAK_SHARE_WITH_ANSWER * (1 - STEP / 2 / (2 * HALF)) - 1.75 / math.sqrt(RANK)
 ITEMS_AT_ONCE = 4000
 #: Bins whose part of Z is summed as a dense product, the most frequent ones.
 DENSE = 512
@@ -54,7 +58,8 @@ CHUNK, WORDS_AT_ONCE = 64, 1 << 18
 
 _FOLD = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 MATCH = T.StructType(
-    [T.StructField(n, T.LongType()) for n in ("item", "lcs_words", "item_words", "first_word")]
+    [T.StructField("item", T.StringType())]
+    + [T.StructField(n, T.LongType()) for n in ("lcs_words", "item_words", "first_word")]
     + [T.StructField("cosine", T.DoubleType()), T.StructField("answer_found", T.BooleanType())]
 )
 
@@ -180,19 +185,22 @@ def decompose(hashed: DataFrame, idf: np.ndarray) -> np.ndarray:
     return out
 
 
-def windows(words: np.ndarray, latent: np.ndarray) -> np.ndarray:
-    """Unit vectors of the overlapping windows of a text, one per half but the last."""
-    halves = []
+def windows(words: np.ndarray, latent: np.ndarray, step: int = HALF) -> np.ndarray:
+    """Unit vectors of the overlapping windows of a text, one per step up to its end."""
+    pieces = []
     for i in range(0, len(words), WORDS_AT_ONCE // HALF * HALF):
         part = words[i : i + WORDS_AT_ONCE // HALF * HALF] % BINS
-        rows = np.full((-(-len(part) // HALF), HALF), BINS, np.uint16)
+        rows = np.full((-(-len(part) // step), step), BINS, np.uint16)
         rows.ravel()[: len(part)] = part
-        halves.append(row_sums(latent, rows))
-    if not halves:
+        pieces.append(row_sums(latent, rows))
+    if not pieces:
         return np.zeros((0, latent.shape[1]), np.float32)
-    half = np.concatenate(halves)
-    both = half[:-1] + half[1:] if len(half) > 1 else half
-    return both / np.maximum(np.linalg.norm(both, axis=1, keepdims=True), 1e-12)
+    piece, most = np.concatenate(pieces), 2 * HALF // step
+    count = max(1, len(piece) - most + 1)
+    total = piece[:count].copy()
+    for k in range(1, min(most, len(piece))):
+        total += piece[k : k + count]
+    return total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-12)
 
 
 def common_words(masks: dict[int, int], length: int, words: list[int]) -> int:
@@ -207,13 +215,13 @@ def common_words(masks: dict[int, int], length: int, words: list[int]) -> int:
 
 @dataclass
 class Item:
-    number: int
+    number: str
     words: np.ndarray
     answer: np.ndarray
     masks: dict[int, int]
 
     @staticmethod
-    def of(number: int, text: str) -> Item | None:
+    def of(number: str, text: str) -> Item | None:
         words = words_of(text)
         if not len(words):
             return None
@@ -344,10 +352,24 @@ class Retriever:
         self.owner = np.repeat(np.arange(len(self.items)), [len(v) for v in vectors])
         self.first = np.concatenate([[0], np.cumsum([len(v) for v in vectors])]).astype(np.int64)
         held = [min(2 * HALF, len(i.words) - w * HALF) for i, v in zip(self.items, vectors, strict=True) for w in range(len(v))]
-        self.least = CANDIDATE_SHARE * np.sqrt(np.array(held) / (2 * HALF))
+        self.least = LEAST_COSINE * np.sqrt(np.array(held) / (2 * HALF))
         self.bags = Bags(self.items) if self.items else None
         self.queries = np.concatenate([np.zeros((0, self.latent.shape[1]), np.float32), *vectors]).T.copy()
 
+    def candidates(self, vectors: np.ndarray, first: int, last: int, asked: np.ndarray) -> dict[tuple[int, int], float]:
+        """Half-step windows from ``first`` to before ``last`` with the asked items near them, and the cosines."""
+        per = HALF // STEP
+        begin = max(0, (first - 1) * per + 1)
+        query = np.flatnonzero(np.isin(self.owner, asked))
+        cosines = vectors[begin : last * per] @ self.queries[:, query]
+        found: dict[tuple[int, int], float] = {}
+        for j, q in np.argwhere(cosines >= self.least[query]).tolist():
+            item, cosine = int(self.owner[query[q]]), float(cosines[j, q])
+            # A window between two of the coarser grid stands for both.
+            for w in {(begin + j) // per, -(-(begin + j) // per)}:
+                found[w, item] = max(cosine, found.get((w, item), -1.0))
+        return found
+
     def find(self, words: np.ndarray) -> list[dict]:
         """The items that the text holds, each with its best window."""
         if not self.items:
@@ -355,18 +377,14 @@ class Retriever:
         best: dict[int, dict] = {}
         count, vectors = max(1, -(-len(words) // HALF) - 1) if len(words) else 0, None
         for at in range(0, count, 4096):
-            enough = set(self.bags.find(words, at, min(at + 4096, count)))
+            until = min(at + 4096, count)
+            enough = set(self.bags.find(words, at, until))
             if not enough:
                 continue  # nothing that step 4 could accept
-            vectors = windows(words, self.latent) if vectors is None else vectors
-            cosines = vectors[at : at + 4096] @ self.queries
-            pairs: dict[tuple[int, int], float] = {}
-            for w, q in np.argwhere(cosines >= self.least).tolist():
-                if (at + w, self.owner[q]) in enough:
-                    pairs.setdefault((at + w, int(self.owner[q])), float(cosines[w, q]))
-            for w, k in enough - pairs.keys():
-                pairs[w, k] = float(cosines[w - at, self.first[k] : self.first[k + 1]].max())
-            for (w, k), cosine in sorted(pairs.items()):
+            vectors = windows(words, self.latent, STEP) if vectors is None else vectors
+            pairs = self.candidates(vectors, at, until, np.unique([k for _, k in enough]))
+            for w, k in sorted(enough & pairs.keys()):
+                cosine = pairs[w, k]
                 item = self.items[k]
                 common, answer, leak = item.match(words, w)
                 if leak and common > best.get(item.number, {"lcs_words": -1})["lcs_words"]:
@@ -379,7 +397,7 @@ class Retriever:
 
 def item_blocks(benchmark: DataFrame, at_once: int) -> Iterator[list[Item]]:
     """The benchmark's items in blocks of about ``at_once``; each row once for each id and text."""
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    rows = benchmark.select(F.col("item_id").cast("string"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
     blocks = max(1, math.ceil(rows.count() / at_once))
     for b in range(blocks):
         block = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
@@ -404,22 +422,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", at_onc
                 rows = []
                 for doc_id, value in zip(batch.column(0), batch.column(1), strict=True):
                     rows += [{"doc_id": doc_id.as_py(), **m} for m in retriever.find(np.frombuffer(value.as_buffer() or b"", np.uint32))]
-                kinds = [("doc_id", batch.schema.field(0).type), *[(f.name, k) for f, k in zip(MATCH, [pa.int64()] * 4 + [pa.float64(), pa.bool_()], strict=True)]]
+                kinds = [("doc_id", batch.schema.field(0).type), *[(f.name, k) for f, k in zip(MATCH, [pa.string(), *[pa.int64()] * 3, pa.float64(), pa.bool_()], strict=True)]]
                 yield pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
 
         fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in MATCH)
         hits = hashed.mapInArrow(search, f"doc_id {id_type}, {fields}")
         found = hits if found is None else found.unionByName(hits)
-    return found.withColumnRenamed("item", "item_id")
+    item_id = F.col("item").cast(benchmark.schema["item_id"].dataType)
+    return found.select("doc_id", item_id.alias("item_id"), *[f.name for f in MATCH if f.name != "item"])
 
 
 def is_clean(latent: np.ndarray, items: list[Item]):
     """A function of text columns: whether a text holds none of the items."""
 
     @F.pandas_udf("boolean")
-    def clean(texts: pd.Series) -> pd.Series:
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         retriever = Retriever(latent, items)
-        return texts.map(lambda t: not retriever.find(words_of(t))).astype(bool)
+        for texts in batches:
+            yield texts.map(lambda t: not retriever.find(words_of(t))).astype(bool)
 
     return clean
 

@@ -22,22 +22,66 @@ def planted(seed):
     return items, [*texts, "", "the", *items]
 
 
-def test_every_leak_of_the_verifier_is_found():
+def leaks_of(words, items):
+    """What the verifier accepts at any window, by item."""
+    found = {}
+    for item in items:
+        hits = [c for w in range(max(1, -(-len(words) // dc.HALF) - 1)) for c, _, leak in [item.match(words, w)] if leak]
+        if hits:
+            found[item.number] = max(hits)
+    return found
+
+
+def recall(retriever, texts):
+    """Leaks found and leaks there are; none may be found that the verifier does not accept."""
+    found = there = 0
+    for words, want in texts:
+        got = {m["item"]: m["lcs_words"] for m in retriever.find(words)}
+        assert got.keys() <= want.keys() and all(got[k] <= want[k] for k in got)
+        found, there = found + len(got), there + len(want)
+    return found, there
+
+
+@pytest.fixture(scope="module")
+def case(spark):
     items, texts = planted(3)
-    items = [i for n, t in enumerate(items) if (i := dc.Item.of(n, t))]
-    latent = np.random.default_rng(1).standard_normal((dc.BINS + 1, 20)).astype(np.float32)
-    latent[dc.BINS] = 0
-    retriever, leaks = dc.Retriever(latent, items), 0
-    for text in texts:
-        words = dc.words_of(text)
-        want = {}
-        for item in items:
-            found = [c for w in range(max(1, -(-len(words) // dc.HALF) - 1)) for c, _, leak in [item.match(words, w)] if leak]
-            if found:
-                want[item.number] = max(found)
-        assert {m["item"]: m["lcs_words"] for m in retriever.find(words)} == want
-        leaks += len(want)
-    assert leaks > 120
+    hashed = dc.hashed_words(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "text")
+    items, words = [i for n, t in enumerate(items) if (i := dc.Item.of(str(n), t))], [dc.words_of(t) for t in texts]
+    return dc.latent_space(hashed), items, [(w, leaks_of(w, items)) for w in words]
+
+
+def test_the_cosine_finds_what_the_verifier_accepts(case):
+    latent, items, texts = case
+    found, there = recall(dc.Retriever(latent, items), texts)
+    assert there > 120 and found >= 0.95 * there
+
+
+def test_noise_in_the_latent_space_finds_nothing(case):
+    latent, items, texts = case
+    nothing = dc.Retriever(np.zeros_like(latent), items)
+    assert recall(nothing, texts)[0] == 0
+    noisy = dc.Retriever(latent, items)
+    noisy.queries = np.random.default_rng(1).standard_normal(noisy.queries.shape).astype(np.float32)
+    noisy.queries /= np.linalg.norm(noisy.queries, axis=0)
+    found, there = recall(noisy, texts)
+    assert found < 0.1 * there
+
+
+def test_word_bags_only_discard(case):
+    latent, items, texts = case
+    retriever, every = dc.Retriever(latent, items), dc.Retriever(latent, items)
+    every.bags.find = lambda words, first, last: ((w, k) for w in range(first, last) for k in range(len(items)))
+    for words, _ in texts[::4]:
+        one, two = ({m["item"]: (m["lcs_words"], m["first_word"]) for m in r.find(words)} for r in (retriever, every))
+        assert one == two
+
+
+def test_ids_of_any_type(spark):
+    text = " ".join(prose(1, 30))
+    docs = spark.createDataFrame([("d0", text, 1), (None, text, 2)], "doc_id string, text string, _body int")
+    benchmark = spark.createDataFrame([("q-1", text), (None, text)], "item_id string, text string")
+    assert {(r.doc_id, r.item_id) for r in dc.find_leaks(docs, benchmark).collect()} == {("d0", "q-1"), (None, "q-1")}
+    assert dc.decontaminate(docs, benchmark).count() == 0
 
 
 @pytest.mark.parametrize("kept", [0.7, 0.8])
