@@ -1,15 +1,18 @@
 """Quality rules whose cutoffs come with a guarantee, made of built-in functions only.
 
 A text fails the base rule if it has few words or repeats itself. Four more rules compare
-a share with a cutoff. For each rule and stratum the cutoff is the strictest of a fixed
-grid for which labelled good documents show that it rejects too many of them with small
-probability: with k of n good documents rejected, the exact binomial tail
-P(X <= k | n, alpha / rules) must be at most delta / (rules * strata). Along a grid the
-tail grows with strictness, so testing from loose to strict and stopping at the first
-failure (fixed-sequence testing) needs no further correction; rules and strata are
-corrected by Bonferroni, and alpha is shared among the rules. So with probability
-1 - delta no stratum loses more than the share alpha of its good documents to these rules.
-A rule without a cutoff that passes, as in strata with few labels, rejects nothing.
+a share with a cutoff. All four move together along one path of levels from loose to
+strict (``PATH``), fixed before any data are seen. A level of a stratum is certified if
+labelled good documents show that its rules together reject too many with small
+probability: with k of n good documents rejected by any rule, the exact binomial tail
+P(X <= k | n, alpha) must be at most delta / strata. Along the path k and so the tail
+grow, so testing from loose to strict and stopping at the first failure (fixed-sequence
+testing) spends alpha and delta whole at each level; strata are corrected by Bonferroni.
+So with probability 1 - delta no stratum loses more than the share alpha of its good
+documents to the four rules. Each stratum has the strictest level certified. The loosest
+needs at least ln(strata / delta) / alpha good labelled documents, none of them rejected:
+with the default alpha of 1 % and delta of 5 %, 439 where there are four strata. Strata with fewer have no
+cutoff, and their rules reject nothing.
 
 A NULL text has no words and fails. NULL strata are one stratum, '' is another. Labels
 count where all rows of a doc_id say the same; documents without one are not counted.
@@ -18,6 +21,7 @@ Repeated rows count each. Windows of three words are compared by a 64-bit hash.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,6 +38,9 @@ GRIDS = {
     "dup_lines": ("n_dup_lines", "n_lines", (10, 30, 50, 80, 100, 150, 200, 250, 300, 400, 500, 700)),
     "repeats": ("n_repeat_words", "n_words", (10, 20, 30, 50, 80, 100, 150, 200, 250, 300, 400)),
 }
+#: Cutoffs of all rules at each level, from loose to strict; shorter grids stay at their strictest.
+PATH = [{rule: grid[max(0, len(grid) - 1 - i)] for rule, (_, _, grid) in GRIDS.items()} for i in range(max(len(g) for _, _, g in GRIDS.values()))]
+ALPHA, DELTA = 0.01, 0.05
 SALTS = 64
 
 # Words of windows that occur again: windows are sorted by hash, those with an equal
@@ -87,25 +94,29 @@ def exceeds(rule: str, cutoff: Column | int) -> Column:
     return 1000 * F.col(part) > F.col(whole) * cutoff
 
 
+def rejected(cuts: dict[str, Column | int]) -> Column:
+    """Whether any rule with a cutoff rejects the row."""
+    return functools.reduce(Column.__or__, [F.coalesce(exceeds(rule, cut), F.lit(False)) for rule, cut in cuts.items()])
+
+
 def cutoffs(stats: DataFrame, labels: DataFrame, stratum: str, alpha: float, delta: float) -> DataFrame:
-    """One row per stratum: ``stratum`` and the certified cutoff of each rule, or NULL."""
+    """One row per stratum with good documents: ``stratum``, ``level`` and each rule's cutoff, or NULL."""
     good = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("worst"))
     good = good.filter("worst = 1").select("doc_id")
     known = stats.filter(~F.col("base_failed")).join(good, "doc_id", "left_semi")
-    tests = [(rule, c) for rule, (_, _, grid) in GRIDS.items() for c in grid]
-    counts = [F.count_if(exceeds(rule, c)).alias(f"k{i}") for i, (rule, c) in enumerate(tests)]
+    counts = [F.count_if(rejected(level)).alias(f"k{i}") for i, level in enumerate(PATH)]
     counted = known.groupBy(F.col(stratum).alias("stratum")).agg(F.count("*").alias("n"), *counts)
-    each = [F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"k{i}").alias("k")) for i, (r, c) in enumerate(tests)]
+    each = [F.struct(F.lit(i).alias("level"), F.col(f"k{i}").alias("k")) for i in range(len(PATH))]
     rows = counted.select("stratum", "n", F.inline(F.array(*each)))
-    strata = counted.agg((F.count("*") * len(GRIDS)).alias("corrected"))
-    rows = rows.join(strata, F.lit(True)).withColumn("p", F.expr(TAIL.format(a=alpha / len(GRIDS))))
-    passed = F.col("p") <= delta / F.col("corrected")
-    best = [F.min(F.when(passed & (F.col("rule") == r), F.col("cutoff"))).alias(f"cut_{r}") for r in GRIDS]
-    return rows.groupBy("stratum").agg(*best)
+    rows = rows.join(counted.agg(F.count("*").alias("strata")), F.lit(True)).withColumn("p", F.expr(TAIL.format(a=alpha)))
+    # The tail grows along the path, so the levels that pass are those before the first failure.
+    best = rows.groupBy("stratum").agg(F.max(F.when(F.col("p") <= delta / F.col("strata"), F.col("level"))).alias("level"))
+    at = [F.get(F.array(*[F.lit(level[rule]) for level in PATH]), F.col("level")).alias(f"cut_{rule}") for rule in GRIDS]
+    return best.select("stratum", "level", *at)
 
 
 def quality_rules(
-    docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", alpha: float = 0.01, delta: float = 0.05
+    docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA
 ) -> DataFrame:
     """Counts, ``base_failed`` and ``kept`` of every document."""
     stats = stored(text_statistics(docs, text, ("doc_id", stratum)), "quality-statistics")
@@ -113,10 +124,8 @@ def quality_rules(
     spread = cuts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rows = stats.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int"))
     joined = rows.join(spread.withColumnRenamed("salt", "_salt"), F.col(stratum).eqNullSafe(F.col("stratum")) & (F.col("salt") == F.col("_salt")), "left")
-    rejected = F.lit(False)
-    for rule in GRIDS:
-        rejected = rejected | F.coalesce(exceeds(rule, F.col(f"cut_{rule}")), F.lit(False))
-    return joined.withColumn("kept", ~F.col("base_failed") & ~rejected).select(*stats.columns, "kept")
+    fails = rejected({rule: F.col(f"cut_{rule}") for rule in GRIDS})
+    return joined.withColumn("kept", ~F.col("base_failed") & ~fails).select(*stats.columns, "kept")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,8 +137,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    tests = ", ".join(f"('{r}', {c})" for r, (_, _, grid) in GRIDS.items() for c in grid)
-    share = " ".join(f"WHEN '{r}' THEN 1000 * {part} > cutoff * {whole}" for r, (part, whole, _) in GRIDS.items())
+    levels = ", ".join(f"({i}, {', '.join(str(level[r]) for r in GRIDS)})" for i, level in enumerate(PATH))
+    fails = " OR ".join(f"1000 * {part} > cut_{r} * {whole}" for r, (part, whole, _) in GRIDS.items())
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
@@ -148,15 +157,15 @@ s AS (SELECT d.rid, doc_id, lang, coalesce(n_words, 0)::BIGINT AS n_words, coale
              coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
              coalesce(n_words, 0) < {MIN_WORDS} OR 100 * coalesce(rep.n, 0) > {MAX_REPEATED_PERCENT} * coalesce(n_words, 0) AS base_failed
       FROM d LEFT JOIN c USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN ln USING (rid)),
-t AS (SELECT * FROM (VALUES {tests}) AS v(rule, cutoff)),
-k AS (SELECT lang, rule, cutoff, count(*) AS n, count(*) FILTER (CASE rule {share} END) AS k
+t AS (SELECT * FROM (VALUES {levels}) AS v(level, {", ".join(f"cut_{r}" for r in GRIDS)})),
+k AS (SELECT lang, level, count(*) AS n, count(*) FILTER ({fails}) AS k
       FROM s, t WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1)
       GROUP BY ALL),
 p AS (SELECT *, list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1)
-             - CASE WHEN n = i THEN 0 ELSE lgamma(n - i + 1) END + i * ln(0.0025) + (n - i) * ln(0.9975)))) AS p FROM k),
-cut AS (SELECT lang, rule, min(cutoff) AS cutoff FROM p
-        WHERE p <= 0.05 / ({len(GRIDS)} * (SELECT count(*) FROM (SELECT DISTINCT lang FROM k))) GROUP BY ALL),
-bad AS (SELECT DISTINCT rid FROM s JOIN cut ON s.lang IS NOT DISTINCT FROM cut.lang WHERE CASE rule {share} END)
+             - CASE WHEN n = i THEN 0 ELSE lgamma(n - i + 1) END + i * ln({ALPHA}) + (n - i) * ln(1 - {ALPHA})))) AS p FROM k),
+cut AS (SELECT lang, max(level) AS level FROM p
+        WHERE p <= {DELTA} / (SELECT count(*) FROM (SELECT DISTINCT lang FROM k)) GROUP BY ALL),
+bad AS (SELECT rid FROM s JOIN cut ON s.lang IS NOT DISTINCT FROM cut.lang JOIN t ON t.level = cut.level WHERE {fails})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND rid NOT IN (SELECT rid FROM bad) AS kept
 FROM s
