@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docrecords.session import run_dir
 
@@ -17,6 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name for a working column that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def whole_row(df: DataFrame, *left_out: str) -> Column:
+    """All columns but some as one struct, so that names of working columns beside it cannot clash."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in left_out])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read from there.
 

@@ -18,20 +18,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docrecords.llm.common import shuffle_width, stored, table
+from docrecords.llm.common import shuffle_width, stored, table, whole_row
+from docrecords.operators.rows import pin
 
-#: The table of rates is broadcast up to this many sources (each below 1 KB at rates below 50).
+#: The table of rates is broadcast up to this many sources, each with its name and one number.
 BROADCAST_SOURCES = 10_000
 SALTS = 64
 BITS = 52
 
-# The distribution function from 0 until it is 1 in double precision; logarithms keep
-# the terms of large rates from vanishing.
-DISTRIBUTION = """
-if(rate <= 0, array(1D), aggregate(sequence(1, cast(ceil(rate + 12 * sqrt(rate) + 30) AS int)),
-   struct(-rate AS log, exp(-rate) AS sum, array(exp(-rate)) AS all),
+# For how many numbers k the distribution function is at most u, added up from 0 until it is 1
+# in double precision; logarithms keep the terms of large rates from vanishing. The steps
+# are as many as the copies, but for a bound.
+COUNT = """
+if(rate <= 0, 0, aggregate(sequence(1, cast(ceil(rate + 12 * sqrt(rate) + 30) AS int)),
+   struct(-rate AS log, exp(-rate) AS sum, if(exp(-rate) <= u, 1, 0) AS n),
    (z, k) -> struct(z.log + ln(rate) - ln(k) AS log, z.sum + exp(z.log + ln(rate) - ln(k)) AS sum,
-                    array_append(z.all, z.sum + exp(z.log + ln(rate) - ln(k))) AS all), z -> z.all))
+                    z.n + if(z.sum + exp(z.log + ln(rate) - ln(k)) <= u, 1, 0) AS n), z -> z.n))
 """
 
 
@@ -40,7 +42,7 @@ def volume(text: str) -> Column:
 
 
 def rates(docs: DataFrame, source: str, text: str, weights: dict[str, float] | None, temperature: float, total: int | None) -> DataFrame:
-    """One row per source: ``_source``, ``rate`` and its distribution function ``cdf``."""
+    """One row per source: ``_source`` and ``rate``."""
     amounts = docs.groupBy(F.col(source).cast("string").alias("_source")).agg(F.sum(volume(text)).alias("amount"))
     if weights is None:
         target = F.pow(F.col("amount").cast("double"), F.lit(float(temperature)))
@@ -52,7 +54,7 @@ def rates(docs: DataFrame, source: str, text: str, weights: dict[str, float] | N
     sums = rows.agg(F.sum("target").alias("targets"), F.sum("amount").alias("amounts"))
     wanted = F.col("amounts") if total is None else F.lit(total)
     rate = F.when(F.col("amount") > 0, F.col("target") / F.col("targets") * wanted / F.col("amount")).otherwise(1.0)
-    return rows.join(sums, F.lit(True)).select("_source", F.coalesce(rate, F.lit(0.0)).alias("rate")).withColumn("cdf", F.expr(DISTRIBUTION))
+    return rows.join(sums, F.lit(True)).select("_source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
 
 
 def mix(
@@ -69,23 +71,23 @@ def mix(
 ) -> DataFrame:
     """The documents repeated to the target weights, shuffled, with ``copy`` from 1."""
     known = stored(rates(docs, source, text, weights, temperature, total), "mix-rates")
-    rows = docs.drop(copy)
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("#"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))))
     digits = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), key).cast("binary")), 1, BITS // 4), 16, 10).cast("long")
-    rows = rows.withColumns({"_key": key, "_u": (digits + 0.5) / float(1 << BITS)})
-    same = F.col(source).cast("string").eqNullSafe(F.col("_source"))
+    uniform = (digits + 0.5) / float(1 << BITS)
+    rows = docs.select(whole_row(docs, copy).alias("doc"), F.col(source).cast("string").alias("own"), key.alias("key"), uniform.alias("u"))
+    same = F.col("own").eqNullSafe(F.col("_source"))
     if known.count() <= broadcast_sources:
         rows = rows.join(F.broadcast(known), same)
     else:
-        salted = known.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int"))
-        rows = rows.join(salted, same & (F.col("_salt") == F.col("_other")))
-    count = F.size(F.filter("cdf", lambda c: c <= F.col("_u")))
+        salted = known.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+        rows = rows.join(salted, same & (F.col("salt") == F.col("other")))
+    rows = pin(rows.withColumn("n", F.expr(COUNT)), "n").filter("n > 0")
     # A place in the shuffle for each copy; equal ones are spread by the row's number of copies only.
-    rows = rows.withColumn("_n", count).filter("_n > 0").withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    rows = rows.withColumn("_place", F.xxhash64(F.lit(seed), F.col("_key"), F.col(copy)))
-    rows = rows.repartition(shuffle_width(docs.sparkSession), "_place").sortWithinPartitions("_place")
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns if c != copy], copy)
+    rows = rows.select("doc", "key", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("number"))
+    rows = rows.withColumn("place", F.xxhash64(F.lit(seed), F.col("key"), F.col("number")))
+    rows = rows.repartition(shuffle_width(docs.sparkSession), "place").sortWithinPartitions("place")
+    return rows.select("doc.*", F.col("number").alias(copy))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,10 +48,20 @@ def test_nulls_empties_repeats(spark):
 
 @pytest.mark.parametrize("rate", [0.0, 0.3, 4.0, 900.0])
 def test_distribution_function(spark, rate):
-    cdf = spark.sql(f"SELECT {mixing.DISTRIBUTION} AS cdf FROM (SELECT {rate}D AS rate)").first().cdf
-    if rate:
-        want = 0.0
-        for k, c in enumerate(cdf):
-            want += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
-            assert c == pytest.approx(want, abs=1e-9)
-    assert cdf[-1] == pytest.approx(1)
+    want, total = [], 0.0
+    for k in range(int(rate + 12 * math.sqrt(rate) + 30) + 1 if rate else 0):
+        total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+        want.append(total)
+    # Numbers between the steps of the distribution function, at its ends and evenly spread.
+    numbers = [1e-12, 1 - 1e-6, *(k / 997 for k in range(1, 997)), *((a + b) / 2 for a, b in zip(want, want[1:]))]
+    numbers = [u for u in numbers if 0 < u < 1 and all(abs(u - c) > 1e-9 for c in want)]
+    rows = spark.createDataFrame([(rate, u) for u in numbers], "rate double, u double").selectExpr("u", f"{mixing.COUNT} AS n").collect()
+    assert {r.u: r.n for r in rows} == {u: sum(c <= u for c in want) for u in numbers}
+    assert rate == 0 or want[-1] == pytest.approx(1)
+
+
+def test_a_source_of_little_text(spark):
+    """A rate of many thousands neither grows an array nor the table of rates."""
+    docs = spark.createDataFrame([(1, "ab", "tiny"), *((i, "word " * 2000, "large") for i in range(2, 12))], "doc_id long, text string, source string")
+    got = Counter(r.doc_id for r in mixing.mix(docs, weights={"tiny": 1, "large": 1}).select("doc_id").collect())
+    assert abs(got[1] - 25_000) < 5 * math.sqrt(25_000)
