@@ -145,18 +145,26 @@ def candidates(docs: DataFrame, text: str, rules: tuple[Rule, ...]) -> DataFrame
 def spans(rule: Rule, order: int, text: str) -> str:
     """SQL for the array of a rule's matches in ``text``.
 
-    Starts are sums over what lies between matches and the matches before.
+    Starts are sums over what lies between matches and the matches before. The sums are
+    built in blocks of about the root of their number, since an array grows by copying.
     """
     pattern = rule.pattern.replace("\\", "\\\\").replace("'", "\\'")
+    places = "cast(array() AS array<struct<start:int,end:int>>)"
     return f"""
 element_at(transform(array(struct(regexp_extract_all({text}, '{pattern}', 0) AS m, regexp_extract_all({text}, '{pattern}', {rule.group}) AS g)),
   f -> if(size(f.m) = 0, cast(array() AS array<struct<start:int,rank:int,kind:string,end:int>>),
-    transform(filter(aggregate(zip_with(f.m, slice(split({text}, '{pattern}', -1), 1, size(f.m)),
-                                        (m, gap) -> struct(length(gap) AS gap, length(m) AS long)),
-                  struct(0 AS at, cast(array() AS array<struct<start:int,end:int>>) AS all),
-                  (z, x) -> struct(z.at + x.gap + x.long AS at,
-                                   array_append(z.all, struct(z.at + x.gap AS start, z.at + x.gap + x.long AS end)) AS all),
-                  z -> z.all), (x, i) -> length(f.g[i]) >= {rule.least}),
+    transform(filter(element_at(transform(
+      array(zip_with(f.m, slice(split({text}, '{pattern}', -1), 1, size(f.m)), (m, gap) -> struct(length(gap) AS gap, length(m) AS long))),
+      p -> element_at(transform(
+        array(transform(sequence(0, cast((size(p) - 1) div ceil(sqrt(size(p))) AS int)),
+                        b -> aggregate(slice(p, cast(b * ceil(sqrt(size(p))) AS int) + 1, cast(ceil(sqrt(size(p))) AS int)),
+                                       struct(0 AS at, {places} AS all),
+                                       (z, x) -> struct(z.at + x.gap + x.long AS at,
+                                                        array_append(z.all, struct(z.at + x.gap AS start, z.at + x.gap + x.long AS end)) AS all)))),
+        blocks -> flatten(zip_with(blocks, aggregate(blocks, struct(0 AS at, cast(array() AS array<int>) AS all),
+                                                     (z, x) -> struct(z.at + x.at AS at, array_append(z.all, z.at) AS all), z -> z.all),
+                                   (x, o) -> transform(x.all, y -> struct(y.start + o AS start, y.end + o AS end))))), 1)), 1),
+      (x, i) -> length(f.g[i]) >= {rule.least}),
       x -> struct(x.start AS start, {order} AS rank, '{rule.kind}' AS kind, x.end AS end)))), 1)
 """
 
