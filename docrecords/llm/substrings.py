@@ -10,7 +10,8 @@ chance match of digests removes nothing.
 
 A NULL text has no chunk. A document is an id and a text: rows with the same id and text are
 decided alike, those with one id and other texts apart, in the order of a hash of the text. Documents
-without an id come first, in the order of a hash of their text. Offsets count bytes.
+without an id come first, in the order of a hash of their text. Ids that are no integers go by the order
+of their hashes. Offsets count bytes. Further columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,10 +23,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docrecords.llm.common import stored, table
+from docrecords.llm.common import stored, table, whole_row
 
 MIN_RUN = 100
+#: Places of documents without an id are at most this.
+NO_ID = -(1 << 62)
 #: Longest chunk, for text in which the hash finds no cut, and bytes hashed at once.
 LONGEST, AT_ONCE = 512, 1 << 22
 #: Of 2^21 values of the hash's upper bits so many cut: a chunk has 24 bytes on average.
@@ -65,8 +69,10 @@ def cuts(data: bytes) -> np.ndarray:
 
 
 def place(docs: DataFrame, text: str) -> Column:
-    """A number that orders documents: the id, or below all ids a hash of the text."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)) - F.shiftrightunsigned(F.xxhash64(text), 2))
+    """A number that orders documents: the id (a hash, if ids are no integers), or below all ids a hash of the text."""
+    whole = isinstance(docs.schema["doc_id"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    known = F.col("doc_id").cast("long") if whole else F.when(F.col("doc_id").isNotNull(), F.shiftrightunsigned(F.xxhash64("doc_id"), 1))
+    return F.coalesce(known, F.lit(NO_ID) - F.shiftrightunsigned(F.xxhash64(text), 2))
 
 
 def version(text: str) -> Column:
@@ -127,16 +133,17 @@ def repeated_spans(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN)
 def remove_repeats(docs: DataFrame, text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
     """The documents without the bytes of repeated spans; all other columns as they are."""
     spans = stored(repeated_spans(docs, text, min_run), "substring-spans")
-    spans = spans.groupBy(F.col("place").alias("_place"), F.col("version").alias("_version")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-    rows = docs.withColumns({"_here": place(docs, text), "_text": version(text)}).join(spans, (F.col("_here") == F.col("_place")) & (F.col("_text") == F.col("_version")), "left")
-    body = F.col(text).cast("binary")
-    keep = "transform(sequence(0, size(_spans)), i -> struct(if(i = 0, 0L, _spans[i - 1].end) AS a, if(i = size(_spans), octet_length(_b), _spans[i].start) AS b))"
-    rows = rows.withColumn("_b", body)
-    left = F.expr(f"cast(aggregate({keep}, cast('' AS binary), (z, x) -> concat(z, substring(_b, cast(x.a + 1 AS int), cast(x.b - x.a AS int)))) AS string)")
-    return rows.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(left)).select(*docs.columns)
+    spans = spans.groupBy("place", "version").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    rows = docs.select(whole_row(docs).alias("doc"), place(docs, text).alias("place"), version(text).alias("version"), F.col(text).cast("binary").alias("b"))
+    rows = rows.join(spans, ["place", "version"], "left")
+    keep = "transform(sequence(0, size(spans)), i -> struct(if(i = 0, 0L, spans[i - 1].end) AS a, if(i = size(spans), octet_length(b), spans[i].start) AS z))"
+    left = F.expr(f"cast(aggregate({keep}, cast('' AS binary), (t, x) -> concat(t, substring(b, cast(x.a + 1 AS int), cast(x.z - x.a AS int)))) AS string)")
+    new = F.when(F.col("spans").isNull(), F.col(f"doc.`{text}`")).otherwise(left).alias(text)
+    return rows.select(*[new if c == text else F.col(f"doc.`{c}`") for c in docs.columns])
 
 
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The repeated passages of all documents, each with the document where it stays."""
     spans = repeated_spans(table(spark, sf_dir, "documents"))
-    return spans.select(F.col("place").alias("doc_id"), F.col("kept_place").alias("kept_doc_id"), "start", "end")
+    own = lambda c: F.when(F.col(c) > NO_ID, F.col(c))
+    return spans.select(own("place").alias("doc_id"), own("kept_place").alias("kept_doc_id"), "start", "end")
