@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docrecords.llm.common import shuffle_width, stored, table
+from docrecords.llm.common import fresh, shuffle_width, stored, table
 from docrecords.llm.components import components
 
 #: Linked: 100 * intersection >= percent * union. Shingles have so many words. These are op8's.
@@ -471,15 +471,16 @@ def drop_near_copies(docs: DataFrame, text: str = "text", words: int = WORDS, pe
     """
     classes = stored(jaccard_classes(docs, text, words=words, percent=percent, by_rarest=by_rarest), "jaccard-classes")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
-    kept = classes.filter("n_shingles > 0").groupBy("class").agg(F.min(order).alias("m")).select(F.col("m.row").alias("_row"))
-    rows = docs.withColumn("_row", row_key(docs, text))
-    repeated = classes.filter("n_shingles > 0").groupBy("row").count().filter("count > 1").select(F.col("row").alias("_row"))
-    repeated = stored(repeated.join(kept, "_row", "left_semi"), "jaccard-repeated")
-    wordless = classes.filter("n_shingles = 0").select(F.col("row").alias("_row")).distinct()
-    once = stored(kept.join(repeated, "_row", "left_anti").unionByName(wordless), "jaccard-kept")
-    result = rows.join(once.hint("merge"), "_row", "left_semi")
+    row = fresh(docs, "_row")
+    kept = classes.filter("n_shingles > 0").groupBy("class").agg(F.min(order).alias("m")).select(F.col("m.row").alias(row))
+    rows = docs.withColumn(row, row_key(docs, text))
+    repeated = classes.filter("n_shingles > 0").groupBy("row").count().filter("count > 1").select(F.col("row").alias(row))
+    repeated = stored(repeated.join(kept, row, "left_semi"), "jaccard-repeated")
+    wordless = classes.filter("n_shingles = 0").select(F.col("row").alias(row)).distinct()
+    once = stored(kept.join(repeated, row, "left_anti").unionByName(wordless), "jaccard-kept")
+    result = rows.join(once.hint("merge"), row, "left_semi")
     if not repeated.isEmpty():
-        result = result.unionByName(rows.join(repeated, "_row", "left_semi").dropDuplicates(["_row"]))
+        result = result.unionByName(rows.join(repeated, row, "left_semi").dropDuplicates([row]))
     return result.select(*docs.columns)
 
 

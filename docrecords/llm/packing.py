@@ -233,7 +233,7 @@ def read_packed(manifest: DataFrame, root: str, id_type: str = "bigint", length:
 def pack(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents packed with the default settings, written and read back."""
     root = run_dir(spark, "packed")
-    return read_packed(write_packed(docs, root), root)
+    return read_packed(write_packed(docs, root), root, docs.schema["doc_id"].dataType.simpleString())
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -145,8 +145,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", most: int = MAX_
     agreed = agreed.agg(F.min("quality").alias("y"), F.max("quality").alias("_max")).filter("y = _max").select(F.col("doc_id").alias("_id"), "y")
     drawn = agreed.orderBy(F.xxhash64(F.lit(6), "_id"), "_id").limit(most)
     # At most ``most`` ids of 8 bytes with a label; repeated ids give repeated rows, hence the second limit.
-    rows = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
-    rows = rows.select("y", features(text).alias("_x")).limit(2 * most).collect()
+    rows = docs.select("doc_id", F.col(text).alias("_text")).join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
+    rows = rows.select("y", features("_text").alias("_x")).limit(2 * most).collect()
     x = np.array([r["_x"] for r in rows], np.float64).reshape(len(rows), len(FEATURES))
     order = np.lexsort((*x.T, [r["y"] for r in rows])) if rows else np.zeros(0, np.int64)
     return train(x[order], np.array([r["y"] for r in rows], np.int64)[order])

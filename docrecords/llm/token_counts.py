@@ -23,7 +23,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docrecords.llm.common import table
+from docrecords.llm.common import fresh, table
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words in the cache of a task; it starts anew when full.
@@ -132,9 +132,9 @@ def token_counts(docs: DataFrame, text: str = "text", budget: int = 2048, vocabu
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     added = "n_bytes long, n_tokens long, over_limit boolean, fit_bytes long"
     names = ("n_bytes", "n_tokens", "over_limit", "fit_bytes")
-    body = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("_body")
+    body = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias(fresh(docs, "_body"))
     rows = docs.select(body, *[F.col(f"`{c}`") for c in docs.columns if c != text and c not in names])
-    kept = [f for f in rows.schema.fields if f.name != "_body"]
+    kept = rows.schema.fields[1:]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = WordCounter(path)
