@@ -94,3 +94,28 @@ def test_derived_view(spark, view, tmp_path):
     other.upsert(frame(spark, []), deleted=frame(spark, [("a", None, None)]))
     derived.refresh(frame(spark, [("a", None, None)]))
     assert rows(total) == [("b", 22, 0)]
+
+
+def test_nothing_is_left_but_the_last_versions(spark, tmp_path):
+    import os
+
+    from docrecords.session import shared_dir
+
+    def left():
+        top = f"{shared_dir(spark)}/docrecords"
+        return {n for n in os.listdir(top) if n.startswith(("changes-", "deleted-", "changed-keys-"))} if os.path.isdir(top) else set()
+
+    before = left()
+    one, total = [KeyedView(spark, str(tmp_path / n), SCHEMA, ("k",), buckets=2).create() for n in ("one", "total")]
+    derived = DerivedView(total, (one,), lambda a: a)
+    data = frame(spark, [(f"k{i}", i, 0) for i in range(20)] + [(None, 1, 1)])
+    for n in range(3):
+        one.upsert(data.withColumn("v", F.lit(n)))
+        derived.refresh(data)
+    want = sorted([(f"k{i}", 2, 0) for i in range(20)], key=repr)
+    for view in (one, total):
+        view.vacuum()
+        assert [r for r in rows(view) if r[0] is not None] == want
+        assert len(os.listdir(f"{view.folder}/rows")) == 3
+        assert [len([f for f in os.listdir(f"{view.folder}/rows/{v}") if f.startswith("bucket=")]) for v in sorted(os.listdir(f"{view.folder}/rows"))] == [0, 0, 2]
+    assert left() == before
