@@ -37,6 +37,8 @@ VERSION = tuple(intake.VERSION)
 MAIN, OTHER, REJECTED = "main", "other", "rejected"
 #: New files whose paths the driver holds at once.
 PATHS_AT_ONCE = 20_000
+#: Days that a filter lists; more are joined.
+DAYS_IN_PLAN = 100
 
 ROUTED_DOCUMENT = T.StructType(
     PARSED_DOCUMENT.fields
@@ -87,6 +89,21 @@ class IngestConfig:
         return tuple(date.fromisoformat(d) for d in json.loads(text))
 
 
+def intake_layout(spark: SparkSession, config: IngestConfig) -> dict:
+    """Folders of days; or buckets of versions, each sorted by day.
+
+    A day has few files, and folders of days in buckets would be as many files as days
+    times buckets. Tables that were made that way keep their folders.
+    """
+    days = ("process_date",)
+    if not config.buckets:
+        return {"partition_by": days}
+    name, buckets = config.intake_table, {"buckets": config.buckets, "bucket_by": VERSION}
+    if table_exists(spark, name) and any(c.isPartition for c in spark.catalog.listColumns(name)):
+        return {"partition_by": days, **buckets}
+    return {**buckets, "sort_by": days}
+
+
 def run_intake(spark: SparkSession, config: IngestConfig, as_of: datetime | None = None) -> None:
     """Append files that are not yet in the intake table; create it on the first run.
 
@@ -94,22 +111,23 @@ def run_intake(spark: SparkSession, config: IngestConfig, as_of: datetime | None
     store; of other stores Spark's file index lists the folder on the driver, and the new
     files' paths come to it in batches.
     """
-    name, days, known = config.intake_table, ("process_date",), None
+    name, known = config.intake_table, None
+    layout = intake_layout(spark, config)
     if table_exists(spark, name):
         known = spark.table(name)
     else:
-        create_empty(spark, name, DOCUMENT_INTAKE, days, config.location, config.buckets, VERSION)
+        create_empty(spark, name, DOCUMENT_INTAKE, location=config.location, **layout)
     by_tasks = listing.readable(config.folder)
     files = listing.walk(spark, config.folder) if by_tasks else list_files(read_files(spark, config.folder))
     fresh = kept(intake.incremental_intake(files, known, config.baseline, config.lookback), "fresh")
     if by_tasks:
         stamped = stamp(listing.with_content(fresh), as_of)
-        write_table(stamped, name, DOCUMENT_INTAKE, partition_by=days, buckets=config.buckets, bucket_by=VERSION)
+        write_table(stamped, name, DOCUMENT_INTAKE, **layout)
         return
     paths = (r["path"] for r in fresh.select("path").toLocalIterator())
     while batch := list(islice(paths, PATHS_AT_ONCE)):
         stamped = stamp(read_paths(spark, batch), as_of)
-        write_table(stamped, name, DOCUMENT_INTAKE, partition_by=days, buckets=config.buckets, bucket_by=VERSION)
+        write_table(stamped, name, DOCUMENT_INTAKE, **layout)
 
 
 def documents(spark: SparkSession, config: IngestConfig, destination: str = MAIN) -> DataFrame:
@@ -141,7 +159,7 @@ def run_backfill(spark: SparkSession, config: IngestConfig, before_commit: batch
     pending = _kept_versions(intake.pending_files(taken.select(*intake.VERSION), ledger, config.dates, config.suffixes), config)
     days = [r[0] for r in pending.select("process_date").distinct().orderBy("process_date").collect()]
     for some in _slices(days, config.days_per_commit):
-        routed = process_documents(content_of(taken, pending.filter(_among(some)), config).drop("length"), config)
+        routed = process_documents(content_of(taken, pending.filter(_between(some)), config).drop("length"), config)
         batches.write_days(routed, config.documents_table, ROUTED_DOCUMENT, some, before_commit=before_commit)
 
 
@@ -153,8 +171,7 @@ def content_of(taken: DataFrame, pending: DataFrame, config: IngestConfig) -> Da
     """The intake rows of pending versions, from the folders of their days."""
     if not config.buckets:
         return _content_of(taken, pending)
-    days = [r[0] for r in pending.select("process_date").distinct().collect()]
-    some = taken.filter(_among(days))
+    some = _on_days(taken, [r[0] for r in pending.select("process_date").distinct().collect()])
     # Versions with NULL parts equal each other, but not in the buckets' join.
     unnamed = any_null(VERSION)
     return intake.in_place(some, pending, "left_semi").unionByName(intake.having(some.filter(unnamed), pending.filter(unnamed)))
@@ -170,13 +187,28 @@ def _among(days: list[date | None]) -> Column:
     return day.isin([d for d in days if d is not None]) | (day.isNull() if None in days else F.lit(False))
 
 
+def _between(days: list[date | None]) -> Column:
+    """The same for a slice of all days that there are, in order: two bounds, however many days it has."""
+    day, known = F.col("process_date"), [d for d in days if d is not None]
+    bounds = day.between(F.lit(known[0]), F.lit(known[-1])) if known else F.lit(False)
+    return bounds | (day.isNull() if None in days else F.lit(False))
+
+
+def _on_days(df: DataFrame, days: list[date | None]) -> DataFrame:
+    """The rows of these days; many days are joined, for a plan should not grow with them."""
+    if len(days) <= DAYS_IN_PLAN:
+        return df.filter(_among(days))
+    wanted = df.sparkSession.createDataFrame([(d,) for d in days], T.StructType([T.StructField("_day", T.DateType())]))
+    return df.join(F.broadcast(wanted), F.col("process_date").eqNullSafe(F.col("_day")), "left_semi")
+
+
 def _content_of(taken: DataFrame, pending: DataFrame) -> DataFrame:
     """The intake rows of pending versions; folders of other days are not opened.
 
     A day that is pending as a whole needs no join, so its content is not moved.
     """
     whole, partly = intake.pending_by_day(taken, pending)
-    return taken.filter(_among(whole)).unionByName(intake.having(taken.filter(_among(partly)), pending))
+    return _on_days(taken, whole).unionByName(intake.having(_on_days(taken, partly), pending))
 
 
 def run_second_source(
@@ -209,7 +241,7 @@ def run_second_source(
     files = enrich.attach_labels(intake.having(taken, wanted), wanted).withColumn("process_date", F.to_date("modificationTime"))
     days = [r[0] for r in wanted.select("process_date").distinct().orderBy("process_date").collect()]
     for some in _slices(days, config.days_per_commit):
-        texts = parse.extract_text(files.filter(_among(some)), fn).withColumnRenamed("text_error", "error")
+        texts = parse.extract_text(files.filter(_between(some)), fn).withColumnRenamed("text_error", "error")
         texts = texts.withColumn("destination", F.lit(MAIN))
         batches.write_days(texts, name, schema, some, replace, before_commit)
 

@@ -101,3 +101,24 @@ def test_content_and_ledger_are_joined_where_they_lie(spark, plan, tmp_path):
     versions = kept_in_buckets(pending.select(*intake.VERSION, "process_date"), "pending", 4, *intake.VERSION)
     found = ingest.content_of(taken, versions, config)
     assert {r["path"] for r in found.collect()} == want
+
+
+def test_days_make_neither_folders_in_buckets_nor_long_plans(spark, plan, tmp_path):
+    import os
+    import uuid
+
+    from docrecords.plans import ingest
+    from docrecords.schemas import DOCUMENT_INTAKE
+    from docrecords.sources.tables import create_empty, write_table
+
+    config = ingest.IngestConfig("", f"intake_{uuid.uuid4().hex[:8]}", buckets=2, location=str(tmp_path))
+    rows = spark.sql("select concat('p', id) as path, timestamp_seconds(id * 86400) as modificationTime, X'41' as content from range(300)").withColumn("process_date", F.to_date("modificationTime"))
+    layout = ingest.intake_layout(spark, config)
+    create_empty(spark, config.intake_table, DOCUMENT_INTAKE, location=config.location, **layout)
+    write_table(rows, config.intake_table, DOCUMENT_INTAKE, **layout)
+    files = [f for _, _, names in os.walk(tmp_path) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 4
+    taken = spark.table(config.intake_table)
+    pending = rows.select("path", "modificationTime", "process_date").filter("path <> 'p7'")
+    for found in (ingest.content_of(taken, pending, config), ingest.content_of(taken, pending, ingest.IngestConfig("", config.intake_table))):
+        assert found.count() == 299 and "1970-03-17" not in plan(found)
