@@ -87,3 +87,28 @@ def test_a_record_alone_waits_for_the_watermark(spark, folders):
     add(spark, folders["b"], [("x", 2, None, None)])
     runners.drain_to_folder(done, folders["out"], done.schema)
     assert seen(spark.read.schema(done.schema).parquet(folders["out"])) == [("x", 1, 1, 2, True, True)]
+
+
+def test_keys_of_a_group_share_a_value_and_a_call(spark, folders):
+    from datetime import datetime
+
+    rows = lambda ks, v, hour: [(f"k{k}", v, None, datetime(2025, 1, 1, hour)) for k in ks]
+    add(spark, folders["a"], rows(range(0, 40), 1, 1))
+    add(spark, folders["b"], rows(range(20, 60), 2, 5))
+    streams = [runners.read_folder(spark, folders[n], schema_of(spark)) for n in ("a", "b")]
+    done = state.pair_streams(*streams, "path", delay="1 hour", clock="at", groups=2)
+    want = {(f"k{k}", 1, 1, 2) for k in range(20, 40)} | {(f"k{k}", 1, 1, None) for k in range(20)}
+
+    def run():
+        runners.drain_to_folder(done, folders["out"], done.schema)
+        return [(r["key"], r["revision"], r["p_v"], r["f_v"]) for r in spark.read.schema(done.schema).parquet(folders["out"]).collect()]
+
+    # The watermark is at four: of each group's lone records those of one o'clock are due, those of five wait.
+    assert sorted(run(), key=str) == sorted(want, key=str)
+    add(spark, folders["a"], rows(range(50, 60), 3, 6))
+    add(spark, folders["b"], rows(range(0, 5), 4, 9))
+    want |= {(f"k{k}", 1, 3, 2) for k in range(50, 60)} | {(f"k{k}", 2, 1, 4) for k in range(5)} | {(f"k{k}", 1, None, 2) for k in range(40, 50)}
+    assert sorted(run(), key=str) == sorted(want, key=str)
+    # State is read and written a group at a time.
+    checkpoint = f"{folders['out']}/_checkpoint"
+    assert spark.read.format("statestore").option("stateVarName", "held").load(checkpoint).count() == 2
