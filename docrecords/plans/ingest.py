@@ -90,15 +90,14 @@ class IngestConfig:
 
 
 def intake_layout(spark: SparkSession, config: IngestConfig) -> dict:
-    """Folders of days; or buckets of versions, each sorted by day.
+    """Files sorted by day, or buckets of versions, each sorted by day.
 
-    A day has few files, and folders of days in buckets would be as many files as days
-    times buckets. Tables that were made that way keep their folders.
+    A day may have few files, and folders of days would be as many files as there are days, or
+    days times buckets; sorted files are read by their pages of the wanted days. Tables that
+    were made with folders of days keep them.
     """
-    days = ("process_date",)
-    if not config.buckets:
-        return {"partition_by": days}
-    name, buckets = config.intake_table, {"buckets": config.buckets, "bucket_by": VERSION}
+    name, days = config.intake_table, ("process_date",)
+    buckets = {"buckets": config.buckets, "bucket_by": VERSION} if config.buckets else {}
     if table_exists(spark, name) and any(c.isPartition for c in spark.catalog.listColumns(name)):
         return {"partition_by": days, **buckets}
     return {**buckets, "sort_by": days}
@@ -131,7 +130,7 @@ def run_intake(spark: SparkSession, config: IngestConfig, as_of: datetime | None
 
 
 def documents(spark: SparkSession, config: IngestConfig, destination: str = MAIN) -> DataFrame:
-    """Committed documents of one destination; only its partition folders are read."""
+    """Committed documents of one destination; only its folders are read."""
     return batches.committed(spark, config.documents_table).filter(F.col("destination") == destination)
 
 
@@ -159,7 +158,8 @@ def run_backfill(spark: SparkSession, config: IngestConfig, before_commit: batch
     pending = _kept_versions(intake.pending_files(taken.select(*intake.VERSION), ledger, config.dates, config.suffixes), config)
     days = [r[0] for r in pending.select("process_date").distinct().orderBy("process_date").collect()]
     for some in _slices(days, config.days_per_commit):
-        routed = process_documents(content_of(taken, pending.filter(_between(some)), config).drop("length"), config)
+        files = content_of(taken.filter(_between(some)), pending.filter(_between(some)), config)
+        routed = process_documents(files.drop("length"), config)
         batches.write_days(routed, config.documents_table, ROUTED_DOCUMENT, some, before_commit=before_commit)
 
 
@@ -168,7 +168,7 @@ def _kept_versions(versions: DataFrame, config: IngestConfig) -> DataFrame:
 
 
 def content_of(taken: DataFrame, pending: DataFrame, config: IngestConfig) -> DataFrame:
-    """The intake rows of pending versions, from the folders of their days."""
+    """The intake rows of pending versions, from where their days lie."""
     if not config.buckets:
         return _content_of(taken, pending)
     some = _on_days(taken, [r[0] for r in pending.select("process_date").distinct().collect()])
@@ -203,7 +203,7 @@ def _on_days(df: DataFrame, days: list[date | None]) -> DataFrame:
 
 
 def _content_of(taken: DataFrame, pending: DataFrame) -> DataFrame:
-    """The intake rows of pending versions; folders of other days are not opened.
+    """The intake rows of pending versions; content of other days is not read.
 
     A day that is pending as a whole needs no join, so its content is not moved.
     """

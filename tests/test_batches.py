@@ -71,3 +71,35 @@ def test_settings_stay(spark, name):
     before = spark.conf.get(key)
     write(spark, name, [(1, D1, "main")], [D1])
     assert spark.conf.get(key) == before
+
+
+def test_folders_do_not_grow_with_days(spark, name, tmp_path):
+    from datetime import timedelta
+
+    days = [D1 + timedelta(k) for k in range(200)]
+    batches.create(spark, name, SCHEMA, str(tmp_path))
+    write(spark, name, [(k, day, ("main", "other")[k % 2]) for k, day in enumerate(days)], days)
+    assert len(list((tmp_path / name).rglob("*.parquet"))) <= 8 and len(held(spark, name)) == 200
+
+
+def test_other_days_after_a_killed_writer(spark, name):
+    with pytest.raises(Killed):
+        write(spark, name, [(1, D1, "main"), (2, D1, "rejected"), (3, D2, "main")], [D1, D2], before_commit=die)
+    # Both days are written by themselves, with the numbers that the killed writer used.
+    write(spark, name, [(3, D2, "main")], [D2])
+    write(spark, name, [(1, D1, "main"), (4, D1, "rejected")], [D1])
+    assert held(spark, name) == [(1, D1, "main"), (3, D2, "main"), (4, D1, "rejected")]
+
+
+def test_folders_of_days_that_are_there_stay(spark, name):
+    from docrecords.sources.tables import create_empty
+
+    more = [T.StructField("attempt", T.StringType()), T.StructField("batch", T.IntegerType())]
+    create_empty(spark, name, T.StructType([*SCHEMA.fields, *more]), batches.PARTITIONS)
+    create_empty(spark, batches.commits_of(name), T.StructType(batches.COMMITS.fields[:5]))
+    write(spark, name, [(1, D1, "main"), (2, None, "other")], [D1, None])
+    with pytest.raises(Killed):
+        write(spark, name, [(3, D1, "main")], [D1], before_commit=die)
+    write(spark, name, [(4, D1, "main")], [D1])
+    assert held(spark, name) == sorted([(1, D1, "main"), (2, None, "other"), (4, D1, "main")], key=repr)
+    assert batches.commits(spark, name).count() == 3
