@@ -48,3 +48,15 @@ def test_entry(spark):
     df = contract.entry(spark)
     assert df.count() > 0
     assert df.schema == contract.entry(spark).schema
+
+
+def test_daily_counts_write_no_folder_a_day(spark, tmp_path, monkeypatch):
+    from verify import queries
+
+    spark.sql(
+        """select id * 25 as doc_id, 'x' as text, 'en' as lang, 's' as source, 1L as n_chars from range(400)"""
+    ).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "run_dir", lambda spark, name: str(tmp_path / name))
+    found = QUERIES["backfill_daily_counts"](spark, str(tmp_path))
+    assert found.count() == 266 and found.agg({"n_files": "sum"}).first()[0] == 266
+    assert len(list((tmp_path / "backfill").rglob("*.parquet"))) <= 20
