@@ -4,6 +4,7 @@ An order may hold a large share of all lines, so nothing here sorts or collects
 one key in one task. Rows are sorted by range over (key, order); each task's part of a key is
 numbered by itself, and parts of keys that begin in an earlier task get what came before them
 added: an exclusive sum over parts, of which a key has at most as many as there are tasks.
+More rows make more parts and not larger ones, so that the memory of a task stays the same.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from docrecords.session import kept
 
 PART, PLACE = "_part", "_place"
+#: Rows of a part, about; a task sorts and holds those of a few parts.
+ROWS_TOGETHER = 100_000
 
 
 def numbered(df: DataFrame, key: str, order: Sequence[str], name: str, totals: Mapping[str, str] | None = None) -> DataFrame:
@@ -27,13 +30,15 @@ def numbered(df: DataFrame, key: str, order: Sequence[str], name: str, totals: M
     once to the shared folder.
     """
     totals = dict(totals or {})
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, -(-df.count() // ROWS_TOGETHER))
+    width = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), tasks)
     # A salt in the range spreads rows that are equal in key and order.
     by_range = df.repartitionByRange(width, key, *order, F.xxhash64(*df.columns)).sortWithinPartitions(key, *order)
     rows = kept(by_range.withColumns({PART: F.spark_partition_id(), PLACE: F.monotonically_increasing_id()}), "sorted-lines")
     values = {new: F.coalesce(F.col(old), F.lit(0)) for new, old in totals.items()}
     here = Window.partitionBy(PART, key).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = rows.withColumns({name: F.row_number().over(here).cast("long")} | {new: F.sum(v).over(here) for new, v in values.items()})
+    # A given number of partitions is not made smaller again to few large ones.
+    inside = rows.repartition(tasks, PART, key).withColumns({name: F.row_number().over(here).cast("long")} | {new: F.sum(v).over(here) for new, v in values.items()})
     before = _before(rows, key, values, name)
     done = inside.join(F.broadcast(before), (F.col(PART) == F.col("_of")) & F.col(key).eqNullSafe(F.col("_key")), "left")
     sums = {c: F.col(c) + F.coalesce(F.col(f"_before_{c}"), F.lit(0)) for c in (name, *totals)}

@@ -43,3 +43,12 @@ def test_violations_of_rows(spark):
         ("a", "line_sequence", "lineItems[3].lineNumber", "3"), ("a", "line_sequence", "lineItems[?].lineNumber", None),
         ("a", "line_total", "lineItems[3].lineTotal", "5.0"), ("b", "subtotal", "subtotalAmount", "2.0"), ("e", "subtotal", "subtotalAmount", "3.0"),
     }
+
+
+def test_parts_grow_in_number_and_not_in_size(spark, plan, monkeypatch):
+    monkeypatch.setattr(lines, "ROWS_TOGETHER", 100)
+    df = spark.sql("select if(id % 3 = 0, 0, id) as k, id as a, 1L as v from range(3000)")
+    got = lines.numbered(df, "k", ["a"], "n", {"total": "v"})
+    assert "hashpartitioning(_part" in plan(got) and ", 30)" in plan(got)
+    assert sorted(r["n"] for r in got.filter("k = 0").collect()) == list(range(1, 1001))
+    assert got.filter("n <> total or (k <> 0 and n <> 1)").count() == 0
