@@ -19,6 +19,10 @@ any pivot, all those distances are 1, and every window would hold everything. So
 4. Blocks beyond ``BLOCK_BYTES`` are cut by the same Voronoi step as a Spark job, again and
    again; where this does not shrink them, they are cut into tiles, each pair of tiles a task.
 
+Where the first cut takes rare shingles (``by_rarest``), sets that hold more shingles of their own
+than linked sets can go before it: all sets' shingles are shuffled by hash for that, in packed form,
+5 bytes or so each, and the counts of those found once go back to their sets.
+
 NULL and empty texts, and those without words, have no shingles and are linked with nothing.
 Rows with equal ids or texts are decided alike. A NULL id never names a component unless all
 its documents lack one. Further columns are ignored.
@@ -35,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docrecords.llm.common import fresh, shuffle_width, stored, table
+from docrecords.llm.common import forget, fresh, shuffle_width, stored, table
 from docrecords.llm.components import components
 
 #: Linked: 100 * intersection >= percent * union. Shingles have so many words. These are op8's.
@@ -46,8 +50,10 @@ BAND_GROWTH = 1.5
 BLOCK_BYTES, BLOCK_SETS, PIVOTS, LEAF = 64 << 20, 20_000, 16, 48
 #: Sets whose signatures a task gives once only, however often they occur in it.
 SEEN_SETS = 500_000
-#: Counters of shingles, 4 bytes each: what is broadcast, whatever the corpus.
+#: Counters of shingles, a byte each: what is broadcast, whatever the corpus.
 COUNTERS = 1 << 22
+#: Shingles that a task looks for in other sets at a time, and sets that it numbers for that.
+CHUNK_SHINGLES, CHUNK_SETS = 1 << 20, 1 << 16
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -124,16 +130,150 @@ def signatures(found: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, n
     return np.concatenate(keys), np.concatenate(asks)
 
 
-def shingle_counts(docs: DataFrame, text: str, words: int = WORDS) -> np.ndarray:
-    """How many sets hold the shingles of each of ``COUNTERS`` hash buckets; of fixed size."""
+def alone(size: int, percent: int = PERCENT) -> int:
+    """A set that holds so many shingles that no other set holds is linked with none."""
+    return size + 1 + -percent * size // 100
+
+
+def chunks(docs: DataFrame, text: str, words: int, percent: int, buckets: int) -> DataFrame:
+    """The shingles of a part of all hash values, in rows by bucket, and a head for each chunk of sets.
+
+    A row holds the sets' numbers in the chunk (differences) and 32 bits of each shingle; a head
+    (``n`` in place of these) the sets' keys and how many shingles without a match rule them out.
+    Twice what ``alone`` asks for is looked at, which decides nearly all sets and is less to shuffle.
+    """
+    share = np.uint64(min(100, 2 * (100 - percent)))
+    names = ["bucket", "chunk", "head", "sets", "n"]
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        keys, needed, held, total = [], [], [], 0
+
+        def rows() -> pa.RecordBatch:
+            own = np.array(keys, np.int64)
+            number, found = np.repeat(np.arange(len(held)), [len(x) for x in held]), np.concatenate(held)
+            bucket = ((found >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            bucket, number, found = bucket[order], number[order].astype(np.uint16), found[order].astype(np.uint32)
+            start = np.flatnonzero(np.diff(bucket, prepend=-1))
+            ends = [*start[1:].tolist(), len(bucket)]
+            sets = [zlib.compress(np.diff(number[i:j], prepend=np.uint16(0)).tobytes(), 1) for i, j in zip(start.tolist(), ends, strict=False)]
+            values = [found[i:j].tobytes() for i, j in zip(start.tolist(), ends, strict=False)]
+            chunk = xxhash.xxh3_64_intdigest(own.tobytes())
+            columns = [
+                pa.array([chunk % buckets, *bucket[start].tolist()], pa.int32()),
+                pa.array(np.full(len(start) + 1, chunk, np.uint64).astype(np.int64)),
+                pa.array([True, *[False] * len(start)]),
+                pa.array([own.tobytes(), *sets], pa.binary()),
+                pa.array([np.array(needed, np.int64).tobytes(), *values], pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        for batch in batches:
+            for value in batch.column(0):
+                found = shingles(value.as_py(), words)
+                key = set_key(found)
+                if len(found) < first_band(percent) or key in seen:
+                    continue
+                if len(seen) < SEEN_SETS:
+                    seen.add(key)
+                keys.append(key)
+                needed.append(alone(len(found), percent))
+                held.append(found[found % np.uint64(100) < share])
+                total += len(held[-1])
+                if total >= CHUNK_SHINGLES or len(held) == CHUNK_SETS:
+                    yield rows()
+                    keys, needed, held, total = [], [], [], 0
+        if keys:
+            yield rows()
+
+    body = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_body"))
+    return body.mapInArrow(compute, "bucket int, chunk long, head boolean, sets binary, n binary")
+
+
+def unmatched(rows: DataFrame) -> DataFrame:
+    """From all rows of a bucket: for each chunk, how many shingles of which sets are there once only; and the heads."""
+    names = ["chunk", "head", "sets", "n"]
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own, numbers, values = None, [], [], []
+
+        def counted() -> pa.RecordBatch:
+            found, width = np.concatenate(values), [len(v) for v in values]
+            order = np.argsort(found)
+            new = np.concatenate([[True], found[order[1:]] != found[order[:-1]], [True]])
+            once = np.sort(order[new[1:] & new[:-1]])
+            place = np.repeat(np.arange(len(own)) * CHUNK_SETS, width)[once] + np.concatenate(numbers)[once]
+            place, n = np.unique(place, return_counts=True)
+            cuts = np.searchsorted(place, np.arange(len(own) + 1) * CHUNK_SETS)
+            parts = [(c, place[i:j] % CHUNK_SETS, n[i:j]) for c, i, j in zip(own, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True) if i < j]
+            sets = [zlib.compress(x.astype(np.uint16).tobytes(), 1) for _, x, _ in parts]
+            counts = [zlib.compress(x.astype(np.uint32).tobytes(), 1) for _, _, x in parts]
+            return pa.RecordBatch.from_arrays([pa.array([c for c, _, _ in parts], pa.int64()), pa.array([False] * len(parts), pa.bool_()), pa.array(sets, pa.binary()), pa.array(counts, pa.binary())], names=names)
+
+        for batch in batches:
+            heads = batch.filter(batch.column(2))
+            if heads.num_rows:
+                yield pa.RecordBatch.from_arrays(heads.columns[1:], names=names)
+            for bucket, chunk, head, sets, n in zip(*(batch.column(i) for i in range(5)), strict=True):
+                if head.as_py():
+                    continue
+                if bucket.as_py() != last:
+                    if own:
+                        yield counted()
+                    last, own, numbers, values = bucket.as_py(), [], [], []
+                own.append(chunk.as_py())
+                numbers.append(np.frombuffer(zlib.decompress(sets.as_buffer()), np.uint16).cumsum(dtype=np.uint16))
+                values.append(np.frombuffer(n.as_py(), np.uint32))
+        if own:
+            yield counted()
+
+    return rows.mapInArrow(compute, "chunk long, head boolean, sets binary, n binary")
+
+
+def may_link(docs: DataFrame, text: str, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``key`` of the sets that may link with another, some of them repeated.
+
+    Most texts of a corpus hold passages that are nowhere else. A set that links must share
+    ``percent`` of its shingles, so those with more shingles that are found once are left out.
+    Shingles that meet by their hash count as shared: that leaves sets in, never out.
+    """
+    width = shuffle_width(docs.sparkSession)
+    # A few buckets a task, read one after the other.
+    rows = chunks(docs, text, words, percent, 4 * width).repartition(width, "bucket").sortWithinPartitions("bucket")
+    found = unmatched(rows).repartition(width, "chunk").sortWithinPartitions("chunk", F.desc("head"))
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, keys, needed, total = None, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            for chunk, head, sets, n in zip(*(batch.column(i) for i in range(4)), strict=True):
+                if chunk.as_py() != last:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[total < needed])], names=["key"])
+                    last, keys, needed, total = chunk.as_py(), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+                if head.as_py():  # equal ones, if a chunk occurs again
+                    keys, needed = np.frombuffer(sets.as_py(), np.int64), np.frombuffer(n.as_py(), np.int64)
+                    total = np.zeros(len(keys), np.int64)
+                elif len(keys):
+                    total[np.frombuffer(zlib.decompress(sets.as_buffer()), np.uint16)] += np.frombuffer(zlib.decompress(n.as_buffer()), np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[total < needed])], names=["key"])
+
+    return found.mapInArrow(compute, "key long")
+
+
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How many of the sets in ``data`` hold the shingles of each of ``COUNTERS`` hash buckets; of fixed size.
+
+    Exact up to 64, then in steps of an eighth of a doubling.
+    """
     step = COUNTERS // 64
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A task's counts stay far below the limit of 32 bits, and compress better.
         total = np.zeros(COUNTERS, np.int32)
         for batch in batches:
-            found = [shingles(value.as_py(), words) & np.uint64(COUNTERS - 1) for value in batch.column(0)]
-            total += np.bincount(np.concatenate([*found, np.zeros(0, np.uint64)]).astype(np.int64), minlength=COUNTERS).astype(np.int32)
+            for data in batch.column(0):
+                # Shingles of a set may meet in a bucket.
+                np.add.at(total, (np.frombuffer(data.as_py(), np.uint64) & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
         parts = [zlib.compress(total[i : i + step].astype(">i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1) for i in range(0, COUNTERS, step)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())], names=["part", "n"])
 
@@ -144,14 +284,14 @@ def shingle_counts(docs: DataFrame, text: str, words: int = WORDS) -> np.ndarray
                 planes = np.frombuffer(zlib.decompress(n.as_buffer()), np.uint8).reshape(4, -1)
                 sums[part] = sums.get(part, 0) + np.ascontiguousarray(planes.T).view(">i4").ravel().astype(np.int64)
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["part", "n"])
+            scaled = [np.minimum(np.where(v < 64, v, 64 + 8 * np.log2(np.maximum(v, 64) / 64)), 255).astype(np.uint8) for v in sums.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in scaled], pa.binary())], names=["part", "n"])
 
-    body = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_body"))
-    parts = body.mapInArrow(count, "part long, n binary").repartition(shuffle_width(docs.sparkSession), "part")
-    total = np.zeros(COUNTERS, np.int64)
+    parts = sets.select("data").mapInArrow(count, "part long, n binary").repartition(shuffle_width(sets.sparkSession), "part")
+    total = np.zeros(COUNTERS, np.uint8)
     for r in parts.mapInArrow(add, "part long, n binary").collect():
-        total[r["part"] * step : (r["part"] + 1) * step] = np.frombuffer(r["n"], np.int64)
-    return np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
+        total[r["part"] * step : (r["part"] + 1) * step] = np.frombuffer(r["n"], np.uint8)
+    return total
 
 
 def rarest(found: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
@@ -165,15 +305,12 @@ def rarest(found: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
     if n < first_band(percent):
         return found[:0]
     often = counts[(found & np.uint64(COUNTERS - 1)).astype(np.int64)]
-    first = np.lexsort((found, often))[: n + 1 + -percent * n // 100]
+    first = np.lexsort((found, often))[: alone(n, percent)]
     return found[first[often[first] > 1]]
 
 
-def hashed_sets(docs: DataFrame, text: str, words: int = WORDS, percent: int = PERCENT, counts: np.ndarray | None = None) -> DataFrame:
-    """``doc_id``, ``row``, ``size``, ``key`` and the signatures of each document's set.
-
-    With ``counts`` the signatures are the set's rarest shingles.
-    """
+def hashed_sets(docs: DataFrame, text: str, words: int = WORDS, percent: int = PERCENT, signed: bool = True) -> DataFrame:
+    """``doc_id``, ``row``, ``size``, ``key`` and, if ``signed``, the signatures of each document's set."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -184,35 +321,71 @@ def hashed_sets(docs: DataFrame, text: str, words: int = WORDS, percent: int = P
                 key = set_key(found)
                 sizes.append(len(found))
                 keys.append(key)
-                fresh = key not in seen
-                if counts is None:
-                    sig, asks = signatures(found if fresh else found[:0], percent)
-                else:
-                    rare = rarest(found if fresh else found[:0], counts, percent)
-                    # Linked sets are in one size band.
-                    own = [mixed(rare + mixed(np.array([band], np.uint64))) for band, _ in bands(len(found), percent)] if len(rare) else []
-                    sig = np.concatenate([np.zeros(0, np.uint64), *own])
-                    asks = np.ones(len(sig), bool)
-                regions.append(sig.astype(np.int64))
-                asked.append(asks)
-                if len(seen) < SEEN_SETS:
-                    seen.add(key)
-            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())]
-            columns += [pa.array(regions, pa.list_(pa.int64())), pa.array(asked, pa.list_(pa.bool_()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "size", "key", "regions", "asked"])
+                if signed:
+                    sig, asks = signatures(found if key not in seen else found[:0], percent)
+                    regions.append(sig.astype(np.int64))
+                    asked.append(asks)
+                    if len(seen) < SEEN_SETS:
+                        seen.add(key)
+            columns, names = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())], ["doc_id", "row", "size", "key"]
+            if signed:
+                columns += [pa.array(regions, pa.list_(pa.int64())), pa.array(asked, pa.list_(pa.bool_()))]
+                names += ["regions", "asked"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select("doc_id", row_key(docs, text).alias("row"), body.alias("_body"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(compute, f"doc_id {kind}, row long, size long, key long, regions array<bigint>, asked array<boolean>")
+    return rows.mapInArrow(compute, f"doc_id {kind}, row long, size long, key long" + ", regions array<bigint>, asked array<boolean>" * signed)
+
+
+def rare_regions(sets: DataFrame, counts: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """``key`` and, as signatures, the rarest shingles of each set in ``data``."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            regions = []
+            for data in batch.column(1):
+                found = np.frombuffer(data.as_py(), np.uint64)
+                rare = rarest(found, counts, percent)
+                # Linked sets are in one size band.
+                own = [mixed(rare + mixed(np.array([band], np.uint64))) for band, _ in bands(len(found), percent)] if len(rare) else []
+                regions.append(np.concatenate([np.zeros(0, np.uint64), *own]).astype(np.int64))
+            asked = [np.ones(len(x), bool) for x in regions]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(regions, pa.list_(pa.int64())), pa.array(asked, pa.list_(pa.bool_()))], names=["key", "regions", "asked"])
+
+    return sets.select("key", "data").mapInArrow(compute, "key long, regions array<bigint>, asked array<boolean>")
+
+
+def set_data(docs: DataFrame, text: str, wanted: DataFrame, words: int = WORDS) -> DataFrame:
+    """The wanted rows, by ``row`` of their document, with their shingles as ``data``."""
+    names = [c for c in wanted.columns if c != "row"]
+    at = names.index("key")
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            # The join leaves equal rows next to each other; one of them is enough.
+            keys = batch.column(at).to_pylist()
+            fresh = [i for i, k in enumerate(keys) if k != (keys[i - 1] if i else last)]
+            last = keys[-1] if keys else last
+            some = batch.take(pa.array(fresh, pa.int64()))
+            sets = [shingles(v.as_py(), words).tobytes() for v in some.column(len(names))]
+            yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.array(sets, pa.binary())], names=[*names, "data"])
+
+    texts = docs.select(row_key(docs, text).alias("row"), F.col(text).cast("string").alias("_body"))
+    return texts.join(wanted.hint("merge"), "row").select(*names, "_body").mapInArrow(compute, ", ".join(f"{c} long" for c in names) + ", data binary")
 
 
 def row_key(docs: DataFrame, text: str):
     return F.xxhash64(F.col("doc_id"), F.col(text))
 
 
-def region_edges(sets: DataFrame) -> DataFrame:
-    """Each set with the first of each of its regions; ends of partitions meet by their region."""
+def region_edges(sets: DataFrame, held: list[DataFrame]) -> DataFrame:
+    """Each set with the first of each of its regions; ends of partitions meet by their region.
+
+    What is stored for it is added to ``held``, here and below: for ``forget``.
+    """
     rows = sets.select("key", F.explode(F.arrays_zip("regions", "asked")).alias("s")).select(F.col("s.regions").alias("region"), "key", F.col("s.asked").alias("asks"))
     rows = rows.repartitionByRange(shuffle_width(sets.sparkSession), "region", "key").sortWithinPartitions("region", "key")
     names = ["region", "head", "key", "asks", "end"]
@@ -239,6 +412,7 @@ def region_edges(sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in ends]), pa.array([e[1] for e in ends]), pa.array([e[1] for e in ends]), pa.array([e[2] for e in ends]), pa.array([True, True])], names=names)
 
     found = stored(rows.mapInArrow(runs, "region long, head long, key long, asks boolean, end boolean"), "jaccard-regions")
+    held.append(found)
     ends = found.filter("end").groupBy("region").agg(F.min("head").alias("_least"), F.max("asks").alias("_asks"))
     across = found.filter("end").join(ends, "region").filter("head <> _least").select("region", F.col("_least").alias("head"), "key", F.col("_asks").alias("asks"))
     edges = found.filter("NOT end").select("region", "head", "key", "asks").unionByName(across)
@@ -351,7 +525,7 @@ def sizes(rows: DataFrame) -> DataFrame:
     return rows.groupBy("block").agg(F.count("*").alias("sets"), F.sum(F.octet_length("data")).alias("bytes"))
 
 
-def voronoi(rows: DataFrame, weight: DataFrame, piece: int, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def voronoi(rows: DataFrame, weight: DataFrame, piece: int, percent: int, held: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
     """One Voronoi step for large blocks: (links to pivots, rows of the regions with windows).
 
     A block's pivots are joined to pieces of it of about ``piece`` bytes.
@@ -382,6 +556,7 @@ def voronoi(rows: DataFrame, weight: DataFrame, piece: int, percent: int = PERCE
 
     measured = spread.groupBy("block", "piece").cogroup(pivots.groupBy("block", "piece")).applyInArrow(measure, "block long, key long, data binary, near array<bigint>, regions array<bigint>")
     measured = stored(measured, "jaccard-voronoi")
+    held += [pivots, measured]
     links = measured.select(F.explode("near").alias("a"), F.col("key").alias("b"))
     regions = measured.select(F.col("block").alias("parent"), F.explode("regions").alias("region"), "key", "data")
     return links, regions.select(F.xxhash64("parent", "region").alias("block"), "parent", "key", "data")
@@ -395,10 +570,11 @@ def tiles(rows: DataFrame, weight: DataFrame, piece: int) -> DataFrame:
     return pairs.select(F.xxhash64("block", F.least("own", "other"), F.greatest("own", "other")).alias("block"), "key", "data")
 
 
-def join_sets(rows: DataFrame, block_bytes: int, block_sets: int, percent: int = PERCENT) -> DataFrame:
+def join_sets(rows: DataFrame, block_bytes: int, block_sets: int, percent: int, held: list[DataFrame]) -> DataFrame:
     """``node``, ``root`` of all linked sets of all blocks, whatever their size."""
     rows = stored(rows, "jaccard-sets")
     weight = stored(sizes(rows), "jaccard-weights")
+    held += [rows, weight]
     large = (F.col("bytes") > block_bytes) | (F.col("sets") > block_sets)
     if weight.filter(large).isEmpty():
         return join_blocks(rows, percent).select(F.col("b").alias("node"), F.col("a").alias("root"))
@@ -406,7 +582,7 @@ def join_sets(rows: DataFrame, block_bytes: int, block_sets: int, percent: int =
     for _ in range(8):
         links.append(join_blocks(rows.join(weight.filter(~large), "block", "left_semi"), percent))
         rows = rows.join(weight.filter(large), "block", "left_semi")
-        pivot_links, regions = voronoi(rows, weight, block_bytes // 4, percent)
+        pivot_links, regions = voronoi(rows, weight, block_bytes // 4, percent, held)
         links.append(pivot_links)
         parts = sizes(regions).join(regions.select("block", "parent").distinct(), "block")
         parts = stored(parts.join(weight.select(F.col("block").alias("parent"), F.col("bytes").alias("whole")), "parent"), "jaccard-parts")
@@ -416,6 +592,7 @@ def join_sets(rows: DataFrame, block_bytes: int, block_sets: int, percent: int =
         links.append(join_blocks(tiles(cut, weight, min(block_bytes, block_bytes * block_sets // 40_000)), percent))
         rows = stored(regions.join(stuck.select(F.col("block").alias("parent")), "parent", "left_anti").select("block", "key", "data"), "jaccard-sets")
         weight = stored(sizes(rows), "jaccard-weights")
+        held += [parts, rows, weight]
         if weight.isEmpty():
             break
     else:
@@ -433,30 +610,28 @@ def jaccard_classes(
 
     ``row`` is a hash of id and text, ``class`` one for all documents of a component. With
     ``by_rarest`` the first cut takes regions of rare shingles in place of hash classes, which
-    at low percentages are small, and often of nothing but a passage that many texts share.
+    at low percentages are small, and often of nothing but a passage that many texts share;
+    sets that hold too many shingles of their own to link take no further part.
     """
-    counts = shingle_counts(docs, text, words) if by_rarest else None
-    hashed = stored(hashed_sets(docs.select("doc_id", text), text, words, percent, counts), "jaccard-hashed")
-    blocks = stored(components(region_edges(hashed)), "jaccard-blocks")
+    held: list[DataFrame] = []
+    hashed = stored(hashed_sets(docs.select("doc_id", text), text, words, percent, not by_rarest), "jaccard-hashed")
     one = hashed.filter("size > 0").groupBy("key").agg(F.min("row").alias("row"))
-    wanted = stored(blocks.join(one, blocks["node"] == one["key"]).select("row", "key", F.col("root").alias("block")), "jaccard-wanted")
-
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            # The join leaves equal rows next to each other; one of them is enough.
-            keys = batch.column(1).to_pylist()
-            fresh = [i for i, k in enumerate(keys) if k != (keys[i - 1] if i else last)]
-            last = keys[-1] if keys else last
-            some = batch.take(pa.array(fresh, pa.int64()))
-            sets = [shingles(v.as_py(), words).tobytes() for v in some.column(2)]
-            yield pa.RecordBatch.from_arrays([*some.columns[:2], pa.array(sets, pa.binary())], names=["block", "key", "data"])
-
-    texts = docs.select(row_key(docs, text).alias("row"), F.col(text).cast("string").alias("_body"))
-    rows = texts.join(wanted.hint("merge"), "row").select("block", "key", "_body").mapInArrow(compute, "block long, key long, data binary")
-    linked = stored(join_sets(rows, block_bytes, block_sets, percent), "jaccard-linked")
+    if by_rarest:
+        likely = stored(may_link(docs, text, words, percent).distinct(), "jaccard-likely")
+        wanted = stored(one.join(likely, "key").select("row", "key"), "jaccard-wanted")
+        sets = stored(set_data(docs, text, wanted, words), "jaccard-data")
+        edges = region_edges(rare_regions(sets, shingle_counts(sets), percent), held)
+        blocks = stored(components(edges), "jaccard-blocks")
+        rows = sets.join(blocks, sets["key"] == blocks["node"]).select(F.col("root").alias("block"), "key", "data")
+        held += [likely, sets]
+    else:
+        blocks = stored(components(region_edges(hashed, held)), "jaccard-blocks")
+        wanted = stored(blocks.join(one, blocks["node"] == one["key"]).select("row", "key", F.col("root").alias("block")), "jaccard-wanted")
+        rows = set_data(docs, text, wanted.select("row", "block", "key"), words)
+    linked = stored(join_sets(rows, block_bytes, block_sets, percent, held), "jaccard-linked")
     named = hashed.select("doc_id", "row", "size", "key").join(linked, F.col("key") == F.col("node"), "left")
     named = stored(named.select("doc_id", "row", F.col("size").alias("n_shingles"), F.coalesce("root", "key").alias("class")), "jaccard-named")
+    forget(*held, hashed, blocks, wanted, linked)
     least = stored(named.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("component_id")), "jaccard-least")
     empty = named.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     return named.filter("n_shingles > 0").join(least, "class").select("doc_id", "row", "n_shingles", "class", "component_id").unionByName(
@@ -478,6 +653,7 @@ def drop_near_copies(docs: DataFrame, text: str = "text", words: int = WORDS, pe
     repeated = stored(repeated.join(kept, row, "left_semi"), "jaccard-repeated")
     wordless = classes.filter("n_shingles = 0").select(F.col("row").alias(row)).distinct()
     once = stored(kept.join(repeated, row, "left_anti").unionByName(wordless), "jaccard-kept")
+    forget(classes)
     result = rows.join(once.hint("merge"), row, "left_semi")
     if not repeated.isEmpty():
         result = result.unionByName(rows.join(repeated, row, "left_semi").dropDuplicates([row]))
