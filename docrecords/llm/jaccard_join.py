@@ -140,9 +140,10 @@ def chunks(docs: DataFrame, text: str, words: int, percent: int, buckets: int) -
 
     A row holds the sets' numbers in the chunk (differences) and 32 bits of each shingle; a head
     (``n`` in place of these) the sets' keys and how many shingles without a match rule them out.
-    Twice what ``alone`` asks for is looked at, which decides nearly all sets and is less to shuffle.
+    Three times what ``alone`` asks for is looked at, which decides sets of which half is shared, too,
+    and is less to shuffle than all.
     """
-    share = np.uint64(min(100, 2 * (100 - percent)))
+    share = np.uint64(min(100, 3 * (100 - percent)))
     names = ["bucket", "chunk", "head", "sets", "n"]
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
