@@ -1,12 +1,14 @@
 """Streams that process what is new and stop, each with its own checkpoint.
 
 All but those of ``state`` are stateless: the operators are the ones batches use, and
-the checkpoint together with the file sink makes each input row count once.
+the checkpoint together with the file sink makes each input row count once. A run leaves no
+shuffled rows and no open state behind, and of earlier state what a restart needs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +18,11 @@ from pyspark.sql import types as T
 from docrecords.operators.canonical import canonicalize
 from docrecords.operators.extract import NativeExtractor, PythonExtractor, run_inference
 from docrecords.schemas import CANONICAL, DOCUMENT_INTAKE, RESPONSE
-from docrecords.session import shared_dir
+from docrecords.session import SHUFFLES_GO, shared_dir, using
 from docrecords.sources.files import stamp, stream_files
 from docrecords.sources.listing import stream_listing, update
 from docrecords.sources.tables import conform
+from docrecords.streaming.state import STOPPING
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -42,11 +45,19 @@ def _table_checkpoint(spark: SparkSession, table: str) -> str:
     return f"{shared_dir(spark)}/docrecords/streams/{quote(table, safe='')}"
 
 
+@contextmanager
+def _run(spark: SparkSession) -> Iterator[None]:
+    """The settings of a run; those of state that the session has chosen stay."""
+    with using(spark, SHUFFLES_GO | {k: v for k, v in STOPPING.items() if spark.conf.get(k, None) is None}):
+        yield
+
+
 def drain_to_table(stream: DataFrame, table: str, schema: T.StructType, checkpoint: str | None = None) -> None:
     """Append everything new to a table with the declared layout, then stop."""
     checkpoint = checkpoint or _table_checkpoint(stream.sparkSession, table)
     writer = conform(stream, schema).writeStream.option("checkpointLocation", checkpoint)
-    writer.trigger(availableNow=True).toTable(table).awaitTermination()
+    with _run(stream.sparkSession):
+        writer.trigger(availableNow=True).toTable(table).awaitTermination()
 
 
 def drain_to_folder(stream: DataFrame, folder: str, schema: T.StructType, checkpoint: str | None = None) -> None:
@@ -56,7 +67,8 @@ def drain_to_folder(stream: DataFrame, folder: str, schema: T.StructType, checkp
     """
     checkpoint = checkpoint or f"{folder.rstrip('/')}/_checkpoint"
     writer = conform(stream, schema).writeStream.option("checkpointLocation", checkpoint)
-    writer.trigger(availableNow=True).format("parquet").start(folder).awaitTermination()
+    with _run(stream.sparkSession):
+        writer.trigger(availableNow=True).format("parquet").start(folder).awaitTermination()
 
 
 def intake_stream(

@@ -1,5 +1,6 @@
 """What is on disk beside the data: shuffled rows go with their execution, large changes are dealt in slices."""
 
+import glob
 import random
 import time
 
@@ -9,6 +10,7 @@ from pyspark.sql import types as T
 
 from docrecords.sources import views
 from docrecords.sources.views import DerivedView, KeyedView
+from docrecords.streaming import runners, state
 
 SCHEMA = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.IntegerType())])
 
@@ -60,3 +62,22 @@ def test_slices_give_what_one_change_gives(spark, tmp_path, monkeypatch, rows):
         assert sorted(map(tuple, one.read().collect())) == sorted(want.items())
         assert sorted(map(tuple, total.read().collect())) == sorted((k, v + 1) for k, v in want.items())
     assert (max(map(len, dealt)) == 1) == (rows == 1)
+
+
+def test_paired_streams_leave_the_last_state_alone(spark, tmp_path):
+    settings = [*state.STOPPING, *state.MERGED]
+    sources, sink, before = [str(tmp_path / n) for n in "pf"], str(tmp_path / "out"), shuffled(spark)
+    chosen = [spark.conf.get(k, None) for k in settings]
+    for n in range(3):
+        for side, folder in enumerate(sources):
+            rows = spark.createDataFrame([(f"k{i}", n) for i in range(30) if (i + n) % 3 != side], SCHEMA)
+            rows.write.mode("append").parquet(folder)
+        done = state.pair_streams(*[runners.read_folder(spark, f, SCHEMA) for f in sources], "k", delay="0 seconds", groups=4)
+        runners.drain_to_folder(done, sink, done.schema)
+    assert not left_since(spark, before)
+    batches = max(int(f.rsplit("/", 1)[1]) for f in glob.glob(f"{sink}/_checkpoint/commits/[0-9]*"))
+    versions = [glob.glob(f"{p}/*.zip") for p in glob.glob(f"{sink}/_checkpoint/state/0/[0-9]*")]
+    assert batches >= 4 and versions and max(map(len, versions)) <= 3
+    last = state.latest_revision(spark.read.schema(done.schema).parquet(sink))
+    assert {tuple(r) for r in last.select("key", "p_v", "f_v").collect()} == {(f"k{i}", 2 - (i % 3 == 1), 2 - (i % 3 == 2)) for i in range(30)}
+    assert [spark.conf.get(k, None) for k in settings] == chosen
